@@ -127,13 +127,17 @@ def safe_share_pct(part: Column, total: Column, digits: int = 2) -> Column:
     return F.when(total.isNotNull(), F.round(part * F.lit(100.0) / F.greatest(total, F.lit(0.001)), digits))
 
 
-def exact_avg(x: Column | str, scale: int = 2) -> Column:
-    """Average of values carrying ``scale`` decimals, computed in decimal arithmetic.
+def exact_avg(x: Column | str, scale: int = 2, digits: int | None = None) -> Column:
+    """Average of values carrying ``scale`` decimals, computed in decimal arithmetic and
+    rounded half up to ``digits`` decimals (default ``scale + 4``).
 
-    Float sums depend on the order rows arrive in; a decimal sum is exact, so the average is
-    reproducible run to run (the result keeps ``scale + 4`` decimals, rounded half up).
+    A float sum depends on the order rows reach each partial aggregate, so the same query can
+    differ in the last bits from run to run; a decimal sum is exact and the result is
+    reproducible.
     """
-    return F.avg(col_of(x).cast(f"decimal(18,{scale})")).cast("double")
+    c = col_of(x)
+    digits = scale + 4 if digits is None else digits
+    return F.round(F.sum(c.cast(f"decimal(18,{scale})")) / F.count(c), digits).cast("double")
 
 
 # --- weather (C12, C15) --------------------------------------------------------------------

@@ -35,7 +35,7 @@ def _daily_intensity(hourly: DataFrame) -> DataFrame:
     cleanest = F.min(F.struct(ci.alias("ci"), hour.alias("h")))
     dirtiest = F.max(F.struct(ci.alias("ci"), (-hour).alias("neg_h")))
     return hourly.groupBy("date_key", "country_code", "country_name").agg(
-        F.round(F.avg(ci.cast("decimal(18,2)")), 2).cast("double").alias("avg_carbon_intensity_gco2_kwh"),
+        gf.exact_avg(ci, 2, 2).alias("avg_carbon_intensity_gco2_kwh"),
         F.round(F.min(ci), 2).alias("min_carbon_intensity_gco2_kwh"),
         F.round(F.max(ci), 2).alias("max_carbon_intensity_gco2_kwh"),
         F.round(F.avg(F.col("renewable_mw") * F.lit(100.0) / F.greatest(F.col("total_mw"), F.lit(0.001))), 2)

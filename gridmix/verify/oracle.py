@@ -20,18 +20,20 @@ def R(expr: str, n: int) -> str:
     return f"cast(round(cast(cast(({expr}) as varchar) as decimal(38,18)), {n}) as double)"
 
 
-def exact_avg_sql(expr: str, scale: int = 2) -> str:
-    """Average of ``scale``-decimal values, rounded half-up to ``scale + 4`` decimals."""
-    k = 10 ** scale
-    return (f"(round(sum(cast(round(({expr}) * {k}) as bigint)) * 10000.0 / count({expr})) "
-            f"/ {k * 10000}.0)")
+def exact_avg_sql(expr: str, scale: int = 2, digits: int | None = None) -> str:
+    """Average of ``scale``-decimal values rounded half away from zero to ``digits`` decimals,
+    in integer arithmetic (the Spark side sums decimals)."""
+    digits = scale + 4 if digits is None else digits
+    units = f"sum(cast(round(({expr}) * {10 ** scale}) as bigint))"
+    if digits >= scale:
+        q = f"{units} * {10 ** (digits - scale)}.0 / count({expr})"
+    else:
+        q = f"{units} / ({10 ** (scale - digits)}.0 * count({expr}))"
+    return f"(round({q}) / {10 ** digits}.0)"
 
 
 def exact_avg_round_sql(expr: str, digits: int, scale: int = 2) -> str:
-    """round(avg(x), digits) with x carrying ``scale`` decimals, exactly (digits <= scale)."""
-    k = 10 ** scale
-    d = 10 ** digits
-    return (f"(round(sum(cast(round(({expr}) * {k}) as bigint)) * {d}.0 / ({k} * count({expr}))) / {d}.0)")
+    return exact_avg_sql(expr, scale, digits)
 
 
 def _case_map(col: str, mapping: dict[str, str], default: str) -> str:
