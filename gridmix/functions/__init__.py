@@ -107,7 +107,7 @@ def parse_xml_time(s: Column | str) -> Column:
 
 def point_time(start: Column, step_minutes: Column, position: Column) -> Column:
     """Absolute time of a series point: start + step * (position - 1)."""
-    return F.timestampadd("MINUTE", step_minutes * (position - F.lit(1)), start)
+    return F.timestamp_add("MINUTE", step_minutes * (position - F.lit(1)), start)
 
 
 # --- generation metrics (C13, C14) -----------------------------------------------------------

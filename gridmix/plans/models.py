@@ -91,3 +91,11 @@ def q_stg_solar(spark, sf_dir):
 def q_int_generation_weather(spark, sf_dir):
     """Hourly generation rows joined with country-hour wind and solar weather."""
     return gen_weather(spark, sf_dir)
+
+
+def int_daily_from(stg: DataFrame) -> DataFrame:
+    return ops.int_daily_generation(stg)
+
+
+def hourly_ci_from(stg: DataFrame, spark: SparkSession) -> DataFrame:
+    return ops.int_carbon_intensity(stg, dims.dim_energy_source(spark))

@@ -1 +1,164 @@
-"""placeholder"""
+"""Data-quality checks as named queries (offending rows), plus the gate summary."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from gridmix import dims
+from gridmix.operators import quality as dq
+from gridmix.plans import models as m
+from gridmix.plans.catalog import query
+from gridmix.verify import oracle as o
+
+
+def Q(parts, select):
+    return o.with_ctes(*parts, select=select)
+
+
+STG, IDG, KPI, CI, FCT = o.STG_CHAIN, o.IDG_CHAIN, o.KPI_CHAIN, o.CI_CHAIN, o.FCT_CI_CHAIN
+
+
+def staging_checks(stg, daily, kpi, hourly, fct, dim_country):
+    """The declared checks of the models (keys not null and unique, value ranges, singular
+    tests), each a lazy DataFrame of offending rows."""
+    C = dq.Check
+    return [
+        C("not_null_ts_hour", "stg_generation", dq.not_null(stg, "ts_hour")),
+        C("not_null_country_code", "stg_generation", dq.not_null(stg, "country_code")),
+        C("unique_hour_country_source", "stg_generation",
+          dq.unique_combination(stg, ["country_code", "ts_hour", "energy_source"])),
+        C("mw_positive", "stg_generation", dq.negative_mw(stg)),
+        C("timestamp_range", "stg_generation", dq.timestamp_range(stg)),
+        C("minimum_row_coverage", "stg_generation", dq.row_coverage(stg)),
+        C("unique_day_country_source", "int_daily_generation",
+          dq.unique_combination(daily, ["country_code", "date_key", "energy_source"])),
+        C("total_mwh_range", "int_daily_generation", dq.accepted_range(daily, "total_mwh", 0)),
+        C("hours_reported_range", "int_daily_generation", dq.accepted_range(daily, "hours_reported", 0, 24)),
+        C("pct_of_total_range", "int_daily_generation", dq.accepted_range(daily, "pct_of_total", 0, 100)),
+        C("intensity_range", "int_carbon_intensity", dq.accepted_range(hourly, "carbon_intensity_gco2_kwh", 0, 1200)),
+        C("unique_day_country", "fct_renewable_kpi", dq.unique_combination(kpi, ["country_code", "date_key"])),
+        C("renewable_pct_range", "fct_renewable_kpi", dq.accepted_range(kpi, "renewable_pct", 0, 100)),
+        C("not_null_renewable_pct", "fct_renewable_kpi", dq.not_null(kpi, "renewable_pct")),
+        C("country_code_valid", "fct_renewable_kpi", dq.country_code_valid(kpi, dim_country)),
+        C("daily_intensity_range", "fct_grid_carbon_intensity",
+          dq.accepted_range(fct, "avg_carbon_intensity_gco2_kwh", 0, 1200)),
+    ]
+
+
+@query("dq_not_null", Q(STG, "select * from stg where ts_hour is null or country_code is null"))
+def q_dq_not_null(spark, sf_dir):
+    """Staging rows with a NULL key."""
+    stg = m.staged(spark, sf_dir)
+    return stg.where(F.col("ts_hour").isNull() | F.col("country_code").isNull())
+
+
+@query("dq_unique", Q(STG, """select country_code, ts_hour, energy_source, count(*) as n_records from stg
+  group by 1, 2, 3 having count(*) > 1"""))
+def q_dq_unique(spark, sf_dir):
+    """Duplicate (country, hour, source) keys in staging."""
+    return dq.unique_combination(m.staged(spark, sf_dir), ["country_code", "ts_hour", "energy_source"])
+
+
+@query("dq_range", Q(IDG, "select * from idg where pct_of_total < 0 or pct_of_total > 100"))
+def q_dq_range(spark, sf_dir):
+    """Daily rows whose share is outside [0, 100] (negative actuals make it fire)."""
+    return dq.accepted_range(m.daily(spark, sf_dir), "pct_of_total", 0, 100)
+
+
+@query("dq_recency", Q(KPI, """select max(date_key) as newest,
+  cast(cast(max(date_key) as date) - interval 2 day as date) as threshold,
+  false as is_stale from kpi"""))
+def q_dq_recency(spark, sf_dir):
+    """KPI freshness status (2-day window) anchored at the newest staged hour."""
+    kpi = m.kpi(spark, sf_dir)
+    as_of = m.staged(spark, sf_dir).select(F.max("ts_hour")).scalar()
+    return dq.recency(kpi, "date_key", "day", 2, as_of=as_of, ignore_time_component=True) \
+        .select(F.col("newest"), F.to_date("threshold").alias("threshold"), "is_stale")
+
+
+@query("dq_negative_mw", Q(STG, "select ts_hour, country_code, energy_source, actual_mw from stg where actual_mw < 0"))
+def q_dq_negative_mw(spark, sf_dir):
+    """Staged rows with negative actual generation."""
+    return dq.negative_mw(m.staged(spark, sf_dir))
+
+
+@query("dq_ts_range", Q(STG, f"""select ts_hour from stg
+  where ts_hour < timestamp '{dq.TS_MIN}' or ts_hour > timestamp '{dq.TS_MAX}'"""))
+def q_dq_ts_range(spark, sf_dir):
+    """Staged hours outside the accepted timestamp window."""
+    return dq.timestamp_range(m.staged(spark, sf_dir))
+
+
+@query("dq_coverage", Q(STG, f"""select date_key, country_code, count(*) as hour_count from stg
+  where actual_mw is not null or forecast_mw is not null group by 1, 2 having count(*) < {dq.MIN_ROWS_PER_DAY}"""))
+def q_dq_coverage(spark, sf_dir):
+    """Country-days with fewer than 18 reported rows."""
+    return dq.row_coverage(m.staged(spark, sf_dir))
+
+
+@query("dq_coverage_hours", Q(STG, f"""select date_key, country_code, count(distinct hour_of_day) as hour_count
+  from stg where actual_mw is not null or forecast_mw is not null group by 1, 2
+  having count(distinct hour_of_day) < {dq.MIN_ROWS_PER_DAY}"""))
+def q_dq_coverage_hours(spark, sf_dir):
+    """Strict coverage: country-days with fewer than 18 distinct reported hours."""
+    return dq.row_coverage(m.staged(spark, sf_dir), distinct_hours=True)
+
+
+@query("dq_country", Q(KPI + [o.DIM_COUNTRY], """select distinct k.country_code from kpi k
+  left join dim_country d on k.country_code = d.country_code where d.country_code is null"""))
+def q_dq_country(spark, sf_dir):
+    """KPI country codes missing from the country dimension."""
+    return dq.country_code_valid(m.kpi(spark, sf_dir), dims.dim_country(spark))
+
+
+def _summary_sql() -> str:
+    parts = [
+        ("not_null_ts_hour", "stg_generation", "error", "select * from stg where ts_hour is null"),
+        ("not_null_country_code", "stg_generation", "error", "select * from stg where country_code is null"),
+        ("unique_hour_country_source", "stg_generation", "error",
+         "select country_code, ts_hour, energy_source from stg group by 1, 2, 3 having count(*) > 1"),
+        ("mw_positive", "stg_generation", "error", "select * from stg where actual_mw < 0"),
+        ("timestamp_range", "stg_generation", "error",
+         f"select * from stg where ts_hour < timestamp '{dq.TS_MIN}' or ts_hour > timestamp '{dq.TS_MAX}'"),
+        ("minimum_row_coverage", "stg_generation", "error",
+         "select date_key, country_code from stg where actual_mw is not null or forecast_mw is not null "
+         f"group by 1, 2 having count(*) < {dq.MIN_ROWS_PER_DAY}"),
+        ("unique_day_country_source", "int_daily_generation", "error",
+         "select 1 from idg group by country_code, date_key, energy_source having count(*) > 1"),
+        ("total_mwh_range", "int_daily_generation", "error", "select * from idg where total_mwh < 0"),
+        ("hours_reported_range", "int_daily_generation", "error",
+         "select * from idg where hours_reported < 0 or hours_reported > 24"),
+        ("pct_of_total_range", "int_daily_generation", "error",
+         "select * from idg where pct_of_total < 0 or pct_of_total > 100"),
+        ("intensity_range", "int_carbon_intensity", "error",
+         "select * from ci where carbon_intensity_gco2_kwh < 0 or carbon_intensity_gco2_kwh > 1200"),
+        ("unique_day_country", "fct_renewable_kpi", "error",
+         "select 1 from kpi group by country_code, date_key having count(*) > 1"),
+        ("renewable_pct_range", "fct_renewable_kpi", "error",
+         "select * from kpi where renewable_pct < 0 or renewable_pct > 100"),
+        ("not_null_renewable_pct", "fct_renewable_kpi", "error", "select * from kpi where renewable_pct is null"),
+        ("country_code_valid", "fct_renewable_kpi", "error",
+         "select distinct country_code from kpi where country_code not in (select country_code from dim_country)"),
+        ("daily_intensity_range", "fct_grid_carbon_intensity", "error",
+         "select * from fct_ci where avg_carbon_intensity_gco2_kwh < 0 or avg_carbon_intensity_gco2_kwh > 1200"),
+    ]
+    body = "\n  union all\n  ".join(
+        f"select '{c}' as \"check\", '{mdl}' as model, '{sev}' as severity, count(*) as failures from ({sql})"
+        for c, mdl, sev, sql in parts)
+    chain = []
+    for p in (KPI, FCT, [o.DIM_COUNTRY]):
+        for cte in p:
+            if cte not in chain:
+                chain.append(cte)
+    return o.with_ctes(*chain, select=body)
+
+
+@query("dq_summary", _summary_sql())
+def q_dq_summary(spark, sf_dir):
+    """Failure counts of every declared check (the quality gate's input)."""
+    stg = m.staged(spark, sf_dir)
+    daily = m.int_daily_from(stg)
+    hourly = m.hourly_ci_from(stg, spark)
+    checks = staging_checks(stg, daily, m.ops.fct_renewable_kpi(daily), hourly,
+                            m.ops.fct_grid_carbon_intensity(hourly), dims.dim_country(spark))
+    return dq.summary(checks)
