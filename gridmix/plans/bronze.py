@@ -1 +1,205 @@
-"""placeholder"""
+"""Bronze decoding as named queries: XML documents, triage, file pruning, work grid, weather
+cubes, wide / long weather, bounding-box means and grid-to-country assignment.
+
+The documents, cubes and file listings are built by Spark from the driver's tables, so every
+query's work grows with them; the oracle computes the expected rows from the same source rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from gridmix import dims
+from gridmix.operators import notebook_ops as nb
+from gridmix.plans.catalog import query
+from gridmix.sources import cube, files, load_gen_raw, load_weather_raw
+from gridmix.sources import xml as bx
+from gridmix.verify import oracle as o
+from gridmix.verify.oracle import exact_avg_sql as XA
+
+# Fixed values — fixture conventions for the bronze tree and the acknowledgement documents.
+ACK_CODE, ACK_TEXT = "999", "No matching data found"
+PRUNE_OFFSET_DAYS, PRUNE_SPAN_DAYS = 3, 7
+WEATHER_CATEGORIES = ["wind", "solar"]
+WEATHER_VARS = ["ssrd", "t2m", "u100", "v100"]
+
+GEN_TS = "make_timestamp(ts_ns // 1000)"
+
+
+def Q(parts, select):
+    return o.with_ctes(*parts, select=select)
+
+
+# --- XML -----------------------------------------------------------------------------------
+
+@query("xml_generation_flatten", Q([o.GEN_BASE], f"""select {GEN_TS} as "timestamp", country,
+  {o.psr_name_sql('psr_type')} as energy_source, psr_type, actual_MW, cast(null as double) as forecast_MW,
+  'generation' as domain from gen_base where domain = 'generation'"""))
+def q_xml_generation_flatten(spark, sf_dir):
+    """Actual-generation documents (PT15M) decoded back to silver rows."""
+    docs = bx.generation_documents(load_gen_raw(spark, sf_dir))
+    return bx.flatten_series(bx.decode_documents(docs), "generation")
+
+
+@query("xml_forecast_flatten", Q([o.GEN_BASE], f"""select date_trunc('hour', {GEN_TS}) as "timestamp", country,
+  {o.psr_name_sql('psr_type')} as energy_source, psr_type, cast(null as double) as actual_MW, forecast_MW,
+  'forecast' as domain from gen_base where domain = 'forecast'"""))
+def q_xml_forecast_flatten(spark, sf_dir):
+    """Day-ahead forecast documents (hourly step) decoded back to silver rows."""
+    docs = bx.forecast_documents(load_gen_raw(spark, sf_dir))
+    return bx.flatten_series(bx.decode_documents(docs), "forecast")
+
+
+def triage_input(spark, sf_dir):
+    raw = load_gen_raw(spark, sf_dir)
+    gen_docs = bx.generation_documents(raw)
+    days = raw.select("country", F.to_date(F.timestamp_micros((F.col("timestamp") / 1000).cast("long"))).alias("date")) \
+        .distinct().where(F.dayofmonth("date") % 3 == 0)
+    acks = days.select("country", "date", bx.acknowledgement_document(F.lit(ACK_CODE), F.lit(ACK_TEXT)).alias("xml"))
+    return gen_docs.unionByName(acks)
+
+
+@query("doc_triage", Q([o.GEN_BASE], f"""
+  select country, "date", 'ok' as status, cast(null as varchar) as reason_code, cast(null as varchar) as reason_text
+  from (select distinct country, date_trunc('hour', {GEN_TS}) as h, cast({GEN_TS} as date) as "date"
+        from gen_base where domain = 'generation')
+  union all
+  select country, "date", 'ack', '{ACK_CODE}', '{ACK_TEXT}'
+  from (select distinct country, cast({GEN_TS} as date) as "date" from gen_base)
+  where dayofmonth("date") % 3 = 0"""))
+def q_doc_triage(spark, sf_dir):
+    """Fetched documents classified as generation / acknowledgement (with reason) / other."""
+    return bx.triage(triage_input(spark, sf_dir))
+
+
+# --- bronze file tree ------------------------------------------------------------------------
+
+def bronze_listing(spark, sf_dir):
+    """Paths of the bronze tree implied by the data: a generation file per country-day (days
+    divisible by 3 missing), monthly wind / solar cubes per country-month, and daily wind
+    cubes on days divisible by 5."""
+    raw = load_gen_raw(spark, sf_dir)
+    days = raw.select("country", F.to_date(F.timestamp_micros((F.col("timestamp") / 1000).cast("long"))).alias("d")) \
+        .distinct()
+    gen = days.where(F.dayofmonth("d") % 3 != 0).select(F.concat_ws(
+        "/", F.lit("bronze/entsoe"), "country", F.lit("generation"), F.date_format("d", "yyyy-MM-dd"),
+        F.lit("generation.xml")).alias("path"))
+    months = days.select("country", F.trunc("d", "month").alias("m")).distinct()
+    monthly = months.select("country", "m", F.explode(F.array(*[F.lit(c) for c in WEATHER_CATEGORIES])).alias("cat")) \
+        .select(F.concat(F.lit("bronze/era5/"), F.col("country"), F.lit("/"), F.date_format("m", "yyyy/MM"),
+                         F.lit("/"), F.date_format("m", "yyyy-MM"), F.lit("_"), F.col("cat"), F.lit(".nc")).alias("path"))
+    daily = days.where(F.dayofmonth("d") % 5 == 0).select(
+        F.concat(F.lit("bronze/era5/"), F.col("country"), F.lit("/"), F.date_format("d", "yyyy/MM"), F.lit("/"),
+                 F.date_format("d", "yyyy-MM-dd"), F.lit("_wind.nc")).alias("path"))
+    return gen.unionByName(monthly).unionByName(daily)
+
+
+LISTING = f"""bz_days as (select distinct country, cast({GEN_TS} as date) as d from gen_base),
+bz_files as (
+  select 'bronze/entsoe/' || country || '/generation/' || strftime(d, '%Y-%m-%d') || '/generation.xml' as path,
+         country, 'generation' as domain, d as file_date, cast(null as varchar) as category,
+         d as file_min, d as file_max
+  from bz_days where dayofmonth(d) % 3 <> 0
+  union all
+  select 'bronze/era5/' || country || '/' || strftime(m, '%Y/%m') || '/' || strftime(m, '%Y-%m') || '_' || cat || '.nc',
+         country, null, null, cat, m, cast(last_day(m) as date)
+  from (select distinct country, cast(date_trunc('month', d) as date) as m from bz_days),
+       (select unnest([{o._sql_list(WEATHER_CATEGORIES)}]) as cat)
+  union all
+  select 'bronze/era5/' || country || '/' || strftime(d, '%Y/%m') || '/' || strftime(d, '%Y-%m-%d') || '_wind.nc',
+         country, null, null, 'wind', d, d
+  from bz_days where dayofmonth(d) % 5 = 0),
+bz_window as (select min(d) + {PRUNE_OFFSET_DAYS} as s, min(d) + {PRUNE_OFFSET_DAYS + PRUNE_SPAN_DAYS} as e
+              from bz_days)"""
+
+
+@query("file_overlap_prune", Q([o.GEN_BASE, LISTING], """
+  select f.* from bz_files f, bz_window w
+  where (f.file_date is not null and f.file_date between w.s and w.e)
+     or (f.file_date is null and f.file_min is not null and f.file_max >= w.s and f.file_min <= w.e)"""))
+def q_file_overlap_prune(spark, sf_dir):
+    """Bronze files selected for a 7-day window: generation files by folder date, weather
+    files (daily or monthly) by interval overlap."""
+    listing = files.path_columns(bronze_listing(spark, sf_dir))
+    raw = load_gen_raw(spark, sf_dir)
+    first = raw.select(F.min(F.to_date(F.timestamp_micros((F.col("timestamp") / 1000).cast("long"))))).scalar()
+    start, end = F.date_add(first, PRUNE_OFFSET_DAYS), F.date_add(first, PRUNE_OFFSET_DAYS + PRUNE_SPAN_DAYS)
+    gen = files.prune_by_date(listing.where(F.col("file_date").isNotNull()), start, end)
+    wea = files.prune_by_overlap(listing.where(F.col("file_date").isNull()), start, end)
+    return gen.unionByName(wea).select("path", "country", "domain", "file_date", "category", "file_min", "file_max")
+
+
+@query("missing_partitions", Q([o.GEN_BASE, LISTING, o.DIM_COUNTRY], """
+  select c.country_code as country, g.d as "date", 'generation' as category
+  from dim_country c,
+       (select unnest(range(min(d), max(d) + interval 1 day, interval 1 day))::date as d from bz_days) g
+  where not exists (select 1 from bz_files f where f.domain = 'generation' and f.country = c.country_code
+                    and f.file_date = g.d)"""))
+def q_missing_partitions(spark, sf_dir):
+    """Work grid (every configured country x every day in range) minus the generation files
+    that exist — the days a backfill has to fetch."""
+    listing = files.path_columns(bronze_listing(spark, sf_dir)).where(F.col("domain") == "generation")
+    raw = load_gen_raw(spark, sf_dir)
+    d = F.to_date(F.timestamp_micros((F.col("timestamp") / 1000).cast("long")))
+    lo, hi = raw.select(F.min(d)).scalar(), raw.select(F.max(d)).scalar()
+    grid = dims.dim_country(spark).select(F.col("country_code").alias("country"),
+                                          F.explode(F.sequence(lo, hi)).alias("date"))
+    have = listing.select("country", F.col("file_date").alias("date"))
+    return grid.join(have, ["country", "date"], "left_anti").withColumn("category", F.lit("generation"))
+
+
+# --- weather cubes, wide / long, boxes -------------------------------------------------------
+
+WEATHER_TS = """weather_ts as (select make_timestamp("timestamp" // 1000) as "timestamp", lat, lon, variable, value,
+  country from weather_raw)"""
+WIDE = f"""weather_wide as (select "timestamp", lat, lon, country,
+  {", ".join(f"max(case when variable = '{v}' then value{' - 273.15' if v == 't2m' else ''} end) as {v}"
+             for v in WEATHER_VARS)}
+  from weather_ts group by 1, 2, 3, 4)"""
+
+
+def _weather_long(spark, sf_dir):
+    return nb.weather_frame(load_weather_raw(spark, sf_dir))
+
+
+@query("cube_flatten", Q([o.WEATHER_RAW, WEATHER_TS], "select * from weather_ts"))
+def q_cube_flatten(spark, sf_dir):
+    """Weather cubes (time x lat x lon per country, variable, day) flattened to long rows."""
+    cubes = cube.build_cubes(load_weather_raw(spark, sf_dir))
+    return cube.flatten_cube(cubes)
+
+
+@query("weather_wide", Q([o.WEATHER_RAW, WEATHER_TS, WIDE], "select * from weather_wide"))
+def q_weather_wide(spark, sf_dir):
+    """One column per weather variable, temperature in deg C."""
+    return cube.wide(_weather_long(spark, sf_dir), WEATHER_VARS)
+
+
+@query("melt_weather", Q([o.WEATHER_RAW, WEATHER_TS], """select "timestamp", lat, lon, country, variable,
+  case when variable = 't2m' then value - 273.15 else value end as value from weather_ts"""))
+def q_melt_weather(spark, sf_dir):
+    """Wide weather melted back to (variable, value) rows, NULLs dropped."""
+    return cube.melt(cube.wide(_weather_long(spark, sf_dir), WEATHER_VARS))
+
+
+@query("bbox_country_mean", Q([o.WEATHER_RAW, WEATHER_TS, WIDE], f"""select "timestamp",
+  {", ".join(f"{XA(c, 6, 6)} as {c}" for c in ["lat", "lon"] + WEATHER_VARS)}
+  from weather_wide where lat between {dims.DEFAULT_BBOX['lat_min']} and {dims.DEFAULT_BBOX['lat_max']}
+   and lon between {dims.DEFAULT_BBOX['lon_min']} and {dims.DEFAULT_BBOX['lon_max']} group by 1"""))
+def q_bbox_country_mean(spark, sf_dir):
+    """Mean of every numeric column per time step inside the default country box."""
+    w = cube.bbox_filter(cube.wide(_weather_long(spark, sf_dir), WEATHER_VARS), dims.DEFAULT_BBOX)
+    return cube.mean_numeric_per_time(w.drop("country"))
+
+
+BOXES = "boxes(country_code, north, west, south, east) as (values " + ", ".join(
+    f"('{c}', {n}, {w}, {s}, {e})" for c, (_, _, (n, w, s, e)) in sorted(dims.COUNTRY_CONFIG.items())) + ")"
+
+
+@query("grid_to_country", Q([o.WEATHER_RAW, BOXES], """select g.lat, g.lon, b.country_code
+  from (select distinct lat, lon from weather_raw) g join boxes b
+  on g.lat between b.south and b.north and g.lon between b.west and b.east"""))
+def q_grid_to_country(spark, sf_dir):
+    """Grid points assigned to every configured country box containing them."""
+    cells = load_weather_raw(spark, sf_dir).select("lat", "lon").distinct()
+    return cube.grid_to_country(cells, dims.country_config(spark))
