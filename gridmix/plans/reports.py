@@ -408,12 +408,17 @@ def q_fuel_group_by_month(spark, sf_dir):
     return fuel_group_by_month(m.daily(spark, sf_dir))
 
 
+def _nan_null(e: str) -> str:
+    # DuckDB yields NaN for a zero-variance fit where Spark yields NULL
+    return f"case when isnan({e}) then null else {e} end"
+
+
 def _trend_sql(sources: list[str], x: str) -> str:
     return Q(GW, f"""
   select country_name, cast(regr_count(actual_mw, {x}) as bigint) as n_points, {XA(x, 6, 6)} as avg_x,
-         avg(actual_mw) as avg_y, {R(f'regr_slope(actual_mw, {x})', 6)} as slope,
-         {R(f'regr_intercept(actual_mw, {x})', 6)} as intercept, {R(f'regr_r2(actual_mw, {x})', 6)} as r2,
-         {R(f'corr({x}, actual_mw)', 6)} as corr
+         avg(actual_mw) as avg_y, {R(_nan_null(f'regr_slope(actual_mw, {x})'), 6)} as slope,
+         {R(_nan_null(f'regr_intercept(actual_mw, {x})'), 6)} as intercept, {R(_nan_null(f'regr_r2(actual_mw, {x})'), 6)} as r2,
+         {R(_nan_null(f'corr({x}, actual_mw)'), 6)} as corr
   from gw where energy_source in ({o._sql_list(sources)}) group by 1""")
 
 
