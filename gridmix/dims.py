@@ -181,6 +181,10 @@ def country_config(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, COUNTRY_AREA_SCHEMA)
 
 
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def map_literal(mapping: dict[str, str]) -> Column:
-    """A literal MapType column built from a small fixed dict."""
-    return F.create_map(*[F.lit(x) for kv in sorted(mapping.items()) for x in kv])
+    """A literal MapType column built from a small fixed dict (one SQL expression)."""
+    return F.expr("map(" + ", ".join(f"{_sql_str(k)}, {_sql_str(v)}" for k, v in sorted(mapping.items())) + ")")

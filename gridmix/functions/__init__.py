@@ -61,7 +61,9 @@ def country_name(code: Column | str) -> Column:
 
 def is_renewable_name(source: Column | str) -> Column:
     """Renewable flag by energy-source name (NULL name -> False)."""
-    return F.coalesce(col_of(source).isin(dims.RENEWABLE_SOURCES), F.lit(False))
+    if isinstance(source, str):
+        return F.coalesce(in_list(source, dims.RENEWABLE_SOURCES), F.lit(False))
+    return F.coalesce(source.isin(dims.RENEWABLE_SOURCES), F.lit(False))
 
 
 def fuel_group(source: Column | str) -> Column:
@@ -79,14 +81,18 @@ def nan_to_null(x: Column | str) -> Column:
 
 
 def epoch_ns_to_ts(ns: Column | str) -> Column:
-    """Epoch nanoseconds (INT64) -> TIMESTAMP, truncating toward zero to microseconds."""
-    return F.timestamp_micros(_div(col_of(ns).cast("long"), 1000))
+    """Epoch nanoseconds (INT64) -> TIMESTAMP, truncating toward zero to microseconds.
 
+    Uses SQL's integral ``div`` (exact on INT64; a double division is not above 2**53)."""
+    if isinstance(ns, str):
+        return F.expr(f"timestamp_micros(`{ns}` div 1000)")
+    return F.timestamp_micros((ns.cast("decimal(20,0)") / F.lit(1000)).cast("long"))
 
-def _div(x: Column, k: int) -> Column:
-    # integral division truncating toward zero (SQL ``div``): x - x % k is an exact multiple
-    # of k (Spark's % keeps the sign), so the division below is exact for epoch values
-    return ((x - (x % F.lit(k))) / F.lit(k)).cast("long")
+
+def in_list(name: str, values: list[str]) -> Column:
+    """``name IN (...)`` as one SQL expression (one round trip instead of one per literal)."""
+    quoted = ", ".join("'" + v.replace("'", "\\'") + "'" for v in values)
+    return F.expr(f"`{name}` IN ({quoted})")
 
 
 def resolution_minutes(res: Column | str) -> Column:

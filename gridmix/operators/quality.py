@@ -83,17 +83,46 @@ def country_code_valid(fact: DataFrame, dim_country: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Check:
+    """A named check.  Either ``failures`` (offending rows of a key-level check) or a row-level
+    ``predicate`` over ``source`` (a row fails when the predicate is TRUE)."""
     name: str
     model: str
-    failures: DataFrame
+    failures: DataFrame | None = None
     severity: str = "error"
+    predicate: Column | None = None
+    source: DataFrame | None = None
+
+
+def row_check(name: str, model: str, source: DataFrame, predicate: Column, severity: str = "error") -> Check:
+    return Check(name, model, None, severity, predicate, source)
+
+
+def offending(check: Check) -> DataFrame:
+    return check.failures if check.failures is not None else check.source.where(check.predicate)
 
 
 def summary(checks: list[Check]) -> DataFrame:
-    """(check, model, severity, failures) for every check, as one union of counts."""
-    parts = [c.failures.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(c.name).alias("check"), F.lit(c.model).alias("model"), F.lit(c.severity).alias("severity"),
-        F.col("failures")) for c in checks]
+    """(check, model, severity, failures) for every check.
+
+    Row-level checks on the same model are fused into ONE aggregation (``count_if`` per
+    predicate), so a model is scanned once for all of them; key-level checks are one
+    aggregation each."""
+    parts = []
+    by_source: dict[int, list[Check]] = {}
+    for c in checks:
+        if c.predicate is not None:
+            by_source.setdefault(id(c.source), []).append(c)
+        else:
+            parts.append(c.failures.agg(F.count(F.lit(1)).alias("failures")).select(
+                F.lit(c.name).alias("check"), F.lit(c.model).alias("model"), F.lit(c.severity).alias("severity"),
+                F.col("failures")))
+    for group in by_source.values():
+        counts = group[0].source.agg(*[F.count_if(F.coalesce(c.predicate, F.lit(False))).alias(f"c{i}")
+                                       for i, c in enumerate(group)])
+        rows = F.array(*[F.struct(F.lit(c.name).alias("check"), F.lit(c.model).alias("model"),
+                                  F.lit(c.severity).alias("severity"), F.col(f"c{i}").alias("failures"))
+                         for i, c in enumerate(group)])
+        parts.append(counts.select(F.inline(rows)))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gridmix import functions as gf
 from gridmix import dims
 from gridmix.operators import notebook_ops as nb
 from gridmix.plans.catalog import query
@@ -53,7 +54,7 @@ def q_xml_forecast_flatten(spark, sf_dir):
 def triage_input(spark, sf_dir):
     raw = load_gen_raw(spark, sf_dir)
     gen_docs = bx.generation_documents(raw)
-    days = raw.select("country", F.to_date(F.timestamp_micros((F.col("timestamp") / 1000).cast("long"))).alias("date")) \
+    days = raw.select("country", F.to_date(gf.epoch_ns_to_ts("timestamp")).alias("date")) \
         .distinct().where(F.dayofmonth("date") % 3 == 0)
     acks = days.select("country", "date", bx.acknowledgement_document(F.lit(ACK_CODE), F.lit(ACK_TEXT)).alias("xml"))
     return gen_docs.unionByName(acks)
@@ -79,7 +80,7 @@ def bronze_listing(spark, sf_dir):
     divisible by 3 missing), monthly wind / solar cubes per country-month, and daily wind
     cubes on days divisible by 5."""
     raw = load_gen_raw(spark, sf_dir)
-    days = raw.select("country", F.to_date(F.timestamp_micros((F.col("timestamp") / 1000).cast("long"))).alias("d")) \
+    days = raw.select("country", F.to_date(gf.epoch_ns_to_ts("timestamp")).alias("d")) \
         .distinct()
     gen = days.where(F.dayofmonth("d") % 3 != 0).select(F.concat_ws(
         "/", F.lit("bronze/entsoe"), "country", F.lit("generation"), F.date_format("d", "yyyy-MM-dd"),
@@ -122,7 +123,7 @@ def q_file_overlap_prune(spark, sf_dir):
     files (daily or monthly) by interval overlap."""
     listing = files.path_columns(bronze_listing(spark, sf_dir))
     raw = load_gen_raw(spark, sf_dir)
-    first = raw.select(F.min(F.to_date(F.timestamp_micros((F.col("timestamp") / 1000).cast("long"))))).scalar()
+    first = raw.select(F.min(F.to_date(gf.epoch_ns_to_ts("timestamp")))).scalar()
     start, end = F.date_add(first, PRUNE_OFFSET_DAYS), F.date_add(first, PRUNE_OFFSET_DAYS + PRUNE_SPAN_DAYS)
     gen = files.prune_by_date(listing.where(F.col("file_date").isNotNull()), start, end)
     wea = files.prune_by_overlap(listing.where(F.col("file_date").isNull()), start, end)
@@ -140,7 +141,7 @@ def q_missing_partitions(spark, sf_dir):
     that exist — the days a backfill has to fetch."""
     listing = files.path_columns(bronze_listing(spark, sf_dir)).where(F.col("domain") == "generation")
     raw = load_gen_raw(spark, sf_dir)
-    d = F.to_date(F.timestamp_micros((F.col("timestamp") / 1000).cast("long")))
+    d = F.to_date(gf.epoch_ns_to_ts("timestamp"))
     lo, hi = raw.select(F.min(d)).scalar(), raw.select(F.max(d)).scalar()
     grid = dims.dim_country(spark).select(F.col("country_code").alias("country"),
                                           F.explode(F.sequence(lo, hi)).alias("date"))

@@ -94,7 +94,7 @@ def q_stream_increment(spark, sf_dir):
     base = session.work_dir(spark, "stream")
     landing, silver, ckpt = f"{base}/landing", f"{base}/silver", f"{base}/_checkpoint"
     first = raw.select(F.min(_day())).scalar()
-    day = F.to_date(F.timestamp_micros((F.col("timestamp") / 1000).cast("long")))
+    day = F.to_date(gf.epoch_ns_to_ts("timestamp"))
     raw.where(day < F.date_add(first, 3)).write.parquet(f"{landing}/drop=1")
     streaming.run_available_now(spark, landing, silver, ckpt)
     raw.where(day >= F.date_add(first, 3)).write.parquet(f"{landing}/drop=2")

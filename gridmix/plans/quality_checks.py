@@ -8,6 +8,7 @@ from gridmix import dims
 from gridmix.operators import quality as dq
 from gridmix.plans import models as m
 from gridmix.plans.catalog import query
+from gridmix.session import materialize
 from gridmix.verify import oracle as o
 
 
@@ -20,28 +21,33 @@ STG, IDG, KPI, CI, FCT = o.STG_CHAIN, o.IDG_CHAIN, o.KPI_CHAIN, o.CI_CHAIN, o.FC
 
 def staging_checks(stg, daily, kpi, hourly, fct, dim_country):
     """The declared checks of the models (keys not null and unique, value ranges, singular
-    tests), each a lazy DataFrame of offending rows."""
-    C = dq.Check
+    tests).  Row-level ones are predicates (fused per model by ``quality.summary``)."""
+    C, Rw = dq.Check, dq.row_check
+    col = F.col
+    ts = col("ts_hour")
     return [
-        C("not_null_ts_hour", "stg_generation", dq.not_null(stg, "ts_hour")),
-        C("not_null_country_code", "stg_generation", dq.not_null(stg, "country_code")),
+        Rw("not_null_ts_hour", "stg_generation", stg, ts.isNull()),
+        Rw("not_null_country_code", "stg_generation", stg, col("country_code").isNull()),
         C("unique_hour_country_source", "stg_generation",
           dq.unique_combination(stg, ["country_code", "ts_hour", "energy_source"])),
-        C("mw_positive", "stg_generation", dq.negative_mw(stg)),
-        C("timestamp_range", "stg_generation", dq.timestamp_range(stg)),
+        Rw("mw_positive", "stg_generation", stg, col("actual_mw") < 0),
+        Rw("timestamp_range", "stg_generation", stg,
+           (ts < F.lit(dq.TS_MIN).cast("timestamp")) | (ts > F.lit(dq.TS_MAX).cast("timestamp"))),
         C("minimum_row_coverage", "stg_generation", dq.row_coverage(stg)),
         C("unique_day_country_source", "int_daily_generation",
           dq.unique_combination(daily, ["country_code", "date_key", "energy_source"])),
-        C("total_mwh_range", "int_daily_generation", dq.accepted_range(daily, "total_mwh", 0)),
-        C("hours_reported_range", "int_daily_generation", dq.accepted_range(daily, "hours_reported", 0, 24)),
-        C("pct_of_total_range", "int_daily_generation", dq.accepted_range(daily, "pct_of_total", 0, 100)),
-        C("intensity_range", "int_carbon_intensity", dq.accepted_range(hourly, "carbon_intensity_gco2_kwh", 0, 1200)),
+        Rw("total_mwh_range", "int_daily_generation", daily, col("total_mwh") < 0),
+        Rw("hours_reported_range", "int_daily_generation", daily,
+           (col("hours_reported") < 0) | (col("hours_reported") > 24)),
+        Rw("pct_of_total_range", "int_daily_generation", daily, (col("pct_of_total") < 0) | (col("pct_of_total") > 100)),
+        Rw("intensity_range", "int_carbon_intensity", hourly,
+           (col("carbon_intensity_gco2_kwh") < 0) | (col("carbon_intensity_gco2_kwh") > 1200)),
         C("unique_day_country", "fct_renewable_kpi", dq.unique_combination(kpi, ["country_code", "date_key"])),
-        C("renewable_pct_range", "fct_renewable_kpi", dq.accepted_range(kpi, "renewable_pct", 0, 100)),
-        C("not_null_renewable_pct", "fct_renewable_kpi", dq.not_null(kpi, "renewable_pct")),
+        Rw("renewable_pct_range", "fct_renewable_kpi", kpi, (col("renewable_pct") < 0) | (col("renewable_pct") > 100)),
+        Rw("not_null_renewable_pct", "fct_renewable_kpi", kpi, col("renewable_pct").isNull()),
         C("country_code_valid", "fct_renewable_kpi", dq.country_code_valid(kpi, dim_country)),
-        C("daily_intensity_range", "fct_grid_carbon_intensity",
-          dq.accepted_range(fct, "avg_carbon_intensity_gco2_kwh", 0, 1200)),
+        Rw("daily_intensity_range", "fct_grid_carbon_intensity", fct,
+           (col("avg_carbon_intensity_gco2_kwh") < 0) | (col("avg_carbon_intensity_gco2_kwh") > 1200)),
     ]
 
 
@@ -70,8 +76,9 @@ def q_dq_range(spark, sf_dir):
   false as is_stale from kpi"""))
 def q_dq_recency(spark, sf_dir):
     """KPI freshness status (2-day window) anchored at the newest staged hour."""
-    kpi = m.kpi(spark, sf_dir)
-    as_of = m.staged(spark, sf_dir).select(F.max("ts_hour")).scalar()
+    stg = materialize(m.staged(spark, sf_dir))
+    kpi = m.ops.fct_renewable_kpi(m.int_daily_from(stg))
+    as_of = stg.select(F.max("ts_hour")).scalar()
     return dq.recency(kpi, "date_key", "day", 2, as_of=as_of, ignore_time_component=True) \
         .select(F.col("newest"), F.to_date("threshold").alias("threshold"), "is_stale")
 
@@ -156,9 +163,12 @@ def _summary_sql() -> str:
 @query("dq_summary", _summary_sql())
 def q_dq_summary(spark, sf_dir):
     """Failure counts of every declared check (the quality gate's input)."""
-    stg = m.staged(spark, sf_dir)
-    daily = m.int_daily_from(stg)
-    hourly = m.hourly_ci_from(stg, spark)
-    checks = staging_checks(stg, daily, m.ops.fct_renewable_kpi(daily), hourly,
-                            m.ops.fct_grid_carbon_intensity(hourly), dims.dim_country(spark))
+    # models are materialised once (as the warehouse builds tables before testing them);
+    # every check then reads a model instead of re-deriving it from the raw rows
+    stg = materialize(m.staged(spark, sf_dir))
+    daily = materialize(m.int_daily_from(stg))
+    hourly = materialize(m.hourly_ci_from(stg, spark))
+    kpi = m.ops.fct_renewable_kpi(daily)
+    fct = m.ops.fct_grid_carbon_intensity(hourly)
+    checks = staging_checks(stg, daily, kpi, hourly, fct, dims.dim_country(spark))
     return dq.summary(checks)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from gridmix import dims
 from gridmix import functions as gf
 from gridmix.plans import models as m
+from gridmix.session import materialize
 from gridmix.plans.catalog import query
 from gridmix.verify import oracle as o
 from gridmix.verify.oracle import R, exact_avg_sql as XA
@@ -29,20 +30,23 @@ def _ym(c: str = "date_key"):
 
 def overview_kpis(kpi: DataFrame) -> DataFrame:
     """Latest day: mean renewable %, renewable / total GWh, countries reporting and the top
-    country (ties: name).  One scalar subquery for the date and ONE aggregation for both the
-    KPIs and the top country (a min over a (null-last, -pct, name) struct) — no self join."""
-    latest = kpi.select(F.max("date_key")).scalar()
-    today = kpi.where(F.col("date_key") == latest)
+    country (ties: name).
+
+    One pass: the KPIs are aggregated per date (the top country as a min over a
+    (null-last, -pct, name) struct) and the newest date's row is kept with a top-1 — a
+    map-side partial top-k, so neither a scalar subquery (a second run of the pipeline) nor a
+    join nor a single-partition window is needed."""
     pct = F.col("renewable_pct")
     top = F.min(F.struct(pct.isNull().alias("n"), (-pct).alias("neg"), F.col("country_name").alias("name"),
                          pct.alias("pct")))
-    return today.agg(
+    per_day = kpi.groupBy("date_key").agg(
         gf.exact_avg(pct, 2, 1).alias("avg_renewable_pct_all_countries"),
         F.round(F.sum("renewable_mwh") / 1000, 1).alias("total_renewable_gwh"),
         F.round(F.sum("total_mwh") / 1000, 1).alias("total_gwh"),
         F.count(F.lit(1)).alias("countries_reporting"),
         top.alias("_top"),
-    ).select(
+    )
+    return per_day.orderBy(F.col("date_key").desc()).limit(1).select(
         "avg_renewable_pct_all_countries", "total_renewable_gwh", "total_gwh", "countries_reporting",
         F.col("_top.name").alias("top_country"), F.round(F.col("_top.pct"), 1).alias("top_country_pct"),
     )
@@ -317,7 +321,7 @@ def q_fuel_breakdown(spark, sf_dir):
   from kpi where date_key >= (select max(date_key) from kpi) - interval 30 day"""))
 def q_renewable_trends(spark, sf_dir):
     """Renewable share over the trailing 30 days (anchored at the latest date)."""
-    return renewable_trends(m.kpi(spark, sf_dir))
+    return renewable_trends(materialize(m.kpi(spark, sf_dir)))
 
 
 @query("weather_correlation", Q(GW, f"""

@@ -59,6 +59,17 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/gridmix-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df, name: str = "model"):
+    """Cut lineage for a model that several consumers read: write it once as Parquet into the
+    shared checkpoint folder and read it back.  One computation (an RDD checkpoint would
+    compute the plan a second time to write it), columnar files, and readers still get column
+    pruning and filter pushdown.  Written files survive executor loss."""
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def get_spark(master: str | None = None, app: str = "gridmix", shuffle_partitions: int | None = None,
               driver_memory: str = "8g") -> SparkSession:
     """Build (or reuse) a session for tests, bench and local runs."""

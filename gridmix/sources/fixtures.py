@@ -10,7 +10,7 @@ Both are plain projections (no shuffle); they grow linearly with their source ta
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmix import functions as gf
@@ -26,26 +26,17 @@ GRID_COUNTRIES = "DEDKESFRGRITPLSE"           # eight codes, one per grid column
 WEATHER_VARS = ["u100", "v100", "ssrd", "t2m"]
 
 
-def _code(alphabet: str, index: Column) -> Column:
-    return F.lit(alphabet).substr((F.lit(1) + F.lit(2) * index).cast("int"), F.lit(2))
-
-
 def gen_base(events: DataFrame) -> DataFrame:
-    eid = F.col("event_id")
-    ts_ns = (F.lit(EPOCH_START_NS) + (eid % 168) * F.lit(HOUR_NS)
-             + F.floor(eid / 10000).cast("long") * F.lit(WEEK_NS)
-             + (F.floor(eid / 168).cast("long") % 4) * F.lit(QUARTER_NS))
-    psr_num = (F.lit(1) + (F.floor(eid / 336).cast("long") + eid) % 21).cast("string")
-    return events.select(
-        ts_ns.alias("ts_ns"),
-        _code(GEN_COUNTRIES, F.col("user_id") % 9).alias("country"),
-        F.concat(F.lit("B"), F.lpad(psr_num, 2, "0")).alias("psr_type"),
-        F.when(eid % 11 == 0, F.lit(None).cast("double"))
-         .when(eid % 13 == 0, F.lit(-1.0))
-         .otherwise(F.floor(F.col("value") * 4) / 4).alias("actual_MW"),
-        F.when((eid % 11 == 0) | (eid % 17 == 0), F.floor(F.col("value") * 8) / 8)
-         .cast("double").alias("forecast_MW"),
-        F.when(eid % 11 == 0, F.lit("forecast")).otherwise(F.lit("generation")).alias("domain"),
+    return events.selectExpr(
+        f"""{EPOCH_START_NS} + (event_id % 168) * {HOUR_NS}
+            + cast(floor(event_id / 10000) as bigint) * {WEEK_NS}
+            + (cast(floor(event_id / 168) as bigint) % 4) * {QUARTER_NS} as ts_ns""",
+        f"substr('{GEN_COUNTRIES}', cast(1 + 2 * (user_id % 9) as int), 2) as country",
+        "'B' || lpad(cast(1 + (cast(floor(event_id / 336) as bigint) + event_id) % 21 as string), 2, '0') as psr_type",
+        """case when event_id % 11 = 0 then cast(null as double) when event_id % 13 = 0 then cast(-1 as double)
+                else floor(value * 4) / 4 end as actual_MW""",
+        "cast(case when event_id % 11 = 0 or event_id % 17 = 0 then floor(value * 8) / 8 end as double) as forecast_MW",
+        "case when event_id % 11 = 0 then 'forecast' else 'generation' end as domain",
     )
 
 
@@ -60,26 +51,25 @@ def gen_raw(events: DataFrame) -> DataFrame:
 
 
 def weather_base(embeddings: DataFrame) -> DataFrame:
-    cell = embeddings.select("vec_id", F.posexplode("embedding").alias("pos", "e"))
-    pos, vid = F.col("pos"), F.col("vec_id")
-    return cell.select(
-        (F.lit(EPOCH_START_NS) + F.floor(vid / 4).cast("long") * F.lit(HOUR_NS)).alias("ts_ns"),
-        (F.lit(40.0) + F.lit(0.25) * F.floor(pos / 8)).alias("lat"),
-        (F.lit(20.0) + F.lit(0.25) * (pos % 8)).alias("lon"),
-        F.element_at(F.array(*[F.lit(v) for v in WEATHER_VARS]), (F.lit(1) + vid % 4).cast("int")).alias("variable"),
-        (F.floor(F.col("e").cast("double") * 1024) / 1024).alias("v"),
-        _code(GRID_COUNTRIES, pos % 8).alias("country"),
+    cell = embeddings.selectExpr("vec_id", "posexplode(embedding) as (pos, e)")
+    names = ", ".join(f"'{v}'" for v in WEATHER_VARS)
+    return cell.selectExpr(
+        f"{EPOCH_START_NS} + cast(floor(vec_id / 4) as bigint) * {HOUR_NS} as ts_ns",
+        "40 + 0.25D * (pos div 8) as lat", "20 + 0.25D * (pos % 8) as lon",
+        f"element_at(array({names}), cast(1 + vec_id % 4 as int)) as variable",
+        "floor(cast(e as double) * 1024) / 1024 as v",
+        f"substr('{GRID_COUNTRIES}', cast(1 + 2 * (pos % 8) as int), 2) as country",
     )
 
 
 def weather_raw(embeddings: DataFrame) -> DataFrame:
     """Silver weather schema: timestamp (epoch ns), lat, lon, variable, value, country."""
-    b = weather_base(embeddings)
-    v = F.col("v")
-    value = (F.when(F.col("variable").isin("u100", "v100"), v * 16)
-             .when(F.col("variable") == "ssrd", F.abs(v) * 4194304)
-             .otherwise(F.lit(283.15) + v * 16))
-    return b.select(F.col("ts_ns").alias("timestamp"), "lat", "lon", "variable", value.alias("value"), "country")
+    return weather_base(embeddings).selectExpr(
+        "ts_ns as timestamp", "lat", "lon", "variable",
+        """case when variable in ('u100', 'v100') then v * 16 when variable = 'ssrd' then abs(v) * 4194304
+                else 283.15 + v * 16 end as value""",
+        "country",
+    )
 
 
 def load_gen_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

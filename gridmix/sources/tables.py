@@ -28,10 +28,19 @@ SILVER_WEATHER_SCHEMA = T.StructType([
 ])
 
 
+# The driver's tables that gridmix reads (explicit schemas: no footer sampling per query).
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables: ``{sf_dir}/{name}.parquet``."""
     session.configure(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TABLE_SCHEMAS.get(name)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 def read_silver_generation(spark: SparkSession, path: str) -> DataFrame:

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmix import functions as gf
 from gridmix import sinks
 from gridmix.sources.tables import SILVER_GENERATION_SCHEMA
 
@@ -34,6 +35,6 @@ def read_silver(spark: SparkSession, silver: str) -> DataFrame:
 
 def split_landing(raw: DataFrame, landing: str, cut) -> None:
     """Land raw rows in two drops (before / from ``cut``) — used to exercise increments."""
-    day = F.to_date(F.timestamp_micros((F.col("timestamp") / 1000).cast("long")))
+    day = F.to_date(gf.epoch_ns_to_ts("timestamp"))
     raw.where(day < cut).write.mode("overwrite").parquet(f"{landing}/drop=1")
     raw.where(day >= cut).write.mode("overwrite").parquet(f"{landing}/drop=2")
