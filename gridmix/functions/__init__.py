@@ -187,3 +187,31 @@ def fraction_to_pct(f: Column | str) -> Column:
 
 def to_gwh(mwh: Column | str, digits: int = 1) -> Column:
     return F.round(col_of(mwh) / F.lit(1000.0), digits)
+
+
+# --- contracts and report filters (C11, C23) ---------------------------------------------------
+
+class MissingColumnsError(ValueError):
+    pass
+
+
+def require_columns(df, required) -> None:
+    """Fail with the sorted list of required columns the frame lacks."""
+    missing = sorted(set(required) - set(df.columns))
+    if missing:
+        raise MissingColumnsError(f"missing required columns: {missing}")
+
+
+def report_filter(df, year: int | None = None, start=None, end=None, countries: list[str] | None = None,
+                  date_col: str = "date_key", country_col: str = "country_name"):
+    """Dashboard controls: year, inclusive date range, country multi-select."""
+    out = df
+    if year is not None:
+        out = out.where(F.year(date_col) == F.lit(year))
+    if start is not None:
+        out = out.where(F.col(date_col) >= F.lit(start).cast("date"))
+    if end is not None:
+        out = out.where(F.col(date_col) <= F.lit(end).cast("date"))
+    if countries:
+        out = out.where(F.col(country_col).isin(list(countries)))
+    return out

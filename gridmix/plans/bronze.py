@@ -204,3 +204,30 @@ def q_grid_to_country(spark, sf_dir):
     """Grid points assigned to every configured country box containing them."""
     cells = load_weather_raw(spark, sf_dir).select("lat", "lon").distinct()
     return cube.grid_to_country(cells, dims.country_config(spark))
+
+
+@query("xml_file_scan", Q([o.GEN_BASE], f"""select {GEN_TS} as "timestamp", country,
+  {o.psr_name_sql('psr_type')} as energy_source, psr_type, actual_MW, cast(null as double) as forecast_MW,
+  'generation' as domain from gen_base where domain = 'generation'"""))
+def q_xml_file_scan(spark, sf_dir):
+    """Generation documents landed as files (country / date folders) and read back with the
+    XML file source, then flattened."""
+    from gridmix import session
+
+    root = session.work_dir(spark, "bronze-xml")
+    bx.write_documents(bx.generation_documents(load_gen_raw(spark, sf_dir)), root)
+    return bx.flatten_series(bx.read_document_tree(spark, root), "generation")
+
+
+@query("xml_union_flatten", Q([o.GEN_BASE], f"""
+  select {GEN_TS} as "timestamp", country, {o.psr_name_sql('psr_type')} as energy_source, psr_type, actual_MW,
+         cast(null as double) as forecast_MW, 'generation' as domain from gen_base where domain = 'generation'
+  union all
+  select date_trunc('hour', {GEN_TS}), country, {o.psr_name_sql('psr_type')}, psr_type, cast(null as double),
+         forecast_MW, 'forecast' from gen_base where domain = 'forecast'"""))
+def q_xml_union_flatten(spark, sf_dir):
+    """Actual and day-ahead documents flattened and unioned into one silver frame."""
+    raw = load_gen_raw(spark, sf_dir)
+    gen = bx.flatten_series(bx.decode_documents(bx.generation_documents(raw)), "generation")
+    fc = bx.flatten_series(bx.decode_documents(bx.forecast_documents(raw)), "forecast")
+    return bx.union_generation(gen, fc)

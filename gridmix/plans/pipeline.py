@@ -102,3 +102,18 @@ def q_stream_increment(spark, sf_dir):
     streaming.run_available_now(spark, landing, silver, ckpt)  # nothing new: no-op
     stg = ops.stg_generation(streaming.read_silver(spark, silver).drop("date"))
     return ops.fct_renewable_kpi(ops.int_daily_generation(stg))
+
+
+BACKFILL_FROM, BACKFILL_DAYS = 1, 3
+
+
+@query("backfill_range", o.with_ctes(*o.KPI_CHAIN, select=f"""select * from kpi
+  where date_key between (select min(date_key) from kpi) + {BACKFILL_FROM}
+                     and (select min(date_key) from kpi) + {BACKFILL_FROM + BACKFILL_DAYS}"""))
+def q_backfill_range(spark, sf_dir):
+    """Backfill of a date range for all countries in one job, marts built from silver."""
+    raw = load_gen_raw(spark, sf_dir)
+    first = raw.select(F.min(_day())).scalar()
+    path = session.work_dir(spark, "backfill")
+    start, end = F.date_add(first, BACKFILL_FROM), F.date_add(first, BACKFILL_FROM + BACKFILL_DAYS)
+    return backfill(spark, raw, path, start, end)["fct_renewable_kpi"]

@@ -155,3 +155,28 @@ def forecast_documents(rows: DataFrame) -> DataFrame:
 def acknowledgement_document(code: Column, text: Column) -> Column:
     return F.concat(F.lit(f"<{ACK_ROOT}><Reason><code>"), code, F.lit("</code><text>"), text,
                     F.lit(f"</text></Reason></{ACK_ROOT}>"))
+
+
+def union_generation(*frames: DataFrame) -> DataFrame:
+    """Actual and forecast rows (and any per-file frames) as one table; columns missing in a
+    frame are NULL."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
+def write_documents(docs: DataFrame, root: str) -> None:
+    """Land documents as XML files under ``root/country=../date=..`` with Spark's XML writer
+    (root element GL_MarketDocument, one TimeSeries element per series)."""
+    series = decode_documents(docs).select("series.MktPSRType", "series.Period", "country", "date")
+    (series.write.mode("overwrite").format("xml").option("rootTag", GENERATION_ROOT)
+     .option("rowTag", "TimeSeries").partitionBy("country", "date").save(root))
+
+
+def read_document_tree(spark: SparkSession, root: str) -> DataFrame:
+    """Scan a landed document tree with the XML source (row tag TimeSeries); the country and
+    date come from the partition folders."""
+    raw = (spark.read.format("xml").option("rowTag", "TimeSeries").option("ignoreNamespace", "true")
+           .schema(SERIES_DDL + ", country string, date date").load(root))
+    return raw.select(F.struct("MktPSRType", "Period").alias("series"), "country", "date")
