@@ -71,12 +71,29 @@ def hourly_solar(solar: DataFrame) -> DataFrame:
     )
 
 
-def int_generation_weather(stg: DataFrame, wind: DataFrame, solar: DataFrame) -> DataFrame:
-    """Each staged generation row with its country-hour weather (left joins: hours without
-    weather keep NULLs).  The weather sides are aggregates (one row per country-hour); AQE
-    broadcasts them at run time when they are small and falls back to a shuffle join when not."""
+def hourly_weather(cells: DataFrame) -> DataFrame:
+    """Country-hour wind speed, radiation and temperature means in ONE aggregation over the
+    pivoted weather cells (wind means over cells with a wind variable, solar means over cells
+    with a solar variable — the same rows the two staging models hold).  Separate wind and
+    solar aggregates would scan and pivot the weather twice: their column pruning differs,
+    so Spark cannot reuse one exchange for both."""
+    u, v = F.col("wind_100m_u"), F.col("wind_100m_v")
+    wind = F.when(F.col("has_wind"), gf.wind_speed(u, v))
+    rad = F.when(F.col("has_solar"), gf.radiation_wm2("solar_radiation_jm2"))
+    temp = F.when(F.col("has_solar"), gf.kelvin_to_celsius("temp_2m_kelvin"))
+    return cells.groupBy("ts_hour", F.col("country").alias("country_code")).agg(
+        F.round(F.avg(wind), 6).alias("avg_wind_speed"),
+        gf.exact_avg(rad).alias("avg_solar_radiation"),
+        gf.exact_avg(temp).alias("avg_temp"),
+    )
+
+
+def int_generation_weather(stg: DataFrame, hourly: DataFrame) -> DataFrame:
+    """Each staged generation row with its country-hour weather (``hourly_weather``); a left
+    join, so hours without weather keep NULLs.  The weather side is an aggregate (one row per
+    country-hour): AQE broadcasts it when its measured size is small and falls back to a
+    shuffle join when it is not."""
     gen = stg.select("ts_hour", "date_key", "hour_of_day", "country_code", "country_name", "energy_source", "actual_mw")
-    return (gen.join(hourly_wind(wind), ["ts_hour", "country_code"], "left")
-               .join(hourly_solar(solar), ["ts_hour", "country_code"], "left")
-               .select("ts_hour", "date_key", "hour_of_day", "country_code", "country_name", "energy_source",
-                       "actual_mw", "avg_wind_speed", "avg_solar_radiation", "avg_temp"))
+    return gen.join(hourly, ["ts_hour", "country_code"], "left").select(
+        "ts_hour", "date_key", "hour_of_day", "country_code", "country_name", "energy_source",
+        "actual_mw", "avg_wind_speed", "avg_solar_radiation", "avg_temp")

@@ -62,8 +62,7 @@ def triage_input(spark, sf_dir):
 
 @query("doc_triage", Q([o.GEN_BASE], f"""
   select country, "date", 'ok' as status, cast(null as varchar) as reason_code, cast(null as varchar) as reason_text
-  from (select distinct country, date_trunc('hour', {GEN_TS}) as h, cast({GEN_TS} as date) as "date"
-        from gen_base where domain = 'generation')
+  from (select distinct country, cast({GEN_TS} as date) as "date" from gen_base where domain = 'generation')
   union all
   select country, "date", 'ack', '{ACK_CODE}', '{ACK_TEXT}'
   from (select distinct country, cast({GEN_TS} as date) as "date" from gen_base)

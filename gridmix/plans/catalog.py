@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmix import session
@@ -19,18 +18,23 @@ ORACLE: dict[str, str] = {}
 def normalize(df: DataFrame) -> DataFrame:
     """Result conventions shared with the oracle: integers as BIGINT, floats as DOUBLE,
     timestamps as naive UTC (TIMESTAMP_NTZ), decimals as DOUBLE."""
-    cols = []
+    exprs, changed = [], False
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        name = "`" + f.name.replace("`", "``") + "`"
         t = f.dataType
+        target = None
         if isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
-            c = c.cast("bigint")
+            target = "bigint"
         elif isinstance(t, (T.FloatType, T.DecimalType)):
-            c = c.cast("double")
+            target = "double"
         elif isinstance(t, T.TimestampType):
-            c = c.cast("timestamp_ntz")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            target = "timestamp_ntz"
+        if target:
+            changed = True
+            exprs.append(f"cast({name} as {target}) as {name}")
+        else:
+            exprs.append(name)
+    return df.selectExpr(*exprs) if changed else df
 
 
 def query(name: str, oracle: str | None = None):

@@ -32,9 +32,8 @@ def grid_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gen_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = load_weather_raw(spark, sf_dir)
-    cells = ops.weather_cells(raw)
-    return ops.int_generation_weather(staged(spark, sf_dir), ops.stg_wind(raw, cells), ops.stg_solar(raw, cells))
+    cells = ops.weather_cells(load_weather_raw(spark, sf_dir))
+    return ops.int_generation_weather(staged(spark, sf_dir), ops.hourly_weather(cells))
 
 
 @query("stg_generation", o.with_ctes(*o.STG_CHAIN, select="select * from stg"))

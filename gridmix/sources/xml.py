@@ -111,24 +111,25 @@ def _fmt(ts: Column) -> Column:
 
 
 def generation_documents(rows: DataFrame) -> DataFrame:
-    """Silver actual-generation rows -> one document per (country, hour): a TimeSeries per PSR
-    code with one PT15M period starting at the hour.  Groups are bounded by the time grid
-    (4 quarter-hours per series), so no group grows with the table."""
+    """Silver actual-generation rows -> one document per (country, day): a TimeSeries per PSR
+    code with one PT15M period starting at midnight, position = quarter-hour of the day + 1.
+    A document is bounded by the time grid (96 positions x the PSR codes), not by the table."""
     ts = gf.epoch_ns_to_ts("timestamp")
     pts = rows.where(F.col("domain") == "generation").select(
-        "country", "psr_type", F.date_trunc("hour", ts).alias("hour"),
-        (F.floor(F.minute(ts) / 15) + 1).cast("int").alias("position"), F.col("actual_MW").alias("q"))
+        "country", "psr_type", F.to_date(ts).alias("date"),
+        (F.hour(ts) * 4 + F.floor(F.minute(ts) / 15) + 1).cast("int").alias("position"), F.col("actual_MW").alias("q"))
     point = F.concat(F.lit("<Point><position>"), F.col("position").cast("string"), F.lit("</position><quantity>"),
                      F.col("q").cast("string"), F.lit("</quantity></Point>"))
-    series = pts.groupBy("country", "hour", "psr_type").agg(F.concat_ws("", F.collect_list(point)).alias("points"))
+    series = pts.groupBy("country", "date", "psr_type").agg(F.concat_ws("", F.collect_list(point)).alias("points"))
+    start = F.col("date").cast("timestamp")
     series_xml = F.concat(
         F.lit("<TimeSeries><MktPSRType><psrType>"), F.col("psr_type"), F.lit("</psrType></MktPSRType><Period>"),
-        F.lit("<timeInterval><start>"), _fmt(F.col("hour")), F.lit("</start><end>"),
-        _fmt(F.col("hour") + F.expr("INTERVAL 1 HOUR")), F.lit("</end></timeInterval>"),
+        F.lit("<timeInterval><start>"), _fmt(start), F.lit("</start><end>"),
+        _fmt(start + F.expr("INTERVAL 1 DAY")), F.lit("</end></timeInterval>"),
         F.lit("<resolution>PT15M</resolution>"), F.col("points"), F.lit("</Period></TimeSeries>"))
-    docs = series.groupBy("country", "hour").agg(F.concat_ws("", F.collect_list(series_xml)).alias("body"))
+    docs = series.groupBy("country", "date").agg(F.concat_ws("", F.collect_list(series_xml)).alias("body"))
     return docs.select(
-        "country", F.to_date("hour").alias("date"),
+        "country", "date",
         F.concat(F.lit(f'<{GENERATION_ROOT} xmlns="{GENERATION_NS}">'), F.col("body"),
                  F.lit(f"</{GENERATION_ROOT}>")).alias("xml"))
 
