@@ -32,29 +32,24 @@ def stg_generation(gen_raw: DataFrame) -> DataFrame:
     runs *before* the shuffle, so a hot (hour, country, source) key is cut to one row per map
     task and never concentrates in one reducer.
     """
-    src = gen_raw.select(
-        gf.epoch_ns_to_ts("timestamp").alias("source_ts"),
-        F.col("country"), F.col("energy_source"), F.col("psr_type"),
-        gf.nan_to_null("actual_MW").alias("actual_mw"),
-        gf.nan_to_null("forecast_MW").alias("forecast_mw"),
-    )
-    filtered = src.where(
-        F.col("source_ts").isNotNull() & ((F.col("actual_mw") >= 0) | (F.col("forecast_mw") >= 0))
-    ).select(
-        F.date_trunc("hour", "source_ts").alias("ts_hour"),
+    ts = gf.epoch_ns_to_ts("timestamp")
+    actual, forecast = gf.nan_to_null("actual_MW"), gf.nan_to_null("forecast_MW")
+    # filter on the raw columns, then one projection (each DataFrame step costs an analysis)
+    filtered = gen_raw.where(ts.isNotNull() & ((actual >= 0) | (forecast >= 0))).select(
+        F.date_trunc("hour", ts).alias("ts_hour"),
         F.col("country").alias("country_code"),
         F.col("energy_source"),
         F.col("psr_type").alias("psr_code"),
-        F.col("actual_mw"), F.col("forecast_mw"),
+        actual.alias("actual_mw"), forecast.alias("forecast_mw"),
         gf.country_name("country").alias("country_name"),
-        F.to_date("source_ts").alias("date_key"),
-        F.hour("source_ts").alias("hour_of_day"),
-        F.month("source_ts").alias("month_of_year"),
+        F.to_date(ts).alias("date_key"),
+        F.hour(ts).alias("hour_of_day"),
+        F.month(ts).alias("month_of_year"),
     )
     w = Window.partitionBy("ts_hour", "country_code", "energy_source").orderBy(
         F.col("actual_mw").desc_nulls_last(), F.col("forecast_mw").desc_nulls_last(), F.col("psr_code").asc_nulls_last()
     )
-    deduped = filtered.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    deduped = filtered.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
     return deduped.select(
         *STG_GENERATION_COLUMNS[:10],
         gf.unified_generation("actual_mw", "forecast_mw").alias("generation_mw"),

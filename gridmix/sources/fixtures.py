@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmix import functions as gf
+from gridmix import dims
 from gridmix.sources.tables import read_table
 
 # Fixed values — recipe constants of the derived fixtures (FIXTURES.md).
@@ -26,28 +26,34 @@ GRID_COUNTRIES = "DEDKESFRGRITPLSE"           # eight codes, one per grid column
 WEATHER_VARS = ["u100", "v100", "ssrd", "t2m"]
 
 
-def gen_base(events: DataFrame) -> DataFrame:
-    return events.selectExpr(
+def _gen_base_exprs() -> list[str]:
+    return [
         f"""{EPOCH_START_NS} + (event_id % 168) * {HOUR_NS}
             + cast(floor(event_id / 10000) as bigint) * {WEEK_NS}
-            + (cast(floor(event_id / 168) as bigint) % 4) * {QUARTER_NS} as ts_ns""",
-        f"substr('{GEN_COUNTRIES}', cast(1 + 2 * (user_id % 9) as int), 2) as country",
-        "'B' || lpad(cast(1 + (cast(floor(event_id / 336) as bigint) + event_id) % 21 as string), 2, '0') as psr_type",
+            + (cast(floor(event_id / 168) as bigint) % 4) * {QUARTER_NS}""",
+        f"substr('{GEN_COUNTRIES}', cast(1 + 2 * (user_id % 9) as int), 2)",
+        "'B' || lpad(cast(1 + (cast(floor(event_id / 336) as bigint) + event_id) % 21 as string), 2, '0')",
         """case when event_id % 11 = 0 then cast(null as double) when event_id % 13 = 0 then cast(-1 as double)
-                else floor(value * 4) / 4 end as actual_MW""",
-        "cast(case when event_id % 11 = 0 or event_id % 17 = 0 then floor(value * 8) / 8 end as double) as forecast_MW",
-        "case when event_id % 11 = 0 then 'forecast' else 'generation' end as domain",
-    )
+                else floor(value * 4) / 4 end""",
+        "cast(case when event_id % 11 = 0 or event_id % 17 = 0 then floor(value * 8) / 8 end as double)",
+        "case when event_id % 11 = 0 then 'forecast' else 'generation' end",
+    ]
+
+
+def gen_base(events: DataFrame) -> DataFrame:
+    names = ["ts_ns", "country", "psr_type", "actual_MW", "forecast_MW", "domain"]
+    return events.selectExpr(*[f"{e} as {n}" for e, n in zip(_gen_base_exprs(), names)])
 
 
 def gen_raw(events: DataFrame) -> DataFrame:
     """Silver generation schema: timestamp (epoch ns), country, energy_source, psr_type,
-    actual_MW, forecast_MW, domain."""
-    b = gen_base(events)
-    return b.select(
-        F.col("ts_ns").alias("timestamp"), "country", gf.psr_name("psr_type").alias("energy_source"),
-        "psr_type", "actual_MW", "forecast_MW", "domain",
-    )
+    actual_MW, forecast_MW, domain — one projection of ``events``."""
+    ts, country, psr, actual, forecast, domain = _gen_base_exprs()
+    known = "map(" + ", ".join(f"'{k}', '{v}'" for k, v in sorted(dims.PSR_TO_SOURCE.items())) + ")"
+    source = f"coalesce(try_element_at({known}, {psr}), concat('Unknown (', {psr}, ')'))"
+    return events.selectExpr(
+        f"{ts} as timestamp", f"{country} as country", f"{source} as energy_source", f"{psr} as psr_type",
+        f"{actual} as actual_MW", f"{forecast} as forecast_MW", f"{domain} as domain")
 
 
 def weather_base(embeddings: DataFrame) -> DataFrame:
