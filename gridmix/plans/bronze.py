@@ -68,8 +68,9 @@ def triage_input(spark, sf_dir):
   from (select distinct country, cast({GEN_TS} as date) as "date" from gen_base)
   where dayofmonth("date") % 3 = 0"""))
 def q_doc_triage(spark, sf_dir):
-    """Fetched documents classified as generation / acknowledgement (with reason) / other."""
-    return bx.triage(triage_input(spark, sf_dir))
+    """Fetched documents classified as generation / acknowledgement (with reason) / other,
+    one row per (country, day, outcome)."""
+    return bx.triage(triage_input(spark, sf_dir)).distinct()
 
 
 # --- bronze file tree ------------------------------------------------------------------------

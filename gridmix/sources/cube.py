@@ -17,10 +17,12 @@ CUBE_DDL = ("country string, variable string, time array<timestamp>, lat array<d
 
 
 def build_cubes(weather_raw: DataFrame) -> DataFrame:
-    """Long silver weather -> one cube per (country, variable, day).  The cube of a day holds
-    at most 24 x lat x lon values (bounded by the grid, not by the table)."""
+    """Long silver weather -> one cube per (country, variable, day).  Repeated cells are
+    collapsed first (max value, partially aggregated map-side), so a cube holds at most
+    24 x lat x lon values — bounded by the grid, never by how often a cell repeats."""
     cells = weather_raw.select(
-        "country", "variable", gf.epoch_ns_to_ts("timestamp").alias("t"), "lat", "lon", "value")
+        "country", "variable", gf.epoch_ns_to_ts("timestamp").alias("t"), "lat", "lon", "value") \
+        .groupBy("country", "variable", "t", "lat", "lon").agg(F.max("value").alias("value"))
     grouped = cells.groupBy("country", "variable", F.to_date("t").alias("day")).agg(
         F.array_sort(F.collect_set("t")).alias("time"),
         F.array_sort(F.collect_set("lat")).alias("lat"),

@@ -111,23 +111,28 @@ def _fmt(ts: Column) -> Column:
 
 
 def generation_documents(rows: DataFrame) -> DataFrame:
-    """Silver actual-generation rows -> one document per (country, day): a TimeSeries per PSR
-    code with one PT15M period starting at midnight, position = quarter-hour of the day + 1.
-    A document is bounded by the time grid (96 positions x the PSR codes), not by the table."""
+    """Silver actual-generation rows -> one document per (country, day, input split): a
+    TimeSeries per PSR code with one PT15M period starting at midnight, position =
+    quarter-hour of the day + 1.
+
+    The input split (``spark_partition_id`` of the scan, deterministic for file scans) is part
+    of the document key, so a document never holds more rows than one input split even when a
+    single country-day dominates the table."""
     ts = gf.epoch_ns_to_ts("timestamp")
     pts = rows.where(F.col("domain") == "generation").select(
-        "country", "psr_type", F.to_date(ts).alias("date"),
+        "country", "psr_type", F.to_date(ts).alias("date"), F.spark_partition_id().alias("split"),
         (F.hour(ts) * 4 + F.floor(F.minute(ts) / 15) + 1).cast("int").alias("position"), F.col("actual_MW").alias("q"))
     point = F.concat(F.lit("<Point><position>"), F.col("position").cast("string"), F.lit("</position><quantity>"),
                      F.col("q").cast("string"), F.lit("</quantity></Point>"))
-    series = pts.groupBy("country", "date", "psr_type").agg(F.concat_ws("", F.collect_list(point)).alias("points"))
+    series = pts.groupBy("country", "date", "split", "psr_type").agg(
+        F.concat_ws("", F.collect_list(point)).alias("points"))
     start = F.col("date").cast("timestamp")
     series_xml = F.concat(
         F.lit("<TimeSeries><MktPSRType><psrType>"), F.col("psr_type"), F.lit("</psrType></MktPSRType><Period>"),
         F.lit("<timeInterval><start>"), _fmt(start), F.lit("</start><end>"),
         _fmt(start + F.expr("INTERVAL 1 DAY")), F.lit("</end></timeInterval>"),
         F.lit("<resolution>PT15M</resolution>"), F.col("points"), F.lit("</Period></TimeSeries>"))
-    docs = series.groupBy("country", "date").agg(F.concat_ws("", F.collect_list(series_xml)).alias("body"))
+    docs = series.groupBy("country", "date", "split").agg(F.concat_ws("", F.collect_list(series_xml)).alias("body"))
     return docs.select(
         "country", "date",
         F.concat(F.lit(f'<{GENERATION_ROOT} xmlns="{GENERATION_NS}">'), F.col("body"),
@@ -135,15 +140,16 @@ def generation_documents(rows: DataFrame) -> DataFrame:
 
 
 def forecast_documents(rows: DataFrame) -> DataFrame:
-    """Silver forecast rows -> one day-ahead document per (country, day, PSR code): hourly
-    points, position = hour of day + 1 (at most 24 positions per series)."""
+    """Silver forecast rows -> one day-ahead document per (country, day, PSR code, input
+    split): hourly points, position = hour of day + 1."""
     ts = gf.epoch_ns_to_ts("timestamp")
     pts = rows.where(F.col("domain") == "forecast").select(
-        "country", "psr_type", F.to_date(ts).alias("date"), (F.hour(ts) + 1).alias("position"),
-        F.col("forecast_MW").alias("q"))
+        "country", "psr_type", F.to_date(ts).alias("date"), F.spark_partition_id().alias("split"),
+        (F.hour(ts) + 1).alias("position"), F.col("forecast_MW").alias("q"))
     point = F.concat(F.lit("<Point><position>"), F.col("position").cast("string"), F.lit("</position><quantity>"),
                      F.col("q").cast("string"), F.lit("</quantity></Point>"))
-    series = pts.groupBy("country", "date", "psr_type").agg(F.concat_ws("", F.collect_list(point)).alias("points"))
+    series = pts.groupBy("country", "date", "split", "psr_type").agg(
+        F.concat_ws("", F.collect_list(point)).alias("points"))
     start = F.col("date").cast("timestamp")
     return series.select(
         "country", "date",
