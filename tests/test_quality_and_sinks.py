@@ -5,7 +5,7 @@ import pytest
 from gridmix import dims, sinks
 from gridmix import operators as ops
 from gridmix.operators import quality as dq
-from gridmix.plans import pipeline
+from gridmix.plans import increments as pipeline
 from helpers import HOUR, gen_rows
 
 
