@@ -31,10 +31,3 @@ def run_available_now(spark: SparkSession, landing: str, silver: str, checkpoint
 def read_silver(spark: SparkSession, silver: str) -> DataFrame:
     """Batch read of a stream-written silver table (through its commit log)."""
     return sinks.read_silver_generation(spark, silver)
-
-
-def split_landing(raw: DataFrame, landing: str, cut) -> None:
-    """Land raw rows in two drops (before / from ``cut``) — used to exercise increments."""
-    day = F.to_date(gf.epoch_ns_to_ts("timestamp"))
-    raw.where(day < cut).write.mode("overwrite").parquet(f"{landing}/drop=1")
-    raw.where(day >= cut).write.mode("overwrite").parquet(f"{landing}/drop=2")
