@@ -5,9 +5,7 @@ processes whatever arrived since the last run and stops."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from gridmix import functions as gf
 from gridmix import sinks
 from gridmix.sources.tables import SILVER_GENERATION_SCHEMA
 
