@@ -37,18 +37,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used as is.  Only
-    when it is unset (local tests) a scratch folder is created.
+    when it is unset (local tests) a scratch folder is created.  Works with classic sessions
+    and, through the session conf alone, with Spark Connect sessions.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return sc.getCheckpointDir() or current
-    local = tempfile.mkdtemp(prefix="gridmix-ckpt-")
-    sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return sc.getCheckpointDir() or local
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — Spark Connect: no SparkContext on the client
+        sc = None
+    current = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        current = tempfile.mkdtemp(prefix="gridmix-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", current)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return (sc.getCheckpointDir() if sc is not None else None) or current
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
