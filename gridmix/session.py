@@ -33,24 +33,30 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """Return the shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used as is.  Only
-    when it is unset (local tests) a scratch folder is created.  Works with classic sessions
-    and, through the session conf alone, with Spark Connect sessions.
+    On a cluster it points at shared storage and is used as is.  Only when it is unset (local
+    tests) a scratch folder is created and set with ``setCheckpointDir`` (the key itself is a
+    core setting that cannot be changed at runtime).  Without a SparkContext (Spark Connect)
+    the session conf is read and a process-level scratch folder is the last resort.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 — Spark Connect: no SparkContext on the client
         sc = None
-    current = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="gridmix-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if sc is not None and not sc.getCheckpointDir():
+        current = _LOCAL_FALLBACK.setdefault("dir", tempfile.mkdtemp(prefix="gridmix-ckpt-"))
+    if sc is not None:
         sc.setCheckpointDir(current)
-    return (sc.getCheckpointDir() if sc is not None else None) or current
+        return sc.getCheckpointDir() or current
+    return current
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
