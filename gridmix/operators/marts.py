@@ -70,7 +70,18 @@ def fct_grid_carbon_intensity(hourly: DataFrame) -> DataFrame:
     pipeline runs once — a self-join on the daily table would plan it twice.  A country's
     daily rows are one per day, so even a dominant country is a small window partition.
     """
-    daily = _daily_intensity(hourly).repartition("country_code")
+    return with_typical_hour(_daily_intensity(hourly))
+
+
+def daily_intensity(hourly: DataFrame) -> DataFrame:
+    """The per-day part of the carbon mart (no typical hour): incremental by day."""
+    return _daily_intensity(hourly)
+
+
+def with_typical_hour(daily_intensity_rows: DataFrame) -> DataFrame:
+    """Add each country's typical cleanest hour (mode over all the given days) to the daily
+    intensity rows, and the daily intensity range."""
+    daily = daily_intensity_rows.repartition("country_code")
     hour = F.col("cleanest_hour_of_day")
     n = F.count(F.lit(1)).over(Window.partitionBy("country_code", "cleanest_hour_of_day"))
     best = F.max(F.struct(F.col("_n"), (-hour).alias("neg_h"))).over(Window.partitionBy("country_code"))
