@@ -1,6 +1,6 @@
 """Models (staging -> intermediate -> mart) and data-quality checks, each DataFrame -> DataFrame."""
 
-from gridmix.operators.staging import stg_generation, stg_wind, stg_solar, weather_cells  # noqa: F401
+from gridmix.operators.staging import stg_generation, stg_wind, stg_solar, weather_cells, align_forecast  # noqa: F401
 from gridmix.operators.intermediate import (  # noqa: F401
     int_daily_generation, int_carbon_intensity, int_generation_weather, hourly_wind, hourly_solar, hourly_weather,
 )

@@ -112,3 +112,29 @@ def stg_wind(weather_raw: DataFrame, cells: DataFrame | None = None) -> DataFram
 def stg_solar(weather_raw: DataFrame, cells: DataFrame | None = None) -> DataFrame:
     cells = weather_cells(weather_raw) if cells is None else cells
     return _solar_columns(cells.where("has_solar"))
+
+
+def align_forecast(gen_raw: DataFrame) -> DataFrame:
+    """Optional staging variant: the actual and the day-ahead forecast of a (hour, country,
+    source) on ONE row, so the forecast error is defined (the default staging keeps one
+    source row and drops the forecast row whenever an actual exists).
+
+    Equivalent to a full outer join of the per-key actual and forecast aggregates, written as
+    one conditional aggregation (one shuffle, no join): the largest valid actual of the
+    generation rows and the largest valid forecast of the forecast rows."""
+    ts = gf.epoch_ns_to_ts("timestamp")
+    actual, forecast = gf.nan_to_null("actual_MW"), gf.nan_to_null("forecast_MW")
+    rows = gen_raw.where(ts.isNotNull()).select(
+        F.date_trunc("hour", ts).alias("ts_hour"), F.col("country").alias("country_code"), F.col("energy_source"),
+        F.when(F.col("domain") != "forecast", F.when(actual >= 0, actual)).alias("a"),
+        F.when(F.col("domain") == "forecast", F.when(forecast >= 0, forecast)).alias("f"),
+    )
+    agg = rows.groupBy("ts_hour", "country_code", "energy_source").agg(
+        F.max("a").alias("actual_mw"), F.max("f").alias("forecast_mw"))
+    return agg.where(F.col("actual_mw").isNotNull() | F.col("forecast_mw").isNotNull()).select(
+        "ts_hour", "country_code", gf.country_name("country_code").alias("country_name"),
+        F.to_date("ts_hour").alias("date_key"), F.hour("ts_hour").alias("hour_of_day"), "energy_source",
+        "actual_mw", "forecast_mw",
+        gf.unified_generation("actual_mw", "forecast_mw").alias("generation_mw"),
+        gf.forecast_error_ratio("actual_mw", "forecast_mw").alias("forecast_error_pct"),
+    )

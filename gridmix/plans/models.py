@@ -98,3 +98,30 @@ def int_daily_from(stg: DataFrame) -> DataFrame:
 
 def hourly_ci_from(stg: DataFrame, spark: SparkSession) -> DataFrame:
     return ops.int_carbon_intensity(stg, dims.dim_energy_source(spark))
+
+
+ALIGNED_CTES = ["""al_src as (
+    select date_trunc('hour', make_timestamp("timestamp" // 1000)) as ts_hour, country as country_code, energy_source,
+           case when isnan(actual_MW) then null else actual_MW end as a,
+           case when isnan(forecast_MW) then null else forecast_MW end as f, domain
+    from gen_raw where "timestamp" is not null)""",
+    """al_act as (select ts_hour, country_code, energy_source, max(a) as actual_mw from al_src
+          where domain <> 'forecast' and a >= 0 group by 1, 2, 3)""",
+    """al_fc as (select ts_hour, country_code, energy_source, max(f) as forecast_mw from al_src
+         where domain = 'forecast' and f >= 0 group by 1, 2, 3)""",
+    """al_j as (select coalesce(a.ts_hour, f.ts_hour) as ts_hour, coalesce(a.country_code, f.country_code) as country_code,
+               coalesce(a.energy_source, f.energy_source) as energy_source, a.actual_mw, f.forecast_mw
+        from al_act a full outer join al_fc f on a.ts_hour = f.ts_hour and a.country_code = f.country_code
+                                          and a.energy_source = f.energy_source)"""]
+
+
+@query("stg_generation_aligned", o.with_ctes(*o.STG_CHAIN[:2], *ALIGNED_CTES, select=f"""
+  select ts_hour, country_code, {o.country_name_sql('country_code')} as country_name, cast(ts_hour as date) as date_key,
+         cast(hour(ts_hour) as bigint) as hour_of_day, energy_source, actual_mw, forecast_mw,
+         coalesce(actual_mw, forecast_mw) as generation_mw,
+         case when actual_mw is not null and forecast_mw is not null
+              then abs(actual_mw - forecast_mw) / greatest(forecast_mw, 0.01) end as forecast_error_pct
+  from al_j"""))
+def q_stg_generation_aligned(spark, sf_dir):
+    """Staging with actual and forecast aligned on one row per (hour, country, source)."""
+    return ops.align_forecast(load_gen_raw(spark, sf_dir))
