@@ -75,3 +75,15 @@ def test_zero_wind_efficiency_is_null(spark):
         "country_name string, energy_source string, actual_mw double, avg_wind_speed double, avg_solar_radiation double")
     r = weather_efficiency(gw).collect()[0]
     assert r["mw_per_ms"] is None and r["avg_actual_mw"] == 10.0
+
+
+def test_heatmap_wide_pivot(spark):
+    from gridmix.plans.reports import carbon_heatmap_wide
+
+    fct = spark.createDataFrame(
+        [("Greece", "2025-02-27", 100.0, 10.0), ("Greece", "2025-03-01", 50.0, 20.0), ("Spain", "2025-03-02", 80.5, 5.0)],
+        "country_name string, d string, avg_carbon_intensity_gco2_kwh double, avg_renewable_pct double",
+    ).selectExpr("country_name", "cast(d as date) as date_key", "avg_carbon_intensity_gco2_kwh", "avg_renewable_pct")
+    rows = {r["country_name"]: r for r in carbon_heatmap_wide(fct, ["2025-02", "2025-03"]).collect()}
+    assert rows["Greece"]["2025-02"] == 100.0 and rows["Greece"]["2025-03"] == 50.0
+    assert rows["Spain"]["2025-02"] is None and rows["Spain"]["2025-03"] == 80.5
