@@ -134,16 +134,24 @@ def safe_share_pct(part: Column, total: Column, digits: int = 2) -> Column:
 
 
 def exact_avg(x: Column | str, scale: int = 2, digits: int | None = None) -> Column:
-    """Average of values carrying ``scale`` decimals, computed in decimal arithmetic and
-    rounded half up to ``digits`` decimals (default ``scale + 4``).
-
-    A float sum depends on the order rows reach each partial aggregate, so the same query can
-    differ in the last bits from run to run; a decimal sum is exact and the result is
-    reproducible.
+    """Average of values carrying ``scale`` decimals, exact and rounded half away from zero to
+    ``digits`` decimals (default ``scale + 4``).
+
+    A float sum depends on the order rows reach each partial aggregate, so a plain ``avg`` can
+    differ in the last bits from run to run.  Here each value becomes an integer number of
+    10^-scale units and the units are summed as LONG (exact, and a primitive hash-aggregate
+    buffer — about twice as fast as a decimal sum).  The one division per group is done in
+    integers: half-up(a / b) = (2|a| + b) div 2b, with the sign of a reapplied.
     """
     c = col_of(x)
     digits = scale + 4 if digits is None else digits
-    return F.round(F.sum(c.cast(f"decimal(18,{scale})")) / F.count(c), digits).cast("double")
+    units = F.sum(F.round(c * F.lit(10.0 ** scale)).cast("long"))
+    n = F.count(c)
+    a = units * F.lit(10 ** (digits - scale)) if digits >= scale else units
+    b = n if digits >= scale else n * F.lit(10 ** (scale - digits))
+    num, den = F.abs(a) * 2 + b, b * 2
+    q = ((num - num % den).cast("decimal(38,0)") / den.cast("decimal(38,0)")).cast("long") * F.signum(a).cast("long")
+    return F.when(n > 0, q.cast("double") / F.lit(10.0 ** digits))
 
 
 # --- weather (C12, C15) --------------------------------------------------------------------
