@@ -31,9 +31,9 @@ def grid_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.fct_grid_carbon_intensity(hourly_ci(spark, sf_dir))
 
 
-def gen_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gen_weather(spark: SparkSession, sf_dir: str, stg: DataFrame | None = None) -> DataFrame:
     cells = ops.weather_cells(load_weather_raw(spark, sf_dir))
-    return ops.int_generation_weather(staged(spark, sf_dir), ops.hourly_weather(cells))
+    return ops.int_generation_weather(staged(spark, sf_dir) if stg is None else stg, ops.hourly_weather(cells))
 
 
 @query("stg_generation", o.with_ctes(*o.STG_CHAIN, select="select * from stg"))

@@ -455,8 +455,12 @@ def q_weather_by_month(spark, sf_dir):
         on k.date_key = w.date_key and k.country_code = w.country_code)
   group by 1"""))
 def q_renewable_vs_wind(spark, sf_dir):
-    """Monthly renewable % beside onshore wind speed (blend of two aggregates)."""
-    return renewable_vs_wind(m.kpi(spark, sf_dir), m.gen_weather(spark, sf_dir))
+    """Monthly renewable % beside onshore wind speed (blend of two aggregates).  Both sides
+    derive from staging, which is materialised once instead of being scanned and
+    de-duplicated by each branch."""
+    stg = materialize(m.staged(spark, sf_dir), "stg")
+    kpi = m.ops.fct_renewable_kpi(m.int_daily_from(stg))
+    return renewable_vs_wind(kpi, m.gen_weather(spark, sf_dir, stg))
 
 
 @query("weather_efficiency", Q(GW, f"""
