@@ -52,10 +52,11 @@ def q_xml_forecast_flatten(spark, sf_dir):
 
 
 def triage_input(spark, sf_dir):
-    raw = load_gen_raw(spark, sf_dir)
-    gen_docs = bx.generation_documents(raw)
-    days = raw.select("country", F.to_date(gf.epoch_ns_to_ts("timestamp")).alias("date")) \
-        .distinct().where(F.dayofmonth("date") % 3 == 0)
+    """Generation documents plus an acknowledgement ("no data") document on the country-days
+    divisible by 3.  The ack days come from the documents themselves, so the raw table is
+    scanned once (Spark reuses the documents' exchange for both union branches)."""
+    gen_docs = bx.generation_documents(load_gen_raw(spark, sf_dir)).select("country", "date", "xml")
+    days = gen_docs.select("country", "date").distinct().where(F.dayofmonth("date") % 3 == 0)
     acks = days.select("country", "date", bx.acknowledgement_document(F.lit(ACK_CODE), F.lit(ACK_TEXT)).alias("xml"))
     return gen_docs.unionByName(acks)
 
@@ -65,7 +66,7 @@ def triage_input(spark, sf_dir):
   from (select distinct country, cast({GEN_TS} as date) as "date" from gen_base where domain = 'generation')
   union all
   select country, "date", 'ack', '{ACK_CODE}', '{ACK_TEXT}'
-  from (select distinct country, cast({GEN_TS} as date) as "date" from gen_base)
+  from (select distinct country, cast({GEN_TS} as date) as "date" from gen_base where domain = 'generation')
   where dayofmonth("date") % 3 = 0"""))
 def q_doc_triage(spark, sf_dir):
     """Fetched documents classified as generation / acknowledgement (with reason) / other,
@@ -75,13 +76,20 @@ def q_doc_triage(spark, sf_dir):
 
 # --- bronze file tree ------------------------------------------------------------------------
 
-def bronze_listing(spark, sf_dir):
+def data_days(spark, sf_dir):
+    """Distinct (country, day) of the raw rows, materialised: a small table that the listing
+    and the date bounds all read, so the raw table is scanned once."""
+    from gridmix.session import materialize
+
+    raw = load_gen_raw(spark, sf_dir)
+    return materialize(raw.select("country", F.to_date(gf.epoch_ns_to_ts("timestamp")).alias("d")).distinct(), "days")
+
+
+def bronze_listing(spark, sf_dir, days=None):
     """Paths of the bronze tree implied by the data: a generation file per country-day (days
     divisible by 3 missing), monthly wind / solar cubes per country-month, and daily wind
     cubes on days divisible by 5."""
-    raw = load_gen_raw(spark, sf_dir)
-    days = raw.select("country", F.to_date(gf.epoch_ns_to_ts("timestamp")).alias("d")) \
-        .distinct()
+    days = data_days(spark, sf_dir) if days is None else days
     gen = days.where(F.dayofmonth("d") % 3 != 0).select(F.concat_ws(
         "/", F.lit("bronze/entsoe"), "country", F.lit("generation"), F.date_format("d", "yyyy-MM-dd"),
         F.lit("generation.xml")).alias("path"))
@@ -121,9 +129,9 @@ bz_window as (select min(d) + {PRUNE_OFFSET_DAYS} as s, min(d) + {PRUNE_OFFSET_D
 def q_file_overlap_prune(spark, sf_dir):
     """Bronze files selected for a 7-day window: generation files by folder date, weather
     files (daily or monthly) by interval overlap."""
-    listing = files.path_columns(bronze_listing(spark, sf_dir))
-    raw = load_gen_raw(spark, sf_dir)
-    first = raw.select(F.min(F.to_date(gf.epoch_ns_to_ts("timestamp")))).scalar()
+    days = data_days(spark, sf_dir)
+    listing = files.path_columns(bronze_listing(spark, sf_dir, days))
+    first = days.select(F.min("d")).scalar()
     start, end = F.date_add(first, PRUNE_OFFSET_DAYS), F.date_add(first, PRUNE_OFFSET_DAYS + PRUNE_SPAN_DAYS)
     gen = files.prune_by_date(listing.where(F.col("file_date").isNotNull()), start, end)
     wea = files.prune_by_overlap(listing.where(F.col("file_date").isNull()), start, end)
@@ -139,10 +147,9 @@ def q_file_overlap_prune(spark, sf_dir):
 def q_missing_partitions(spark, sf_dir):
     """Work grid (every configured country x every day in range) minus the generation files
     that exist — the days a backfill has to fetch."""
-    listing = files.path_columns(bronze_listing(spark, sf_dir)).where(F.col("domain") == "generation")
-    raw = load_gen_raw(spark, sf_dir)
-    d = F.to_date(gf.epoch_ns_to_ts("timestamp"))
-    lo, hi = raw.select(F.min(d)).scalar(), raw.select(F.max(d)).scalar()
+    days = data_days(spark, sf_dir)
+    listing = files.path_columns(bronze_listing(spark, sf_dir, days)).where(F.col("domain") == "generation")
+    lo, hi = days.select(F.min("d")).scalar(), days.select(F.max("d")).scalar()
     grid = dims.dim_country(spark).select(F.col("country_code").alias("country"),
                                           F.explode(F.sequence(lo, hi)).alias("date"))
     have = listing.select("country", F.col("file_date").alias("date"))
