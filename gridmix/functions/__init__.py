@@ -17,7 +17,7 @@ __all__ = [
     "point_time", "parse_xml_time", "unified_generation", "forecast_error_ratio",
     "wind_speed", "wind_direction_math", "wind_direction_compass", "kelvin_to_celsius",
     "radiation_wm2", "metres_to_mm", "fraction_to_pct", "to_gwh", "fuel_group",
-    "exact_avg", "safe_share_pct",
+    "exact_avg", "safe_share_pct", "in_list", "require_columns", "report_filter", "MissingColumnsError",
 ]
 
 
