@@ -8,6 +8,7 @@ from gridmix import dims
 from gridmix.operators import quality as dq
 from gridmix.plans import models as m
 from gridmix.plans.catalog import query
+from gridmix.sources import load_gen_raw, load_weather_raw
 from gridmix.session import materialize
 from gridmix.verify import oracle as o
 
@@ -19,6 +20,26 @@ def Q(parts, select):
 STG, IDG, KPI, CI, FCT = o.STG_CHAIN, o.IDG_CHAIN, o.KPI_CHAIN, o.CI_CHAIN, o.FCT_CI_CHAIN
 
 
+def source_checks(gen_raw, weather_raw):
+    """Declared tests of the raw sources: every row has a timestamp."""
+    return [
+        dq.row_check("not_null_timestamp", "raw_entsoe_generation", gen_raw, F.col("timestamp").isNull()),
+        dq.row_check("not_null_timestamp", "raw_era5_weather", weather_raw, F.col("timestamp").isNull()),
+    ]
+
+
+def recency_checks(stg, kpi, as_of):
+    """Warn-only freshness: staging within 4 hours, the KPI mart within 2 days of ``as_of``."""
+    stale = F.col("is_stale")
+    return [
+        dq.Check("recency_4_hours", "stg_generation",
+                 dq.recency(stg, "ts_hour", "hour", 4, as_of=as_of).where(stale), severity="warn"),
+        dq.Check("recency_2_days", "fct_renewable_kpi",
+                 dq.recency(kpi, "date_key", "day", 2, as_of=as_of, ignore_time_component=True).where(stale),
+                 severity="warn"),
+    ]
+
+
 def staging_checks(stg, daily, kpi, hourly, fct, dim_country):
     """The declared checks of the models (keys not null and unique, value ranges, singular
     tests).  Row-level ones are predicates (fused per model by ``quality.summary``)."""
@@ -148,12 +169,18 @@ def _summary_sql() -> str:
          "select distinct country_code from kpi where country_code not in (select country_code from dim_country)"),
         ("daily_intensity_range", "fct_grid_carbon_intensity", "error",
          "select * from fct_ci where avg_carbon_intensity_gco2_kwh < 0 or avg_carbon_intensity_gco2_kwh > 1200"),
+        ("not_null_timestamp", "raw_entsoe_generation", "error", 'select * from gen_raw where "timestamp" is null'),
+        ("not_null_timestamp", "raw_era5_weather", "error", 'select * from weather_raw where "timestamp" is null'),
+        ("recency_4_hours", "stg_generation", "warn",
+         "select 1 from stg having max(ts_hour) < (select max(ts_hour) from stg) - interval 4 hour"),
+        ("recency_2_days", "fct_renewable_kpi", "warn",
+         "select 1 from kpi having max(date_key) < cast((select max(ts_hour) from stg) as date) - interval 2 day"),
     ]
     body = "\n  union all\n  ".join(
         f"select '{c}' as \"check\", '{mdl}' as model, '{sev}' as severity, count(*) as failures from ({sql})"
         for c, mdl, sev, sql in parts)
     chain = []
-    for p in (KPI, FCT, [o.DIM_COUNTRY]):
+    for p in (KPI, FCT, [o.DIM_COUNTRY], o.WEATHER_CHAIN):
         for cte in p:
             if cte not in chain:
                 chain.append(cte)
@@ -171,4 +198,6 @@ def q_dq_summary(spark, sf_dir):
     kpi = m.ops.fct_renewable_kpi(daily)
     fct = m.ops.fct_grid_carbon_intensity(hourly)
     checks = staging_checks(stg, daily, kpi, hourly, fct, dims.dim_country(spark))
+    checks += source_checks(load_gen_raw(spark, sf_dir), load_weather_raw(spark, sf_dir))
+    checks += recency_checks(stg, kpi, stg.select(F.max("ts_hour")).scalar())
     return dq.summary(checks)
