@@ -69,9 +69,7 @@ def q_fct_grid_carbon_intensity(spark, sf_dir):
 @query("typical_cleanest_hour", o.with_ctes(*o.FCT_CI_CHAIN, select="select * from fci_typical"))
 def q_typical_cleanest_hour(spark, sf_dir):
     """Per country, the hour of day that is most often the cleanest."""
-    hourly = hourly_ci(spark, sf_dir)
-    from gridmix.operators.marts import _daily_intensity
-    return ops.typical_cleanest_hour(_daily_intensity(hourly))
+    return ops.typical_cleanest_hour(ops.daily_intensity(hourly_ci(spark, sf_dir)))
 
 
 @query("stg_wind", o.with_ctes(*o.WEATHER_CHAIN, o.WIND, select="select * from wind"))
