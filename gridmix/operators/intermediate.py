@@ -13,10 +13,13 @@ def int_daily_generation(stg: DataFrame) -> DataFrame:
     """Per (date, country, source): avg/max/min/sum of hourly MW (rounded 2), hours reported,
     the country-day total over the *rounded* source sums and the source's share of it.
 
-    The country-day total is a window sum over the daily aggregate instead of a self-join:
-    one extra exchange on (date, country) over the small daily table, no join.
+    The country-day total is a window sum over the daily aggregate instead of a self-join.
+    Staged rows are unique per (hour, country, source), so a (date, country) group holds at
+    most 24 x sources rows: one repartition by (date, country) is skew-safe and serves the
+    daily aggregate, the share window and a KPI aggregate on top without further exchanges.
     """
-    daily = stg.groupBy("date_key", "energy_source", "country_code", "country_name").agg(
+    daily = stg.repartition("date_key", "country_code").groupBy(
+        "date_key", "energy_source", "country_code", "country_name").agg(
         F.round(F.avg("actual_mw"), 2).alias("avg_hourly_mw"),
         F.round(F.max("actual_mw"), 2).alias("max_hourly_mw"),
         F.round(F.min("actual_mw"), 2).alias("min_hourly_mw"),

@@ -52,3 +52,8 @@ def test_no_cartesian_products_anywhere(spark, name):
         pytest.skip("writes files while planning")
     p = plan(spark, name)
     assert "CartesianProduct" not in p
+
+
+def test_kpi_chain_has_two_shuffles(spark):
+    # dedup (hour, country, source) + one (date, country) repartition for daily/window/KPI
+    assert shuffles(plan(spark, "fct_renewable_kpi")) == 2
