@@ -30,7 +30,7 @@ def test_dedup_limits_before_the_shuffle(spark):
 def test_carbon_mart_runs_the_pipeline_once(spark):
     p = plan(spark, "fct_grid_carbon_intensity")
     assert p.count("FileScan parquet") == 1
-    assert shuffles(p) <= 4
+    assert shuffles(p) == 3  # dedup; (date, country) for hourly + daily; country for the typical hour
     assert "BroadcastHashJoin" in p  # the 20-row energy-source seed
 
 
