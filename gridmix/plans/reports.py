@@ -87,9 +87,11 @@ def renewable_trends(kpi: DataFrame, as_of=None, days: int = 30) -> DataFrame:
 
 def weather_correlation(gw: DataFrame) -> DataFrame:
     """Daily generation vs weather per country.  Each hour's weather is counted once (the
-    hourly rows are first collapsed per country-hour, where the weather is constant)."""
+    hourly rows are first collapsed per country-hour, where the weather is constant).  One
+    repartition by (date, country) — bounded groups after de-duplication — serves both
+    aggregations."""
     ren = gf.is_renewable_name("energy_source")
-    hourly = gw.groupBy("date_key", "country_code", "country_name", "ts_hour").agg(
+    hourly = gw.repartition("date_key", "country_code").groupBy("date_key", "country_code", "country_name", "ts_hour").agg(
         F.sum("actual_mw").alias("mwh"),
         F.sum(F.when(ren, F.col("actual_mw"))).alias("ren_mwh"),
         F.max("avg_wind_speed").alias("wind"), F.max("avg_solar_radiation").alias("solar"),
