@@ -12,7 +12,7 @@ def fct_renewable_kpi(daily: DataFrame) -> DataFrame:
     """Per (date, country): renewable share of the day's MWh, renewable and total MWh, and the
     number of (renewable) sources reporting.
 
-    ``daily`` is unique per (date, country, source) (checked by ``quality.unique``), so the
+    ``daily`` is unique per (date, country, source) (checked by ``quality.unique_combination``), so the
     distinct source counts are plain conditional counts — no Expand/double aggregation.
     """
     ren = gf.is_renewable_name("energy_source")

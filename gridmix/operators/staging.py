@@ -61,8 +61,10 @@ def weather_cells(weather_raw: DataFrame) -> DataFrame:
     """One pivot for both weather staging models: per (ts, lat, lon, country) the max value of
     each of the five variables plus flags saying whether the cell had any wind / solar row.
 
-    Wind and solar read the same silver table; pivoting once lets both models share one scan
-    and one shuffle instead of two of each.
+    Wind and solar read the same silver table.  ``intermediate.hourly_weather`` aggregates both
+    from this one pivot in a single pass (one scan, two shuffles).  Read separately as
+    ``stg_wind`` and ``stg_solar``, each side prunes different columns and Spark plans its own
+    scan.
     """
     wanted = dims.WIND_VARIABLES + dims.SOLAR_VARIABLES
     src = weather_raw.select(
