@@ -60,3 +60,15 @@ def test_append_missing_and_table(spark, tmp_dir):
     sinks.save_table(spark, df, "gm_test_table", os.path.join(tmp_dir, "tbl"))
     assert spark.sql("select count(*) from gm_test_table").collect()[0][0] == 2
     assert sinks.write_repartitioned(df, os.path.join(tmp_dir, "r"), 2) == 2
+
+
+def test_publish_gate_blocks_on_value_checks(spark, tmp_dir):
+    raw = _raw(spark)
+    silver, wh = os.path.join(tmp_dir, "s"), os.path.join(tmp_dir, "w")
+    pipeline.ingest(raw, silver)
+    with pytest.raises(dq.QualityGateError, match="mw_positive"):
+        pipeline.publish_marts(spark, silver, wh, gate_checks=lambda stg: [
+            dq.row_check("mw_positive", "stg_generation", stg, stg["actual_mw"] < 0)])
+    assert not os.path.exists(os.path.join(wh, "fct_renewable_kpi"))  # nothing published
+    pipeline.publish_marts(spark, silver, wh)  # key-integrity gate passes
+    assert spark.read.parquet(os.path.join(wh, "fct_renewable_kpi")).count() == 2
