@@ -28,12 +28,31 @@ def fct_renewable_kpi(daily: DataFrame) -> DataFrame:
     )
 
 
+# An (intensity, hour) pair packed into one LONG: intensity in hundredths (the model rounds
+# to 2 decimals, so this is exact) times 32, plus the hour (< 32).  min / max over the packed
+# key picks the extreme intensity and, among ties, the hour the packing favours — and a LONG
+# keeps the aggregation in a code-generated hash aggregate (a struct buffer forces a sort).
+_HOURS = 32
+
+
+def _pack(value_cents, hour):
+    return value_cents * F.lit(_HOURS) + hour
+
+
+def _unpack_hour(key):
+    return F.pmod(key, F.lit(_HOURS)).cast("int")
+
+
+def _unpack_value(key):
+    return (F.floor(key / F.lit(_HOURS)) / F.lit(100.0)).cast("double")
+
+
 def _daily_intensity(hourly: DataFrame) -> DataFrame:
-    """Daily stats plus cleanest / dirtiest hour in ONE aggregation: min/max over
-    (intensity, hour) structs pick the extreme hour, ties going to the earlier hour."""
+    """Daily stats plus cleanest / dirtiest hour in ONE hash aggregation (ties: earlier hour)."""
     ci, hour = F.col("carbon_intensity_gco2_kwh"), F.col("hour_of_day")
-    cleanest = F.min(F.struct(ci.alias("ci"), hour.alias("h")))
-    dirtiest = F.max(F.struct(ci.alias("ci"), (-hour).alias("neg_h")))
+    cents = F.round(ci * F.lit(100.0)).cast("long")
+    cleanest = F.min(_pack(cents, hour))                            # low intensity, then early hour
+    dirtiest = F.max(_pack(cents, F.lit(_HOURS - 1) - hour))        # high intensity, then early hour
     return hourly.groupBy("date_key", "country_code", "country_name").agg(
         gf.exact_avg(ci, 2, 2).alias("avg_carbon_intensity_gco2_kwh"),
         F.round(F.min(ci), 2).alias("min_carbon_intensity_gco2_kwh"),
@@ -45,8 +64,10 @@ def _daily_intensity(hourly: DataFrame) -> DataFrame:
     ).select(
         "date_key", "country_code", "country_name", "avg_carbon_intensity_gco2_kwh",
         "min_carbon_intensity_gco2_kwh", "max_carbon_intensity_gco2_kwh", "avg_renewable_pct", "hours_reported",
-        F.col("_clean.h").alias("cleanest_hour_of_day"), F.col("_clean.ci").alias("cleanest_hour_intensity"),
-        (-F.col("_dirty.neg_h")).alias("dirtiest_hour_of_day"), F.col("_dirty.ci").alias("dirtiest_hour_intensity"),
+        _unpack_hour(F.col("_clean")).alias("cleanest_hour_of_day"),
+        _unpack_value(F.col("_clean")).alias("cleanest_hour_intensity"),
+        (F.lit(_HOURS - 1) - _unpack_hour(F.col("_dirty"))).alias("dirtiest_hour_of_day"),
+        _unpack_value(F.col("_dirty")).alias("dirtiest_hour_intensity"),
     )
 
 
@@ -55,8 +76,8 @@ def typical_cleanest_hour(daily_intensity: DataFrame) -> DataFrame:
     Computed from the small daily table, so it is always over the whole history."""
     counts = daily_intensity.groupBy("country_code", "cleanest_hour_of_day").agg(F.count(F.lit(1)).alias("day_count"))
     best = counts.groupBy("country_code").agg(
-        F.max(F.struct(F.col("day_count"), (-F.col("cleanest_hour_of_day")).alias("neg_h"))).alias("_b"))
-    return best.select("country_code", (-F.col("_b.neg_h")).alias("typical_cleanest_hour"))
+        F.max(_pack(F.col("day_count"), F.lit(_HOURS - 1) - F.col("cleanest_hour_of_day"))).alias("_b"))
+    return best.select("country_code", (F.lit(_HOURS - 1) - _unpack_hour(F.col("_b"))).alias("typical_cleanest_hour"))
 
 
 def fct_grid_carbon_intensity(hourly: DataFrame) -> DataFrame:
@@ -84,12 +105,12 @@ def with_typical_hour(daily_intensity_rows: DataFrame) -> DataFrame:
     daily = daily_intensity_rows.repartition("country_code")
     hour = F.col("cleanest_hour_of_day")
     n = F.count(F.lit(1)).over(Window.partitionBy("country_code", "cleanest_hour_of_day"))
-    best = F.max(F.struct(F.col("_n"), (-hour).alias("neg_h"))).over(Window.partitionBy("country_code"))
+    best = F.max(_pack(F.col("_n"), F.lit(_HOURS - 1) - hour)).over(Window.partitionBy("country_code"))
     return daily.withColumn("_n", n).select(
         "date_key", "country_code", "country_name", "avg_carbon_intensity_gco2_kwh",
         "min_carbon_intensity_gco2_kwh", "max_carbon_intensity_gco2_kwh", "avg_renewable_pct", "hours_reported",
         "cleanest_hour_of_day", "cleanest_hour_intensity", "dirtiest_hour_of_day", "dirtiest_hour_intensity",
         F.round(F.col("dirtiest_hour_intensity") - F.col("cleanest_hour_intensity"), 2)
         .alias("daily_intensity_range_gco2_kwh"),
-        (-best.getField("neg_h")).alias("typical_cleanest_hour"),
+        (F.lit(_HOURS - 1) - _unpack_hour(best)).alias("typical_cleanest_hour"),
     )

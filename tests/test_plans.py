@@ -57,3 +57,8 @@ def test_no_cartesian_products_anywhere(spark, name):
 def test_kpi_chain_has_two_shuffles(spark):
     # dedup (hour, country, source) + one (date, country) repartition for daily/window/KPI
     assert shuffles(plan(spark, "fct_renewable_kpi")) == 2
+
+
+def test_carbon_mart_aggregates_are_hash_based(spark):
+    # the extreme-hour picks are packed LONG keys, so no struct buffer forces a sort aggregate
+    assert "SortAggregate" not in plan(spark, "fct_grid_carbon_intensity")
