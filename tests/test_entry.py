@@ -5,16 +5,18 @@ import pytest
 
 import __spark_entry__ as se
 from conftest import SF_SMALL
+from gridmix.plans import catalog
 from scripts.check_oracle import TABLES, rows_of
 
-QUERIES = se.queries()
-ORACLE = se.oracle_sql()
+catalog.load_all()
+QUERIES, ORACLE = catalog.QUERIES, catalog.ORACLE
 
 
 def test_contract(spark):
     df = se.entry(spark)
     assert df.count() > 0 and "renewable_pct" in df.columns
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(se.oracle_sql()) <= set(se.queries())
+    assert set(QUERIES) <= set(se.queries())
 
 
 @pytest.fixture(scope="module")

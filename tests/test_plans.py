@@ -4,10 +4,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as se
 from conftest import SF_SMALL
+from gridmix.plans import catalog
 
-Q = se.queries()
+catalog.load_all()
+Q = catalog.QUERIES
 
 
 def plan(spark, name):
