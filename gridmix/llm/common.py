@@ -93,7 +93,8 @@ def _to_least(pairs: DataFrame) -> DataFrame:
     """(u, v, m): each pair with the least neighbour of u, u's rows dealt over SALTS tasks."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m"))
     least = least.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return pairs.withColumn("salt_", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(least, ["u", "salt_"])
+    return pairs.withColumn("salt_", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(
+        least.hint("merge"), ["u", "salt_"])  # grows with the data: never broadcast
 
 
 def connected_components(links: DataFrame) -> DataFrame:

@@ -42,11 +42,11 @@ def uniform(*columns, seed: int = SEED) -> Column:
 
 
 def sizes(docs: DataFrame, id: str = "doc_id") -> DataFrame:
-    """(id, nosource, src, size, u): narrow rows that stand for the documents."""
+    """(id, nosource, src, size, u): narrow rows that stand for the documents (``id`` names the row)."""
     return docs.select(
         F.col(id).alias("id"), F.col("source").isNull().alias("nosource"),
         F.coalesce(F.col("source"), F.lit("")).alias("src"), word_count(F.col("text")).alias("size"),
-        uniform(F.col(id).cast("string"), F.col("source"), F.col("text")).alias("u"))
+        uniform(F.col("doc_id").cast("string"), F.col("source"), F.col("text")).alias("u"))
 
 
 def targets(rows: DataFrame, weights: tuple = WEIGHTS) -> DataFrame:
@@ -132,7 +132,7 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS) -> DataFrame:
     columns = [f"`{c}`" for c in docs.columns]
     keyed = common.numbered(docs.withColumn("key_", common.row_key(F.col("doc_id"), F.col("text"))), "key_", "nth_")
     named = keyed.withColumn("id_", F.concat_ws("#", "nth_", "key_"))
-    copies = sample(sizes(named.select(F.col("id_"), "source", "text"), "id_"), weights)
+    copies = sample(sizes(named, "id_"), weights)
     copies = copies.select(F.col("id").alias("id_"), F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies"))
                            .cast("int").alias("copies_")).filter("copies_ > 0")
     copies = common.materialize(copies, "copies")

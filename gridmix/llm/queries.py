@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmix.llm import common, mixing, secret_scan, simhash_dedup, topk_search, warc
+from gridmix.llm import (common, html_blocks, imatch, lm_score, mixing, piece_sampling, quality, secret_scan,
+                         simhash_dedup, topk_search, warc)
 from gridmix.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +57,33 @@ def op4(spark, sf_dir):
 def op5(spark, sf_dir):
     """Every page written to WARC archives and read back."""
     return warc.digest(warc.round_trip(common.table(spark, sf_dir, "pages"), work_dir(spark, "archives")))
+
+
+@query("op6_lm_score")
+def op6(spark, sf_dir):
+    """Base and interpolated scores of every document."""
+    return lm_score.digest(lm_score.score(common.table(spark, sf_dir, "documents")))
+
+
+@query("op7_imatch")
+def op7(spark, sf_dir):
+    """Fingerprints of every document and of its edited text."""
+    return imatch.digest(imatch.compare(common.table(spark, sf_dir, "documents")))
+
+
+@query("op8_piece_sampling")
+def op8(spark, sf_dir):
+    """A sampled segmentation of every document, decoded again."""
+    return piece_sampling.digest(piece_sampling.round_trip(common.table(spark, sf_dir, "documents")))
+
+
+@query("op9_html_extract")
+def op9(spark, sf_dir):
+    """Main text of every page."""
+    return html_blocks.extract(common.table(spark, sf_dir, "pages"))
+
+
+@query("op10_quality")
+def op10(spark, sf_dir):
+    """Quality score of every document."""
+    return quality.digest(quality.score(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")))
