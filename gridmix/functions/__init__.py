@@ -102,13 +102,12 @@ def resolution_minutes(res: Column | str) -> Column:
 
 
 def parse_xml_time(s: Column | str) -> Column:
-    """Document timestamps such as ``2025-03-01T00:00Z`` (no seconds) or with seconds."""
+    """Document timestamps such as ``2025-03-01T00:00Z``: with or without seconds, ``Z``, a numeric offset
+    (``+01:00``, ``+0100``) or none (UTC)."""
     c = F.trim(col_of(s))
-    return F.coalesce(
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mmX")),
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ssX")),
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSX")),
-    )
+    forms = ["yyyy-MM-dd'T'HH:mmXXX", "yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
+             "yyyy-MM-dd'T'HH:mmXX", "yyyy-MM-dd'T'HH:mm:ssXX", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd'T'HH:mm:ss"]
+    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in forms])
 
 
 def point_time(start: Column, step_minutes: Column, position: Column) -> Column:
@@ -139,18 +138,21 @@ def exact_avg(x: Column | str, scale: int = 2, digits: int | None = None) -> Col
 
     A float sum depends on the order rows reach each partial aggregate, so a plain ``avg`` can
     differ in the last bits from run to run.  Here each value becomes an integer number of
-    10^-scale units and the units are summed as LONG (exact, and a primitive hash-aggregate
-    buffer — about twice as fast as a decimal sum).  The one division per group is done in
+    10^-scale units and the units are summed as two LONGs (exact, and primitive hash-aggregate
+    buffers — about twice as fast as a decimal sum).  The one division per group is done in
     integers: half-up(a / b) = (2|a| + b) div 2b, with the sign of a reapplied.
     """
     c = col_of(x)
     digits = scale + 4 if digits is None else digits
-    units = F.sum(F.round(c * F.lit(10.0 ** scale)).cast("long"))
+    each = F.round(c * F.lit(10.0 ** scale)).cast("long")
+    # two LONG sums (units = high * 2**31 + low) stay in range where one would overflow
+    high, low = F.sum(F.shiftright(each, 31)), F.sum(each.bitwiseAND(F.lit(2 ** 31 - 1)))
+    units = high.cast("decimal(38,0)") * F.lit(2 ** 31).cast("decimal(12,0)") + low
     n = F.count(c)
-    a = units * F.lit(10 ** (digits - scale)) if digits >= scale else units
-    b = n if digits >= scale else n * F.lit(10 ** (scale - digits))
-    num, den = F.abs(a) * 2 + b, b * 2
-    q = ((num - num % den).cast("decimal(38,0)") / den.cast("decimal(38,0)")).cast("long") * F.signum(a).cast("long")
+    a = (units * F.lit(10 ** max(0, digits - scale)).cast("decimal(12,0)")).cast("decimal(38,0)")
+    b = (n * F.lit(10 ** max(0, scale - digits))).cast("decimal(38,0)")
+    num, den = (F.abs(a) * 2 + b).cast("decimal(38,0)"), (b * 2).cast("decimal(38,0)")
+    q = ((num - num % den) / den).cast("long") * F.signum(a).cast("long")
     return F.when(n > 0, q.cast("double") / F.lit(10.0 ** digits))
 
 
@@ -161,11 +163,8 @@ def wind_speed(u: Column | str, v: Column | str) -> Column:
     return F.sqrt(uu * uu + vv * vv)
 
 
-def wind_direction_math(u: Column | str, v: Column | str, digits: int | None = 6) -> Column:
-    """Mathematical angle in degrees, range (-180, 180] (constant pi as in the staging model).
-
-    ``atan2`` differs in the last ulp between the JVM (fdlibm) and C libraries, so the angle is
-    reported to 1e-6 degree by default; ``digits=None`` keeps the raw value."""
+def wind_direction_math(u: Column | str, v: Column | str, digits: int | None = None) -> Column:
+    """Mathematical angle in degrees, range (-180, 180] (pi as the staging model states it), raw unless ``digits``."""
     d = F.atan2(col_of(v), col_of(u)) * F.lit(180.0) / F.lit(3.14159265)
     return F.round(d, digits) if digits is not None else d
 

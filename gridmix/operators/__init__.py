@@ -2,7 +2,7 @@
 
 from gridmix.operators.staging import stg_generation, stg_wind, stg_solar, weather_cells, align_forecast  # noqa: F401
 from gridmix.operators.intermediate import (  # noqa: F401
-    int_daily_generation, int_carbon_intensity, int_generation_weather, hourly_wind, hourly_solar, hourly_weather,
+    int_daily_generation, int_carbon_intensity, int_generation_weather, hourly_weather,
 )
 from gridmix.operators.marts import (  # noqa: F401
     fct_renewable_kpi, fct_grid_carbon_intensity, typical_cleanest_hour, daily_intensity, with_typical_hour,

@@ -60,22 +60,6 @@ def int_carbon_intensity(stg: DataFrame, dim_energy_source: DataFrame) -> DataFr
     )
 
 
-def hourly_wind(wind: DataFrame) -> DataFrame:
-    """Grid -> country-hour mean wind speed (reported to 1e-6: float means of irrational values
-    depend on summation order, a fixed precision keeps runs reproducible)."""
-    return wind.groupBy("ts_hour", "country_code").agg(
-        F.round(F.avg("wind_speed_100m"), 6).alias("avg_wind_speed"))
-
-
-def hourly_solar(solar: DataFrame) -> DataFrame:
-    """Grid -> country-hour mean radiation (W/m2) and temperature (deg C), both 2-decimal
-    inputs averaged exactly in decimal arithmetic."""
-    return solar.groupBy("ts_hour", "country_code").agg(
-        gf.exact_avg("solar_radiation_wm2").alias("avg_solar_radiation"),
-        gf.exact_avg("temp_2m_celsius").alias("avg_temp"),
-    )
-
-
 def hourly_weather(cells: DataFrame) -> DataFrame:
     """Country-hour wind speed, radiation and temperature means in ONE aggregation over the
     pivoted weather cells (wind means over cells with a wind variable, solar means over cells
@@ -87,7 +71,7 @@ def hourly_weather(cells: DataFrame) -> DataFrame:
     rad = F.when(F.col("has_solar"), gf.radiation_wm2("solar_radiation_jm2"))
     temp = F.when(F.col("has_solar"), gf.kelvin_to_celsius("temp_2m_kelvin"))
     return cells.groupBy("ts_hour", F.col("country").alias("country_code")).agg(
-        F.round(F.avg(wind), 6).alias("avg_wind_speed"),
+        F.avg(wind).alias("avg_wind_speed"),
         gf.exact_avg(rad).alias("avg_solar_radiation"),
         gf.exact_avg(temp).alias("avg_temp"),
     )

@@ -20,7 +20,7 @@ def generation_frame(gen_raw: DataFrame) -> DataFrame:
 
 def weather_frame(weather_raw: DataFrame) -> DataFrame:
     return weather_raw.select(
-        gf.epoch_ns_to_ts("timestamp").alias("timestamp"), "lat", "lon", "variable", "value", "country",
+        gf.epoch_ns_to_ts("timestamp").alias("timestamp"), "lat", "lon", "variable", gf.nan_to_null("value").alias("value"), "country",
     ).where(F.col("timestamp").isNotNull() & F.col("value").isNotNull())
 
 

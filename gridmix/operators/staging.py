@@ -68,8 +68,9 @@ def weather_cells(weather_raw: DataFrame) -> DataFrame:
     """
     wanted = dims.WIND_VARIABLES + dims.SOLAR_VARIABLES
     src = weather_raw.select(
-        gf.epoch_ns_to_ts("timestamp").alias("ts_hour"), "lat", "lon", "country", "variable", "value",
-    ).where(F.col("variable").isin(wanted) & F.col("ts_hour").isNotNull())
+        gf.epoch_ns_to_ts("timestamp").alias("ts_hour"), "lat", "lon", "country", "variable",
+        gf.nan_to_null("value").alias("value"),
+    ).where(F.col("variable").isin(wanted) & F.col("ts_hour").isNotNull() & F.col("value").isNotNull())
     var = F.col("variable")
     return src.groupBy(
         "ts_hour", F.to_date("ts_hour").alias("date_key"), F.hour("ts_hour").alias("hour_of_day"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridmix import dims
 from gridmix import operators as ops
@@ -66,16 +67,19 @@ def q_fct_grid_carbon_intensity(spark, sf_dir):
     return grid_ci(spark, sf_dir)
 
 
-@query("typical_cleanest_hour", o.with_ctes(*o.FCT_CI_CHAIN, select="select * from fci_typical"))
+@query("typical_cleanest_hour", o.with_ctes(*o.FCT_CI_CHAIN, select="select * from habits"))
 def q_typical_cleanest_hour(spark, sf_dir):
     """Per country, the hour of day that is most often the cleanest."""
     return ops.typical_cleanest_hour(ops.daily_intensity(hourly_ci(spark, sf_dir)))
 
 
-@query("stg_wind", o.with_ctes(*o.WEATHER_CHAIN, o.WIND, select="select * from wind"))
+@query("stg_wind", o.with_ctes(*o.WEATHER_CHAIN, o.WIND, select=f"""select * replace
+  ({o.R('wind_direction_degrees', 6)} as wind_direction_degrees) from wind"""))
 def q_stg_wind(spark, sf_dir):
-    """Weather cells with wind components, speed and direction."""
-    return ops.stg_wind(load_weather_raw(spark, sf_dir))
+    """Weather cells with wind components, speed and direction (compared to 1e-6 degree: atan2 differs in
+    the last digit between libraries)."""
+    return ops.stg_wind(load_weather_raw(spark, sf_dir)).withColumn(
+        "wind_direction_degrees", F.round("wind_direction_degrees", 6))
 
 
 @query("stg_solar", o.with_ctes(*o.WEATHER_CHAIN, o.SOLAR, select="select * from solar"))
@@ -84,10 +88,12 @@ def q_stg_solar(spark, sf_dir):
     return ops.stg_solar(load_weather_raw(spark, sf_dir))
 
 
-@query("int_generation_weather", o.with_ctes(*o.GW_CHAIN, select="select * from gw"))
+@query("int_generation_weather", o.with_ctes(*o.GW_CHAIN, select=f"""select * replace
+  ({o.R('avg_wind_speed', 6)} as avg_wind_speed) from gw"""))
 def q_int_generation_weather(spark, sf_dir):
-    """Hourly generation rows joined with country-hour wind and solar weather."""
-    return gen_weather(spark, sf_dir)
+    """Hourly generation rows joined with country-hour wind and solar weather (wind speed compared to 1e-6:
+    float means depend on the order of their rows)."""
+    return gen_weather(spark, sf_dir).withColumn("avg_wind_speed", F.round("avg_wind_speed", 6))
 
 
 def int_daily_from(stg: DataFrame) -> DataFrame:
