@@ -1,13 +1,14 @@
 """Command line for scheduled runs (``spark-submit -m gridmix ...`` or ``python -m gridmix``).
 
-  daily    --raw PATH --silver PATH --warehouse PATH --date YYYY-MM-DD [--countries DE,FR]
-  backfill --raw PATH --silver PATH --warehouse PATH --start D --end D [--countries ALL]
+  daily    INPUT --silver PATH --warehouse PATH --date YYYY-MM-DD [--countries DE,FR] [--gate all|keys]
+  backfill INPUT --silver PATH --warehouse PATH --start D --end D [--countries ALL] [--gate all|keys]
   query    NAME --sf DIR --out PATH          (write one named query's result as Parquet)
   list                                       (names of the registered queries)
 
-``--raw`` is generation rows in the silver layout (epoch-ns ``timestamp``, country,
-energy_source, psr_type, actual_MW, forecast_MW, domain).  One Spark job per command covers
-every requested country; re-running a day rewrites exactly that day's partitions.
+INPUT is ``--bronze PATH`` (a folder with ``documents`` and ``cubes``, see plans/increments.py), or ``--raw PATH``:
+generation rows in the silver layout (epoch-ns ``timestamp``, country, energy_source, psr_type, actual_MW,
+forecast_MW, domain).  One run covers every requested country; a re-run replaces the slices that its input covers.
+The gate blocks on all declared error tests, or with ``--gate keys`` on key integrity alone.
 """
 
 from __future__ import annotations
@@ -34,7 +35,10 @@ def main(argv: list[str] | None = None) -> int:
     sub = ap.add_subparsers(dest="cmd", required=True)
     for name in ("daily", "backfill"):
         p = sub.add_parser(name)
-        p.add_argument("--raw", required=True)
+        source = p.add_mutually_exclusive_group(required=True)
+        source.add_argument("--raw")
+        source.add_argument("--bronze")
+        p.add_argument("--gate", choices=["all", "keys"], default="all")
         p.add_argument("--silver", required=True)
         p.add_argument("--warehouse", required=True)
         p.add_argument("--countries", default="ALL")
@@ -64,10 +68,15 @@ def main(argv: list[str] | None = None) -> int:
     from gridmix.plans import increments
     from gridmix.sources.tables import read_silver_generation
 
-    raw = read_silver_generation(spark, a.raw)
     start, end = (a.date, a.date) if a.cmd == "daily" else (a.start, a.end)
-    increments.ingest(raw, a.silver, start, end, _countries(a.countries))
-    increments.publish_marts(spark, a.silver, a.warehouse, start, end)
+    checks = increments.declared_checks if a.gate == "all" else increments.key_integrity_checks
+    if a.bronze:
+        at = increments.Layout(a.bronze, {"silver_generation": f"{a.silver}/generation",
+                                          "silver_weather": f"{a.silver}/weather", "warehouse": a.warehouse})
+        increments.run_range(spark, at, start, end, _countries(a.countries), checks)
+        return 0
+    increments.ingest(read_silver_generation(spark, a.raw), a.silver, start, end, _countries(a.countries))
+    increments.publish_marts(spark, a.silver, a.warehouse, start, end, gate_checks=checks, countries=_countries(a.countries))
     return 0
 
 

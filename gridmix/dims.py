@@ -107,6 +107,19 @@ WEATHER_VAR_NAMES = {
     "total_precipitation": "tp",
 }
 
+# Fixed values — archive variable names -> the short names of silver, and dimension names -> silver's.
+WEATHER_SHORT_NAMES = {
+    "100m_u-component_of_wind": "u100",
+    "100m_v-component_of_wind": "v100",
+    "2m_temperature": "t2m",
+    "2m_dewpoint_temperature": "d2m",
+    "surface_solar_radiation_downwards": "ssrd",
+    "surface_thermal_radiation_downwards": "strd",
+    "total_cloud_cover": "tcc",
+    "total_precipitation": "tp",
+}
+WEATHER_DIMENSION_NAMES = [("valid_time", "timestamp"), ("time", "timestamp"), ("latitude", "lat"), ("longitude", "lon")]
+
 # Fixed values — legacy PSR code table (B10..B63 meanings of an older code list) and its
 # renewable subset.  Never the default: B01..B20 take precedence.
 LEGACY_PSR = {

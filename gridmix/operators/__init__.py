@@ -6,4 +6,5 @@ from gridmix.operators.intermediate import (  # noqa: F401
 )
 from gridmix.operators.marts import (  # noqa: F401
     fct_renewable_kpi, fct_grid_carbon_intensity, typical_cleanest_hour, daily_intensity, with_typical_hour,
+    join_typical_hour,
 )

@@ -99,6 +99,16 @@ def daily_intensity(hourly: DataFrame) -> DataFrame:
     return _daily_intensity(hourly)
 
 
+def join_typical_hour(daily_intensity_rows: DataFrame, typical: DataFrame) -> DataFrame:
+    """Daily intensity rows with their country's typical cleanest hour (one row per country) and the daily range."""
+    return daily_intensity_rows.join(typical, "country_code").select(
+        "date_key", "country_code", "country_name", "avg_carbon_intensity_gco2_kwh",
+        "min_carbon_intensity_gco2_kwh", "max_carbon_intensity_gco2_kwh", "avg_renewable_pct", "hours_reported",
+        "cleanest_hour_of_day", "cleanest_hour_intensity", "dirtiest_hour_of_day", "dirtiest_hour_intensity",
+        F.round(F.col("dirtiest_hour_intensity") - F.col("cleanest_hour_intensity"), 2)
+        .alias("daily_intensity_range_gco2_kwh"), "typical_cleanest_hour")
+
+
 def with_typical_hour(daily_intensity_rows: DataFrame) -> DataFrame:
     """Add each country's typical cleanest hour (mode over all the given days) to the daily
     intensity rows, and the daily intensity range."""

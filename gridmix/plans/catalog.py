@@ -57,4 +57,4 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from gridmix.plans import models, reports, notebook, quality_checks, bronze, increments  # noqa: F401
+    from gridmix.plans import models, reports, notebook, quality_checks, bronze, increments, tables  # noqa: F401

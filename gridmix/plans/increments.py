@@ -1,8 +1,11 @@
-"""Daily increment and backfill (one Spark job over all countries — no per-country loop) and
-their named-query demonstrations."""
+"""Daily increment and backfill: bronze -> silver -> quality gate -> models -> published marts, for a range of
+days.  One Spark job per step covers all countries; nothing outside the range is read or written."""
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,9 +13,9 @@ from gridmix import dims, session, sinks
 from gridmix import functions as gf
 from gridmix import operators as ops
 from gridmix.operators import quality as dq
-from gridmix.plans import models as m
 from gridmix.plans.catalog import query
-from gridmix.sources import load_gen_raw
+from gridmix.sources import cube, load_gen_raw, load_weather_raw, weather
+from gridmix.sources import xml as bx
 from gridmix.verify import oracle as o
 
 
@@ -20,49 +23,183 @@ def _day(ts_ns: str = "timestamp") -> Column:
     return F.to_date(gf.epoch_ns_to_ts(ts_ns))
 
 
+def within(df: DataFrame, day: Column, start=None, end=None, countries: list[str] | str = "ALL") -> DataFrame:
+    """Rows of [start, end] (dates, inclusive) and of the countries.  On a partition column this prunes files."""
+    for bound, keep in ((start, lambda b: day >= b), (end, lambda b: day <= b)):
+        if bound is not None:
+            df = df.where(keep(bound if isinstance(bound, Column) else F.lit(bound).cast("date")))
+    return df if countries == "ALL" else df.where(F.col("country").isin(list(countries)))
+
+
 def ingest(raw: DataFrame, silver_path: str, start=None, end=None, countries: list[str] | str = "ALL") -> None:
-    """Write the raw rows of [start, end] (dates, inclusive) for the given countries to the
-    silver table.  Only the touched (country, date) partitions are replaced."""
-    rows = raw
-    if start is not None:
-        rows = rows.where(_day() >= F.lit(start).cast("date") if not isinstance(start, Column) else _day() >= start)
-    if end is not None:
-        rows = rows.where(_day() <= F.lit(end).cast("date") if not isinstance(end, Column) else _day() <= end)
-    if countries != "ALL":
-        rows = rows.where(F.col("country").isin(list(countries)))
-    sinks.write_silver_generation(rows, silver_path)
-
-
-def build_marts(spark: SparkSession, silver_path: str, gate: bool = True) -> dict[str, DataFrame]:
-    """Staging -> (quality gate) -> intermediate -> marts over the silver table."""
-    stg = ops.stg_generation(sinks.read_silver_generation(spark, silver_path).drop("date"))
-    daily = ops.int_daily_generation(stg)
-    hourly = ops.int_carbon_intensity(stg, dims.dim_energy_source(spark))
+    """Write raw rows in the silver layout to the silver table; only the touched slices are replaced."""
+    sinks.write_silver_generation(within(raw, _day(), start, end, countries), silver_path)
+
+
+def ingest_weather(raw: DataFrame, silver_path: str, start=None, end=None, countries: list[str] | str = "ALL") -> None:
+    """Weather rows as delivered -> silver weather (renamed, typed, bad rows dropped) of the range."""
+    sinks.write_silver_weather(within(weather.to_silver_weather(raw), _day(), start, end, countries), silver_path)
+
+
+@dataclass
+class Layout:
+    """Folders of a deployment."""
+
+    base: str
+    paths: dict[str, str] = field(default_factory=dict)
+
+    def __getattr__(self, name: str) -> str:
+        return self.paths.get(name, f"{self.base}/{name}")
+
+
+REJECTS = "path string, country string, domain string, reason string, n long, date date"
+
+
+def bronze_to_silver(spark: SparkSession, at: Layout, start=None, end=None, countries="ALL") -> DataFrame:
+    """Documents of the range -> silver generation.  Returns the rejects (also written): documents without
+    data (with the acknowledgement's reason), that don't parse, or whose periods have no start."""
+    docs = within(bx.read_documents(spark, at.documents), F.col("date"), start, end, countries)
+    triaged = docs.join(bx.triage(docs).select("path", "status", "reason_code"), "path")
+    data = triaged.where("status = 'ok'").drop("status", "reason_code")
+    left_out = bx.rejects(data).select("path", "country", "date", "domain", "reason", "n").unionByName(
+        triaged.where("status <> 'ok'").select(
+            "path", "country", "date", "domain", F.concat_ws(":", "status", "reason_code").alias("reason"),
+            F.lit(1).cast("long").alias("n")))
+    sinks.write_partitioned(left_out, at.rejects, ["date"])
+    rows = [bx.to_silver_generation(bx.flatten_series(bx.decode_documents(data.where(F.col("domain") == kind)), kind))
+            for kind in ("generation", "forecast")]
+    ingest(bx.union_generation(*rows), at.silver_generation, start, end, countries)
+    return spark.read.schema(REJECTS).parquet(at.rejects)
+
+
+def weather_to_silver(spark: SparkSession, at: Layout, start=None, end=None, countries="ALL") -> None:
+    """Cubes of the range -> silver weather."""
+    cubes = within(spark.read.parquet(at.cubes), F.col("date"), start, end, countries)
+    ingest_weather(cube.flatten_cube(cubes), at.silver_weather, start, end, countries)
+
+
+@dataclass
+class Models:
+    """The models of a range of days, each written once and read by the checks and by the publishing."""
+
+    stg: DataFrame
+    daily: DataFrame
+    kpi: DataFrame
+    hourly: DataFrame
+    intensity: DataFrame
+    weather: DataFrame | None = None
+
+
+def build(spark: SparkSession, silver_path: str, weather_path: str | None = None, start=None, end=None,
+          countries="ALL") -> Models:
+    """Staging and models over the silver days of the range (``date`` prunes the partitions)."""
+    silver = within(sinks.read_silver_generation(spark, silver_path), F.col("date"), start, end, countries)
+    stg = session.materialize(ops.stg_generation(silver.drop("date")), "stg")
+    daily = session.materialize(ops.int_daily_generation(stg), "daily")
+    hourly = session.materialize(ops.int_carbon_intensity(stg, dims.dim_energy_source(spark)), "hourly")
+    joined = None
+    if weather_path is not None:
+        cells = within(sinks.read_silver_weather(spark, weather_path), F.col("date"), start, end, countries)
+        joined = ops.int_generation_weather(stg, ops.hourly_weather(ops.weather_cells(cells.drop("date"))))
+        joined = session.materialize(joined, "gen_weather")
+    return Models(stg, daily, session.materialize(ops.fct_renewable_kpi(daily), "kpi"), hourly,
+                  session.materialize(ops.daily_intensity(hourly), "intensity"), joined)
+
+
+def key_integrity_checks(m: Models) -> list:
+    """Keys present and unique: without these, models are wrong whatever the values."""
+    return [
+        dq.row_check("not_null_ts_hour", "stg_generation", m.stg, F.col("ts_hour").isNull()),
+        dq.Check("unique_hour_country_source", "stg_generation",
+                 dq.unique_combination(m.stg, ["country_code", "ts_hour", "energy_source"])),
+        dq.Check("unique_day_country", "fct_renewable_kpi", dq.unique_combination(m.kpi, ["country_code", "date_key"])),
+    ]
+
+
+def declared_checks(m: Models) -> list:
+    """All declared tests of error severity, of staging and of the models: the gate's default."""
+    from gridmix.plans.quality_checks import model_checks
+
+    return model_checks(m)
+
+
+TABLES = {"int_daily_generation": "daily", "fct_renewable_kpi": "kpi", "int_carbon_intensity": "hourly",
+          "daily_intensity": "intensity", "int_generation_weather": "weather"}
+
+
+def _write_days(df: DataFrame, path: str) -> None:
+    """Replace exactly the ``date_key`` partitions in ``df``.  A large day is split among tasks (``REBALANCE``)."""
+    (df.hint("rebalance", "date_key").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date_key").parquet(path))
+
+
+def publish(models: Models, warehouse: str) -> None:
+    """Write the range's days to a staging folder, read that back whole, then swap the days in.
+
+    A failure while models are written leaves the published tables as they were.  The swap itself goes table by
+    table; ``_published`` gets a row when all are done, so readers can tell an unfinished run."""
+    spark = models.stg.sparkSession
+    run = uuid.uuid4().hex[:12]
+    staged = {}
+    for name, attribute in TABLES.items():
+        df = getattr(models, attribute)
+        if df is not None:
+            _write_days(df, f"{warehouse}/_staging/{run}/{name}")
+            staged[name] = spark.read.schema(df.schema).parquet(f"{warehouse}/_staging/{run}/{name}")
+            if staged[name].count() != df.count():
+                raise dq.QualityGateError(f"{name}: staged rows differ from the model's")
+    for name, df in staged.items():
+        _write_days(df, f"{warehouse}/{name}")
+    # the typical hour depends on all days: counted from one small row per country and day, kept by itself
+    days = spark.read.parquet(f"{warehouse}/daily_intensity")
+    session.materialize(ops.typical_cleanest_hour(days), "typical").write.mode("overwrite").parquet(
+        f"{warehouse}/typical_cleanest_hour")
+    spark.createDataFrame([(run,)], "run string").write.mode("append").parquet(f"{warehouse}/_published")
+
+
+def carbon_mart(spark: SparkSession, warehouse: str) -> DataFrame:
+    """The published carbon mart: days with their country's typical cleanest hour, joined as it is read."""
+    days = spark.read.parquet(f"{warehouse}/daily_intensity")
+    return ops.join_typical_hour(days, spark.read.parquet(f"{warehouse}/typical_cleanest_hour"))
+
+
+def publish_marts(spark: SparkSession, silver_path: str, warehouse: str, start=None, end=None, gate: bool = True,
+                  gate_checks=declared_checks, weather_path: str | None = None, countries="ALL") -> Models:
+    """Models of the silver days in [start, end], gated, then published.
+
+    The gate runs before anything is written and blocks on every declared test of error severity.  Pass
+    ``gate_checks=key_integrity_checks`` to block on keys alone."""
+    models = build(spark, silver_path, weather_path, start, end, countries)
     if gate:
-        staging_checks = [
-            dq.Check("unique_hour_country_source", "stg_generation",
-                     dq.unique_combination(stg, ["country_code", "ts_hour", "energy_source"])),
-            dq.Check("not_null_ts_hour", "stg_generation", dq.not_null(stg, "ts_hour")),
-        ]
-        dq.gate(dq.summary(staging_checks))
-    return {
-        "stg_generation": stg, "int_daily_generation": daily, "int_carbon_intensity": hourly,
-        "fct_renewable_kpi": ops.fct_renewable_kpi(daily), "fct_grid_carbon_intensity": ops.fct_grid_carbon_intensity(hourly),
-    }
-
-
-def daily_increment(spark: SparkSession, raw: DataFrame, silver_path: str, day, countries="ALL") -> dict[str, DataFrame]:
-    """J1: one day for all (or some) countries -> silver -> gate -> marts."""
-    ingest(raw, silver_path, day, day, countries)
-    return build_marts(spark, silver_path)
-
-
-def backfill(spark: SparkSession, raw: DataFrame, silver_path: str, start, end, countries="ALL") -> dict[str, DataFrame]:
-    """J2: a date range in one job (partition-filtered), then the marts."""
+        dq.gate(dq.summary(gate_checks(models)))
+    publish(models, warehouse)
+    return models
+
+
+def run_range(spark: SparkSession, at: Layout, start=None, end=None, countries="ALL", gate_checks=declared_checks) -> Models:
+    """J1 / J2 end to end for a range of days: documents and cubes -> silver -> gate -> published models."""
+    bronze_to_silver(spark, at, start, end, countries)
+    weather_to_silver(spark, at, start, end, countries)
+    return publish_marts(spark, at.silver_generation, at.warehouse, start, end, gate_checks=gate_checks,
+                         weather_path=at.silver_weather, countries=countries)
+
+
+def daily_increment(spark: SparkSession, raw: DataFrame, silver_path: str, day, countries="ALL", gate: bool = True) -> Models:
+    """J1 from rows in the silver layout: one day -> silver -> gate -> that day's models."""
+    return backfill(spark, raw, silver_path, day, day, countries, gate)
+
+
+def backfill(spark: SparkSession, raw: DataFrame, silver_path: str, start, end, countries="ALL", gate: bool = True) -> Models:
+    """J2 from rows in the silver layout: a range of days in one job."""
     ingest(raw, silver_path, start, end, countries)
-    return build_marts(spark, silver_path)
+    models = build(spark, silver_path, None, start, end, countries)
+    if gate:
+        dq.gate(dq.summary(key_integrity_checks(models)))
+    return models
 
 
+# --- named queries --------------------------------------------------------------------------
+
 @query("silver_roundtrip", o.with_ctes(o.GEN_BASE, o.GEN_RAW, select="""select *,
   cast(make_timestamp("timestamp" // 1000) as date) as "date" from gen_raw"""))
 def q_silver_roundtrip(spark, sf_dir):
@@ -72,32 +209,42 @@ def q_silver_roundtrip(spark, sf_dir):
     return sinks.read_silver_generation(spark, path)
 
 
-@query("incremental_day", o.with_ctes(*o.KPI_CHAIN, select="select * from kpi"))
+@query("incremental_day", o.with_ctes(*o.KPI_CHAIN, select="""select * from kpi
+  where date_key = (select max(date_key) from kpi)"""))
 def q_incremental_day(spark, sf_dir):
-    """Backfill every day but the last, then the last day's increment twice (idempotent
-    re-run); the KPI mart built from silver equals the one built from all raw rows."""
+    """Backfill every day but the last, then the last day's increment twice (a re-run changes nothing): the
+    increment's KPI is that day's alone."""
     raw = load_gen_raw(spark, sf_dir)
     last = raw.select(F.max(_day())).scalar()
     path = session.work_dir(spark, "increment")
     ingest(raw.where(_day() < last), path)
     daily_increment(spark, raw, path, last)
-    return daily_increment(spark, raw, path, last)["fct_renewable_kpi"]
+    return daily_increment(spark, raw, path, last).kpi
+
 
+# The re-issued last day: half of its actual generation.
+_REISSUED = """reissued as (
+  select * replace (if(make_timestamp("timestamp" // 1000)::date = (select max(make_timestamp("timestamp" // 1000)::date)
+                       from gen_raw), actual_MW / 2, actual_MW) as actual_MW) from gen_raw)"""
 
-@query("stream_increment", o.with_ctes(*o.KPI_CHAIN, select="select * from kpi"))
+
+@query("stream_increment", o.with_ctes(o.GEN_BASE, o.GEN_RAW, _REISSUED, o.STG.replace("from gen_raw", "from reissued"),
+                                       o.IDG, o.KPI, select="select * from kpi"))
 def q_stream_increment(spark, sf_dir):
-    """Raw rows landed in two drops, each picked up by an availableNow file stream into
-    silver (exactly once via the checkpoint); the KPI mart is rebuilt from silver."""
+    """Raw rows landed in drops, each picked up by an availableNow file stream into silver; the last drop is
+    the last day again with lower readings, which replace the earlier ones."""
     from gridmix import streaming
 
     raw = load_gen_raw(spark, sf_dir)
     base = session.work_dir(spark, "stream")
     landing, silver, ckpt = f"{base}/landing", f"{base}/silver", f"{base}/_checkpoint"
-    first = raw.select(F.min(_day())).scalar()
-    day = F.to_date(gf.epoch_ns_to_ts("timestamp"))
-    raw.where(day < F.date_add(first, 3)).write.parquet(f"{landing}/drop=1")
+    first, last = raw.select(F.min(_day())).scalar(), raw.select(F.max(_day())).scalar()
+    raw.where(_day() < F.date_add(first, 3)).write.parquet(f"{landing}/drop=1")
+    streaming.run_available_now(spark, landing, silver, ckpt)
+    raw.where(_day() >= F.date_add(first, 3)).write.parquet(f"{landing}/drop=2")
     streaming.run_available_now(spark, landing, silver, ckpt)
-    raw.where(day >= F.date_add(first, 3)).write.parquet(f"{landing}/drop=2")
+    reissued = raw.where(_day() == last).withColumn("actual_MW", F.col("actual_MW") / 2)
+    reissued.write.parquet(f"{landing}/drop=3")
     streaming.run_available_now(spark, landing, silver, ckpt)
     streaming.run_available_now(spark, landing, silver, ckpt)  # nothing new: no-op
     stg = ops.stg_generation(streaming.read_silver(spark, silver).drop("date"))
@@ -105,68 +252,20 @@ def q_stream_increment(spark, sf_dir):
 
 
 BACKFILL_FROM, BACKFILL_DAYS = 1, 3
+_RANGE = f"""between (select min(date_key) from kpi) + {BACKFILL_FROM}
+                  and (select min(date_key) from kpi) + {BACKFILL_FROM + BACKFILL_DAYS}"""
 
 
-@query("backfill_range", o.with_ctes(*o.KPI_CHAIN, select=f"""select * from kpi
-  where date_key between (select min(date_key) from kpi) + {BACKFILL_FROM}
-                     and (select min(date_key) from kpi) + {BACKFILL_FROM + BACKFILL_DAYS}"""))
-def q_backfill_range(spark, sf_dir):
-    """Backfill of a date range for all countries in one job, marts built from silver."""
-    raw = load_gen_raw(spark, sf_dir)
-    first = raw.select(F.min(_day())).scalar()
-    path = session.work_dir(spark, "backfill")
-    start, end = F.date_add(first, BACKFILL_FROM), F.date_add(first, BACKFILL_FROM + BACKFILL_DAYS)
-    return backfill(spark, raw, path, start, end)["fct_renewable_kpi"]
+def _range(first: Column) -> tuple[Column, Column]:
+    return F.date_add(first, BACKFILL_FROM), F.date_add(first, BACKFILL_FROM + BACKFILL_DAYS)
 
 
-# --- publishing marts ---------------------------------------------------------------------
-
-def _write_days(df: DataFrame, path: str) -> None:
-    """Replace exactly the date_key partitions present in ``df`` (idempotent per day).  Rows
-    are clustered by day and sorted by country within each file (row-group pruning on
-    country, no global sort)."""
-    (df.repartition("date_key").sortWithinPartitions("country_code").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("date_key").parquet(path))
-
-
-def key_integrity_checks(stg: DataFrame) -> list:
-    """Default publish gate: staging keys present and unique."""
-    return [
-        dq.Check("unique_hour_country_source", "stg_generation",
-                 dq.unique_combination(stg, ["country_code", "ts_hour", "energy_source"])),
-        dq.row_check("not_null_ts_hour", "stg_generation", stg, F.col("ts_hour").isNull()),
-    ]
-
-
-def publish_marts(spark: SparkSession, silver_path: str, warehouse: str, start=None, end=None,
-                  gate: bool = True, gate_checks=key_integrity_checks) -> None:
-    """Rebuild the models for the silver days in [start, end] and publish them.
-
-    Daily tables are written with dynamic partition overwrite on ``date_key`` (only the
-    processed days are replaced).  The carbon mart's typical cleanest hour depends on the
-    whole history, so it is recomputed from the small published daily-intensity table, never
-    from hours.
-
-    The gate runs before anything is published.  By default it blocks on key integrity. The
-    value tests (negative MW, coverage, ranges) are reported by ``dq_summary``; pass
-    ``gate_checks`` to make them blocking too (e.g. ``plans.quality_checks.staging_checks``)."""
-    silver = sinks.read_silver_generation(spark, silver_path)
-    day = F.col("date")
-    if start is not None:
-        silver = silver.where(day >= (start if isinstance(start, Column) else F.lit(start).cast("date")))
-    if end is not None:
-        silver = silver.where(day <= (end if isinstance(end, Column) else F.lit(end).cast("date")))
-    stg = session.materialize(ops.stg_generation(silver.drop("date")), "stg")
-    if gate:
-        dq.gate(dq.summary(gate_checks(stg)))
-    daily = ops.int_daily_generation(stg)
-    hourly = ops.int_carbon_intensity(stg, dims.dim_energy_source(spark))
-    _write_days(daily, f"{warehouse}/int_daily_generation")
-    _write_days(ops.fct_renewable_kpi(daily), f"{warehouse}/fct_renewable_kpi")
-    _write_days(hourly, f"{warehouse}/int_carbon_intensity")
-    _write_days(ops.daily_intensity(hourly), f"{warehouse}/daily_intensity")
-    history = spark.read.parquet(f"{warehouse}/daily_intensity")
-    ops.with_typical_hour(history).write.mode("overwrite").parquet(f"{warehouse}/fct_grid_carbon_intensity")
+@query("backfill_range", o.with_ctes(*o.KPI_CHAIN, select=f"select * from kpi where date_key {_RANGE}"))
+def q_backfill_range(spark, sf_dir):
+    """Backfill of a date range for all countries in one job, models built from silver."""
+    raw = load_gen_raw(spark, sf_dir)
+    start, end = _range(raw.select(F.min(_day())).scalar())
+    return backfill(spark, raw, session.work_dir(spark, "backfill"), start, end).kpi
 
 
 @query("published_marts", o.with_ctes(*o.FCT_CI_CHAIN, select="select * from fct_ci"))
@@ -175,11 +274,114 @@ def q_published_marts(spark, sf_dir):
     day's increment twice; the published carbon mart equals one built from all raw rows."""
     raw = load_gen_raw(spark, sf_dir)
     last = raw.select(F.max(_day())).scalar()
-    base = session.work_dir(spark, "warehouse")
-    silver, warehouse = f"{base}/silver", f"{base}/marts"
-    ingest(raw.where(_day() < last), silver)
-    publish_marts(spark, silver, warehouse)
+    at = Layout(session.work_dir(spark, "warehouse"))
+    ingest(raw.where(_day() < last), at.silver_generation)
+    publish_marts(spark, at.silver_generation, at.warehouse, gate_checks=key_integrity_checks)
+    for _ in range(2):
+        ingest(raw, at.silver_generation, last, last)
+        publish_marts(spark, at.silver_generation, at.warehouse, last, last, gate_checks=key_integrity_checks)
+    return carbon_mart(spark, at.warehouse)
+
+
+def land_bronze(spark: SparkSession, sf_dir: str, at: Layout) -> None:
+    """The bronze tree that the tables imply: documents of both domains, an acknowledgement for each
+    country-day divisible by 3, and weather cubes."""
+    raw = load_gen_raw(spark, sf_dir)
+    docs = bx.generation_documents(raw)
+    bx.land_documents(docs, at.documents, "generation")
+    bx.land_documents(bx.forecast_documents(raw), at.documents, "forecast")
+    days = docs.select("country", "date").distinct().where(F.dayofmonth("date") % 3 == 0)
+    bx.land_documents(days.withColumn("xml", bx.acknowledgement_document(F.lit("999"), F.lit("No data"))),
+                      at.documents, "forecast")
+    cubes = cube.build_cubes(load_weather_raw(spark, sf_dir))
+    cubes.withColumn("date", F.to_date(F.element_at("time", 1))).write.partitionBy("date").parquet(at.cubes)
+
+
+# Documents of actual generation carry no forecast.  Their times are quarter-hours or, for forecasts, hours, which
+# staging truncates to hours anyway.
+_DOCUMENTED = """documented as (
+  select * replace (if(domain = 'forecast', forecast_MW, null) as forecast_MW) from gen_raw)"""
+_DOCUMENT_GW = o.with_ctes(o.GEN_BASE, o.GEN_RAW, _DOCUMENTED, o.STG.replace("from gen_raw", "from documented"),
+                           o.WEATHER_RAW, o.CELLS, o.WIND, o.SOLAR, o.GW, select=f"""select * replace ({o.R('avg_wind_speed', 6)} as avg_wind_speed) from gw
+  where date_key""")
+
+
+@query("pipeline_day", f"{_DOCUMENT_GW} = (select max(date_key) from stg)")
+def q_pipeline_day(spark, sf_dir):
+    """One day end to end: documents and cubes -> silver -> gate -> published generation x weather."""
+    at = Layout(session.work_dir(spark, "pipeline"))
+    land_bronze(spark, sf_dir, at)
+    last = bx.read_documents(spark, at.documents).select(F.max("date")).scalar()
+    run_range(spark, at, last, last, gate_checks=key_integrity_checks)
+    out = spark.read.parquet(f"{at.warehouse}/int_generation_weather")
+    return out.withColumn("avg_wind_speed", F.round("avg_wind_speed", 6))
+
+
+@query("pipeline_backfill", f"""{_DOCUMENT_GW} between (select min(date_key) from stg) + {BACKFILL_FROM}
+  and (select min(date_key) from stg) + {BACKFILL_FROM + BACKFILL_DAYS}""")
+def q_pipeline_backfill(spark, sf_dir):
+    """A range of days end to end in one job per step, for all countries; a re-run changes nothing."""
+    at = Layout(session.work_dir(spark, "pipeline"))
+    land_bronze(spark, sf_dir, at)
+    start, end = _range(bx.read_documents(spark, at.documents).select(F.min("date")).scalar())
     for _ in range(2):
-        ingest(raw, silver, last, last)
-        publish_marts(spark, silver, warehouse, last, last)
-    return spark.read.parquet(f"{warehouse}/fct_grid_carbon_intensity")
+        run_range(spark, at, start, end, gate_checks=key_integrity_checks)
+    out = spark.read.parquet(f"{at.warehouse}/int_generation_weather")
+    return out.withColumn("avg_wind_speed", F.round("avg_wind_speed", 6))
+
+
+# --- what is left out, and what is read as archives deliver it --------------------------------
+
+def odd_documents(spark, sf_dir) -> DataFrame:
+    """Generation documents, some cut short, some with numeric offsets, some without a start; acknowledgements."""
+    docs = bx.generation_documents(load_gen_raw(spark, sf_dir)).select("country", "date", "xml")
+    day = F.dayofmonth("date")
+    xml = F.col("xml")
+    start = F.date_format("date", "yyyy-MM-dd'T'00:00'Z'")
+    moved = F.concat(F.date_format("date", "yyyy-MM-dd'T'"), F.lit("01:00+01:00"))
+    return docs.withColumn("xml", (
+        F.when((F.col("country") == "DE") & (day % 2 == 0), F.substring(xml, 1, 400))
+        .when(F.col("country") == "FR", F.replace(xml, F.concat(F.lit("<start>"), start), F.concat(F.lit("<start>"), moved)))
+        .when((F.col("country") == "IT") & (day % 2 == 1), F.replace(xml, F.concat(F.lit("<start>"), start), F.lit("<start>soon")))
+        .otherwise(xml)))
+
+
+_DOC_DAY = "cast(make_timestamp(ts_ns // 1000) as date)"
+
+
+@query("xml_rejects", o.with_ctes(o.GEN_BASE, select=f"""
+  select country, {_DOC_DAY} as "date", 'bad_start' as reason, true as lost from gen_base
+  where domain = 'generation' and country = 'IT' and dayofmonth({_DOC_DAY}) % 2 = 1
+  union
+  select country, {_DOC_DAY}, 'corrupt', true from gen_base
+  where domain = 'generation' and country = 'DE' and dayofmonth({_DOC_DAY}) % 2 = 0"""))
+def q_xml_rejects(spark, sf_dir):
+    """Country-days with documents that don't parse or whose periods start at no time, by reason; documents
+    with numeric offsets are not among them."""
+    left_out = bx.rejects(odd_documents(spark, sf_dir))
+    return left_out.groupBy("country", "date", "reason").agg((F.sum("n") > 0).alias("lost"))
+
+
+@query("xml_offset_rows", o.with_ctes(o.GEN_BASE, select="""
+  select make_timestamp(ts_ns // 1000) as "timestamp", country, psr_type, actual_MW from gen_base
+  where domain = 'generation' and country in ('FR', 'ES') and actual_MW is not null"""))
+def q_xml_offset_rows(spark, sf_dir):
+    """Documents whose start has a numeric offset give the same rows as those in UTC."""
+    docs = odd_documents(spark, sf_dir).where(F.col("country").isin("FR", "ES"))
+    return bx.flatten_series(bx.decode_documents(docs)).select("timestamp", "country", "psr_type", "actual_MW") \
+        .where("actual_MW is not null")
+
+
+@query("weather_coerced", o.with_ctes(o.WEATHER_RAW, select="""select "timestamp", lat, lon, variable, value, country
+  from weather_raw where cast(round(lat * 4 + lon * 4) as bigint) % 5 not in (1, 2)"""))
+def q_weather_coerced(spark, sf_dir):
+    """Weather as archives deliver it (archive names, text, NaN, no numbers) made into silver rows."""
+    raw = load_weather_raw(spark, sf_dir)
+    kind = F.round(F.col("lat") * 4 + F.col("lon") * 4).cast("long") % 5
+    names = {v: k for k, v in dims.WEATHER_SHORT_NAMES.items()}
+    text = F.when(kind == 1, "n/a").when(kind == 2, "NaN").otherwise(F.concat(F.lit(" "), F.col("value").cast("string")))
+    delivered = raw.select(
+        F.timestamp_micros(F.expr("timestamp div 1000")).alias("valid_time"), F.col("lat").cast("string").alias("latitude"),
+        F.col("lon").alias("longitude"), F.try_element_at(dims.map_literal(names), F.col("variable")).alias("variable"),
+        text.alias("value"), "country")
+    return weather.to_silver_weather(delivered)

@@ -8,7 +8,9 @@ every public entry point, so callers may hand in any session.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -39,10 +41,10 @@ _LOCAL_FALLBACK: dict[str, str] = {}
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    On a cluster it points at shared storage and is used as is.  Only when it is unset (local
-    tests) a scratch folder is created and set with ``setCheckpointDir`` (the key itself is a
-    core setting that cannot be changed at runtime).  Without a SparkContext (Spark Connect)
-    the session conf is read and a process-level scratch folder is the last resort.
+    On a cluster it points at shared storage and is used as is.  Only with a local master (tests), where
+    one machine is all there is, a scratch folder is created and set with ``setCheckpointDir`` (the key itself is
+    a core setting that cannot be changed at runtime).  Anywhere else a missing setting raises: executors
+    would write to disks that the others don't see.
     """
     try:
         sc = spark.sparkContext
@@ -52,6 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master or ""):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
         current = _LOCAL_FALLBACK.setdefault("dir", tempfile.mkdtemp(prefix="gridmix-ckpt-"))
     if sc is not None:
         sc.setCheckpointDir(current)
@@ -62,8 +67,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    import uuid
-
     return f"{base}/gridmix-{name}-{uuid.uuid4().hex[:12]}"
 
 

@@ -1,17 +1,23 @@
-"""Writers.  Silver and mart tables are partitioned by (country, date) and written with
-dynamic partition overwrite, so re-running a day rewrites exactly that day's partitions and a
-retried or re-submitted job converges to the same table (idempotent increments)."""
+"""Writers.  Silver tables are partitioned by country, date (and domain) and written with dynamic partition
+overwrite: a re-run replaces the partitions that it has rows for, and a retried job converges to the same
+table.  Partitions for which the new input has no rows at all are left as they are."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from gridmix import functions as gf
-from gridmix.sources.tables import SILVER_GENERATION_SCHEMA
+from gridmix import session
+from gridmix.sources.tables import SILVER_GENERATION_SCHEMA, SILVER_WEATHER_SCHEMA
 
-SILVER_PARTITIONS = ["country", "date"]
+#: A slice: what one file of the source covers, and what a re-run replaces.
+SILVER_PARTITIONS = ["country", "date", "domain"]
+WEATHER_PARTITIONS = ["country", "date"]
 
 
 def with_date_partition(silver: DataFrame) -> DataFrame:
@@ -23,15 +29,19 @@ def with_date_partition(silver: DataFrame) -> DataFrame:
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def write_silver_generation(silver: DataFrame, path: str) -> None:
-    """Silver generation, Snappy Parquet, partitioned by (country, date), dynamic overwrite.
+def _write_slices(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
+    """Replace exactly the partitions that ``df`` holds.
 
-    No shuffle before the write: each input split writes its own rows (bronze input is
-    already organised by country and day, so a task touches few partitions).  Clustering by
-    the partition columns would send a dominant country-day through one task."""
-    df = with_date_partition(silver)
-    (df.write.mode("overwrite").option("compression", "snappy").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-       .option("partitionOverwriteMode", "dynamic").partitionBy(*SILVER_PARTITIONS).parquet(path))
+    ``REBALANCE`` gathers a partition's rows into few files and splits partitions that are large, so files are
+    neither one per task and partition nor one task's work for a dominant country-day."""
+    (df.hint("rebalance", *partitions).write.mode("overwrite").option("compression", "snappy")
+       .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*partitions).parquet(path))
+
+
+def write_silver_generation(silver: DataFrame, path: str) -> None:
+    """Silver generation, Snappy Parquet, partitioned by (country, date, domain), dynamic overwrite."""
+    _write_slices(with_date_partition(silver), path, SILVER_PARTITIONS)
 
 
 def read_silver_generation(spark: SparkSession, path: str) -> DataFrame:
@@ -39,6 +49,16 @@ def read_silver_generation(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def write_silver_weather(silver: DataFrame, path: str) -> None:
+    """Silver weather, Snappy Parquet, partitioned by (country, date), dynamic overwrite."""
+    _write_slices(with_date_partition(silver), path, WEATHER_PARTITIONS)
+
+
+def read_silver_weather(spark: SparkSession, path: str) -> DataFrame:
+    schema = T.StructType(SILVER_WEATHER_SCHEMA.fields + [T.StructField("date", T.DateType())])
+    return spark.read.schema(schema).parquet(path)
+
+
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str = "overwrite") -> None:
     df.write.mode(mode).partitionBy(*partition_cols).parquet(path)
 
@@ -55,14 +75,23 @@ def write_repartitioned(df: DataFrame, path: str, n: int) -> int:
     return out.rdd.getNumPartitions()
 
 
-def append_missing(spark: SparkSession, df: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Skip-if-exists: append only the key groups not yet present at ``path``.  Returns the
-    rows that were appended (lazy; already written)."""
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``.  Other errors than its absence are raised."""
     try:
-        existing = spark.read.parquet(path).select(*keys).distinct()
-        new = df.join(existing, keys, "left_anti")
-    except Exception:  # noqa: BLE001 — no table yet
-        new = df
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def append_missing(spark: SparkSession, df: DataFrame, path: str, keys: list[str]) -> DataFrame:
+    """Skip-if-exists: append only the key groups not yet present at ``path``.  Returns the rows that were appended
+    (lazy; already written).  A table that can't be read, or lacks a key, raises."""
+    new = df
+    if table_exists(spark, path):
+        new = session.materialize(df.join(spark.read.parquet(path).select(*keys).distinct(), keys, "left_anti"), "new")
     new.write.mode("append").partitionBy(*keys).parquet(path)
     return new
 

@@ -16,14 +16,18 @@ CUBE_DDL = ("country string, variable string, time array<timestamp>, lat array<d
             "lon array<double>, `values` array<double>")
 
 
+#: Hours that one cube covers (a quarter-degree world grid has a million cells an hour).
+CUBE_HOURS = 1
+
+
 def build_cubes(weather_raw: DataFrame) -> DataFrame:
-    """Long silver weather -> one cube per (country, variable, day).  Repeated cells are
+    """Long silver weather -> one cube per (country, variable, hours of ``CUBE_HOURS``).  Repeated cells are
     collapsed first (max value, partially aggregated map-side), so a cube holds at most
-    24 x lat x lon values — bounded by the grid, never by how often a cell repeats."""
+    CUBE_HOURS x lat x lon values — bounded by the grid, never by how often a cell repeats."""
     cells = weather_raw.select(
         "country", "variable", gf.epoch_ns_to_ts("timestamp").alias("t"), "lat", "lon", "value") \
         .groupBy("country", "variable", "t", "lat", "lon").agg(F.max("value").alias("value"))
-    grouped = cells.groupBy("country", "variable", F.to_date("t").alias("day")).agg(
+    grouped = cells.groupBy("country", "variable", F.floor(F.unix_timestamp("t") / (3600 * CUBE_HOURS)).alias("slot")).agg(
         F.array_sort(F.collect_set("t")).alias("time"),
         F.array_sort(F.collect_set("lat")).alias("lat"),
         F.array_sort(F.collect_set("lon")).alias("lon"),

@@ -47,8 +47,3 @@ def read_silver_generation(spark: SparkSession, path: str) -> DataFrame:
     """Silver generation Parquet (a folder, possibly partitioned by country/date)."""
     session.configure(spark)
     return spark.read.option("recursiveFileLookup", "false").schema(SILVER_GENERATION_SCHEMA).parquet(path)
-
-
-def read_silver_weather(spark: SparkSession, path: str) -> DataFrame:
-    session.configure(spark)
-    return spark.read.schema(SILVER_WEATHER_SCHEMA).parquet(path)

@@ -38,11 +38,52 @@ GENERATION_COLUMNS = ["timestamp", "country", "energy_source", "psr_type", "actu
 
 # --- decode ------------------------------------------------------------------------------------
 
+CORRUPT = "_corrupt"
+
+
+def _parsed(docs: DataFrame, xml_col: str) -> DataFrame:
+    keep = [F.col(c) for c in docs.columns if c != xml_col]
+    options = {**XML_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return docs.select(*keep, F.col(xml_col).alias("_xml"),
+                       F.from_xml(F.col(xml_col), f"{DOCUMENT_DDL}, {CORRUPT} string", options).alias("_doc"))
+
+
+def _is_corrupt():
+    return F.col("_xml").isNull() | F.col("_doc").isNull() | F.col(f"_doc.{CORRUPT}").isNotNull()
+
+
 def decode_documents(docs: DataFrame, xml_col: str = "xml") -> DataFrame:
-    """One row per TimeSeries: ``series`` struct plus the document's other columns."""
+    """One row per TimeSeries: ``series`` struct plus the document's other columns.  Documents that don't
+    parse have none; ``rejects`` lists them."""
+    keep = [c for c in docs.columns if c != xml_col]
+    return _parsed(docs, xml_col).where(~_is_corrupt()).select(*keep, F.explode("_doc.TimeSeries").alias("series"))
+
+
+def rejects(docs: DataFrame, xml_col: str = "xml") -> DataFrame:
+    """What decoding leaves out, with a reason and a count: documents that don't parse (``corrupt``), and
+    series periods whose start is missing or no time (``bad_start``), one row per document and reason."""
     keep = [c for c in docs.columns if c != xml_col]
-    parsed = docs.select(*keep, F.from_xml(F.col(xml_col), DOCUMENT_DDL, XML_OPTIONS).alias("_doc"))
-    return parsed.select(*keep, F.explode("_doc.TimeSeries").alias("series"))
+    parsed = _parsed(docs, xml_col)
+    starts = F.flatten(F.transform(F.coalesce("_doc.TimeSeries", F.array()), lambda s: F.transform(
+        F.coalesce(s["Period"], F.array()), lambda p: p["timeInterval"]["start"])))
+    bad = F.size(F.filter(starts, lambda t: gf.parse_xml_time(t).isNull()))
+    return parsed.select(
+        *keep, F.when(_is_corrupt(), "corrupt").when(bad > 0, "bad_start").alias("reason"),
+        F.when(_is_corrupt(), F.lit(1)).otherwise(bad).cast("long").alias("n")).where(F.col("reason").isNotNull())
+
+
+def read_documents(spark: SparkSession, root: str) -> DataFrame:
+    """Whole documents of a bronze tree ``root/country=../date=../domain=..``: (xml, country, date, domain, path).
+    Filters on the folder columns prune the files that are read."""
+    schema = "value string, country string, date date, domain string"
+    raw = spark.read.option("wholetext", "true").schema(schema).text(root)
+    return raw.select(F.col("value").alias("xml"), "country", "date", "domain", F.col("_metadata.file_path").alias("path"))
+
+
+def land_documents(docs: DataFrame, root: str, domain: str) -> None:
+    """Write documents (country, date, xml) as files of the tree that ``read_documents`` reads, one document a file."""
+    (docs.select("country", "date", F.lit(domain).alias("domain"), F.col("xml").alias("value"))
+     .write.mode("append").option("maxRecordsPerFile", 1).partitionBy("country", "date", "domain").text(root))
 
 
 def read_series_files(spark: SparkSession, root: str) -> DataFrame:
@@ -106,32 +147,31 @@ def triage(docs: DataFrame, xml_col: str = "xml") -> DataFrame:
 
 # --- building documents from silver rows (round-trip fixtures) ---------------------------------
 
+POINTS_PER_DOCUMENT = 100_000
+
+
+def _chunk() -> Column:
+    """Input split and chunk of it as one number: monotonically_increasing_id counts the rows of a split."""
+    return F.floor(F.monotonically_increasing_id() / POINTS_PER_DOCUMENT)
+
+
 def _fmt(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm'Z'")
 
 
-def generation_documents(rows: DataFrame) -> DataFrame:
-    """Silver actual-generation rows -> one document per (country, day, input split): a
-    TimeSeries per PSR code with one PT15M period starting at midnight, position =
-    quarter-hour of the day + 1.
-
-    The input split (``spark_partition_id`` of the scan, deterministic for file scans) is part
-    of the document key, so a document never holds more rows than one input split even when a
-    single country-day dominates the table."""
-    ts = gf.epoch_ns_to_ts("timestamp")
-    pts = rows.where(F.col("domain") == "generation").select(
-        "country", "psr_type", F.to_date(ts).alias("date"), F.spark_partition_id().alias("split"),
-        (F.hour(ts) * 4 + F.floor(F.minute(ts) / 15) + 1).cast("int").alias("position"), F.col("actual_MW").alias("q"))
+def _documents(points: DataFrame, resolution: str) -> DataFrame:
+    """(country, psr_type, date, split, position, q) -> one document per (country, date, split), a TimeSeries per PSR
+    code with one period that starts at midnight."""
     point = F.concat(F.lit("<Point><position>"), F.col("position").cast("string"), F.lit("</position><quantity>"),
                      F.col("q").cast("string"), F.lit("</quantity></Point>"))
-    series = pts.groupBy("country", "date", "split", "psr_type").agg(
+    series = points.groupBy("country", "date", "split", "psr_type").agg(
         F.concat_ws("", F.collect_list(point)).alias("points"))
     start = F.col("date").cast("timestamp")
     series_xml = F.concat(
         F.lit("<TimeSeries><MktPSRType><psrType>"), F.col("psr_type"), F.lit("</psrType></MktPSRType><Period>"),
         F.lit("<timeInterval><start>"), _fmt(start), F.lit("</start><end>"),
         _fmt(start + F.expr("INTERVAL 1 DAY")), F.lit("</end></timeInterval>"),
-        F.lit("<resolution>PT15M</resolution>"), F.col("points"), F.lit("</Period></TimeSeries>"))
+        F.lit(f"<resolution>{resolution}</resolution>"), F.col("points"), F.lit("</Period></TimeSeries>"))
     docs = series.groupBy("country", "date", "split").agg(F.concat_ws("", F.collect_list(series_xml)).alias("body"))
     return docs.select(
         "country", "date",
@@ -139,24 +179,27 @@ def generation_documents(rows: DataFrame) -> DataFrame:
                  F.lit(f"</{GENERATION_ROOT}>")).alias("xml"))
 
 
+def generation_documents(rows: DataFrame) -> DataFrame:
+    """Silver actual-generation rows -> one document per (country, day, chunk): PT15M, position =
+    quarter-hour of the day + 1.
+
+    A chunk of POINTS_PER_DOCUMENT rows of an input split (``spark_partition_id`` of the scan, deterministic for
+    file scans) is part of the document key, so a document is small even when a single country-day
+    dominates the table."""
+    ts = gf.epoch_ns_to_ts("timestamp")
+    return _documents(rows.where(F.col("domain") == "generation").select(
+        "country", "psr_type", F.to_date(ts).alias("date"), _chunk().alias("split"),
+        (F.hour(ts) * 4 + F.floor(F.minute(ts) / 15) + 1).cast("int").alias("position"), F.col("actual_MW").alias("q")),
+        "PT15M")
+
+
 def forecast_documents(rows: DataFrame) -> DataFrame:
-    """Silver forecast rows -> one day-ahead document per (country, day, PSR code, input
-    split): hourly points, position = hour of day + 1."""
+    """Silver forecast rows -> one day-ahead document per (country, day, chunk): hourly points, position = hour of
+    day + 1."""
     ts = gf.epoch_ns_to_ts("timestamp")
-    pts = rows.where(F.col("domain") == "forecast").select(
-        "country", "psr_type", F.to_date(ts).alias("date"), F.spark_partition_id().alias("split"),
-        (F.hour(ts) + 1).alias("position"), F.col("forecast_MW").alias("q"))
-    point = F.concat(F.lit("<Point><position>"), F.col("position").cast("string"), F.lit("</position><quantity>"),
-                     F.col("q").cast("string"), F.lit("</quantity></Point>"))
-    series = pts.groupBy("country", "date", "split", "psr_type").agg(
-        F.concat_ws("", F.collect_list(point)).alias("points"))
-    start = F.col("date").cast("timestamp")
-    return series.select(
-        "country", "date",
-        F.concat(F.lit(f'<{GENERATION_ROOT} xmlns="{GENERATION_NS}"><TimeSeries><MktPSRType><psrType>'),
-                 F.col("psr_type"), F.lit("</psrType></MktPSRType><Period><timeInterval><start>"), _fmt(start),
-                 F.lit("</start></timeInterval><resolution>PT60M</resolution>"), F.col("points"),
-                 F.lit(f"</Period></TimeSeries></{GENERATION_ROOT}>")).alias("xml"))
+    return _documents(rows.where(F.col("domain") == "forecast").select(
+        "country", "psr_type", F.to_date(ts).alias("date"), _chunk().alias("split"),
+        (F.hour(ts) + 1).alias("position"), F.col("forecast_MW").alias("q")), "PT60M")
 
 
 def acknowledgement_document(code: Column, text: Column) -> Column:

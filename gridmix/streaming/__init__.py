@@ -1,31 +1,46 @@
-"""File-stream increments: new raw files landing in a folder are appended to silver
-exactly once (file sink + checkpoint), triggered with ``availableNow`` so a scheduled run
-processes whatever arrived since the last run and stops."""
+"""File-stream increments: raw files that land in drop folders replace the silver slices they cover.
+
+Triggered with ``availableNow``: a scheduled run takes whatever arrived since the last run and stops.  A drop
+is a folder ``drop=<n>``; of drops in one batch that cover a slice (country, date, domain), the last wins, and a
+later batch replaces what an earlier one wrote.  A corrected file, up or down, therefore gives the same silver
+as the batch increment.  Batches that are repeated after a failure replace the same slices again."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gridmix import sinks
+from gridmix import session, sinks
 from gridmix.sources.tables import SILVER_GENERATION_SCHEMA
 
 
 def landing_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(SILVER_GENERATION_SCHEMA)
+    r = spark.readStream.schema(T.StructType([*SILVER_GENERATION_SCHEMA.fields, T.StructField("drop", T.LongType())]))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(landing)
 
 
+def latest_drop(rows: DataFrame) -> DataFrame:
+    """Rows of each slice's last drop.  The join's small side has one row per slice."""
+    rows = sinks.with_date_partition(rows)
+    last = rows.groupBy(*sinks.SILVER_PARTITIONS).agg(F.max("drop").alias("drop"))
+    return rows.join(last, [*sinks.SILVER_PARTITIONS, "drop"]).drop("drop", "date")
+
+
 def run_available_now(spark: SparkSession, landing: str, silver: str, checkpoint: str) -> None:
-    """Process all landed files not yet seen (per the checkpoint) into the silver table,
-    partitioned by (country, date), then stop.  Re-running with no new files is a no-op."""
-    rows = sinks.with_date_partition(landing_stream(spark, landing))
-    q = (rows.writeStream.format("parquet").option("path", silver).option("checkpointLocation", checkpoint)
-         .partitionBy(*sinks.SILVER_PARTITIONS).outputMode("append").trigger(availableNow=True).start())
+    """Bring all landed files not yet seen (per the checkpoint) into the silver table, then stop.  Re-running
+    with no new files is a no-op."""
+    session.configure(spark)
+
+    def replace(batch: DataFrame, _: int) -> None:
+        sinks.write_silver_generation(latest_drop(batch), silver)
+
+    q = (landing_stream(spark, landing).writeStream.option("checkpointLocation", checkpoint)
+         .foreachBatch(replace).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 def read_silver(spark: SparkSession, silver: str) -> DataFrame:
-    """Batch read of a stream-written silver table (through its commit log)."""
     return sinks.read_silver_generation(spark, silver)

@@ -127,15 +127,15 @@ factors as (
   select map(list(energy_source), list(emission_factor_gco2_kwh)) as of_source,
          list(energy_source) filter (is_renewable) as green from dim_es),
 loads as (
-  select ts_hour, country_code, country_name, actual_mw as mw, coalesce(of_source[energy_source], 0) as factor,
+  select ts_hour, date_key, hour_of_day, country_code, country_name, actual_mw as mw, coalesce(of_source[energy_source], 0) as factor,
          list_contains(green, energy_source) as is_green
   from stg, factors where actual_mw > 0),
 ci as (
-  select ts_hour, ts_hour::date as date_key, hour(ts_hour) as hour_of_day, country_code, country_name,
+  select ts_hour, date_key, hour_of_day, country_code, country_name,
          {R('sum(mw * factor) / greatest(sum(mw), 0.001)', 2)} as carbon_intensity_gco2_kwh,
          {R('sum(mw)', 2)} as total_mw, {R('coalesce(sum(mw) filter (is_green), 0)', 2)} as renewable_mw,
          {R('coalesce(sum(mw * factor) filter (not is_green), 0)', 2)} as total_co2_grams_per_hour
-  from loads group by ts_hour, country_code, country_name)"""
+  from loads group by ts_hour, date_key, hour_of_day, country_code, country_name)"""
 
 # A day's hours form one list by rising intensity: its ends are the extreme hours.
 FCT_CI = f"""ci_days as (
@@ -157,7 +157,7 @@ fct_ci as (
          hours_reported, low.h as cleanest_hour_of_day, low.i as cleanest_hour_intensity,
          high.h as dirtiest_hour_of_day, high.i as dirtiest_hour_intensity,
          {R('high.i - low.i', 2)} as daily_intensity_range_gco2_kwh, typical_cleanest_hour
-  from ci_ends join habits using (country_code))"""
+  from (select * rename (country_code as home) from habits) join ci_ends on home is not distinct from country_code)"""
 
 # --- weather ---------------------------------------------------------------------------------
 

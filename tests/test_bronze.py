@@ -1,9 +1,11 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from gridmix import dims
+from gridmix import functions as gf
 from gridmix.sources import config, cube, files
 from gridmix.sources import xml as bx
 
@@ -80,8 +82,8 @@ def test_cube_roundtrip_with_hole(spark):
             for t in range(2) for la in (40.0, 40.25) for lo in (20.0, 20.25)]
     rows = rows[:-1]  # one missing cell
     raw = spark.createDataFrame(rows, WEATHER_SCHEMA)
-    cubes = cube.build_cubes(raw).collect()
-    assert len(cubes) == 1 and len(cubes[0]["values"]) == 8 and cubes[0]["values"][-1] is None
+    cubes = sorted(cube.build_cubes(raw).collect(), key=lambda c: c["time"])  # one per hour
+    assert [len(c["values"]) for c in cubes] == [4, 4] and cubes[1]["values"][-1] is None
     back = cube.flatten_cube(spark.createDataFrame(cubes, cube.CUBE_DDL))
     assert back.count() == 7
 
@@ -99,3 +101,42 @@ def test_country_config_json(spark, tmp_dir):
     # a point inside two boxes maps to both countries
     cells = spark.createDataFrame([(54.8, 14.5)], "lat double, lon double")
     assert {r["country_code"] for r in cube.grid_to_country(cells, cfg).collect()} == {"DE", "DK", "PL"}
+
+
+def test_corrupt_documents_and_offsets(spark):
+    good = ("<GL_MarketDocument><TimeSeries><MktPSRType><psrType>B16</psrType></MktPSRType><Period><timeInterval>"
+            "<start>{}</start></timeInterval><resolution>PT60M</resolution><Point><position>1</position>"
+            "<quantity>5</quantity></Point></Period></TimeSeries></GL_MarketDocument>")
+    rows = [("utc", good.format("2025-03-01T00:00Z")), ("offset", good.format("2025-03-01T01:00+01:00")),
+            ("seconds", good.format("2025-03-01T00:00:00+00:00")), ("naive", good.format("2025-03-01T00:00")),
+            ("soon", good.format("soon")), ("cut", good.format("2025-03-01T00:00Z")[:120]), ("none", None)]
+    docs = spark.createDataFrame([("GR", k, x) for k, x in rows], "country string, k string, xml string")
+    out = bx.flatten_series(bx.decode_documents(docs)).collect()
+    assert len(out) == 4 and len({r.timestamp for r in out}) == 1
+    assert {(r.k, r.reason, r.n) for r in bx.rejects(docs).collect()} == {
+        ("soon", "bad_start", 1), ("cut", "corrupt", 1), ("none", "corrupt", 1)}
+
+
+def test_weather_reader(spark):
+    import math
+
+    from gridmix import functions as gf
+    from gridmix.sources import weather
+
+    rows = [("2025-03-01 00:00:00", "40.0", 20.0, "2m_temperature", "280.5", "GR"),
+            ("2025-03-01T01:00Z", "40.0", 20.0, "u100", " 1 ", "GR"), ("never", "40", 20.0, "u100", "1", "GR"),
+            ("2025-03-01 00:00:00", "x", 20.0, "u100", "1", "GR"), ("2025-03-01 00:00:00", "40", math.nan, "u100", "1", "GR"),
+            ("2025-03-01 00:00:00", "40", 20.0, "u100", "NaN", "GR"), ("2025-03-01 00:00:00", "40", 20.0, "u100", None, "GR")]
+    raw = spark.createDataFrame(rows, "valid_time string, latitude string, longitude double, variable string, value string, country string")
+    out = weather.to_silver_weather(raw).collect()
+    assert sorted((r.variable, r.value) for r in out) == [("t2m", 280.5), ("u100", 1.0)]
+    with pytest.raises(gf.MissingColumnsError, match="value"):
+        weather.to_silver_weather(raw.drop("value"))
+    wide = weather.rename_wide(raw.withColumnRenamed("value", "total_precipitation"))
+    assert {"timestamp", "lat", "lon", "tp"} <= set(wide.columns)
+
+
+def test_averages_don_t_overflow(spark):
+    df = spark.range(3_000_000).selectExpr("3.6e6D + (id % 2) as x")
+    assert df.agg(gf.exact_avg("x", 6, 6).alias("m")).first()[0] == 3_600_000.5
+    assert spark.createDataFrame([(-1.005,), (-1.015,)], "x double").agg(gf.exact_avg("x", 3, 2).alias("m")).first()[0] == -1.01

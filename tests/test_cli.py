@@ -11,7 +11,7 @@ def test_cli_backfill_daily_query(spark, tmp_dir):
     raw_path = os.path.join(tmp_dir, "raw")
     load_gen_raw(spark, SF_SMALL).write.parquet(raw_path)
     silver, wh = os.path.join(tmp_dir, "silver"), os.path.join(tmp_dir, "wh")
-    args = ["--raw", raw_path, "--silver", silver, "--warehouse", wh]
+    args = ["--raw", raw_path, "--silver", silver, "--warehouse", wh, "--gate", "keys"]
     assert main(["backfill", *args, "--start", "2025-02-26", "--end", "2025-02-27"]) == 0
     assert main(["daily", *args, "--date", "2025-02-28"]) == 0
     assert main(["daily", *args, "--date", "2025-02-28"]) == 0  # idempotent re-run

@@ -48,10 +48,7 @@ def test_overview_has_no_subquery_or_cross_join(spark):
 
 @pytest.mark.parametrize("name", sorted(Q))
 def test_no_cartesian_products_anywhere(spark, name):
-    if name in {"silver_roundtrip", "incremental_day", "stream_increment", "backfill_range", "xml_file_scan",
-                "dq_summary", "dq_recency", "renewable_trends"}:
-        pytest.skip("writes files while planning")
-    p = plan(spark, name)
+    p = plan(spark, name)  # queries that write while planning are run, and their last plan is looked at
     assert "CartesianProduct" not in p
 
 

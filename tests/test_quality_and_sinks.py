@@ -47,8 +47,9 @@ def test_silver_write_is_idempotent(spark, tmp_dir):
     back = sinks.read_silver_generation(spark, path)
     assert back.count() == 3
     assert sorted(p for p in os.listdir(path) if p.startswith("country=")) == ["country=GR", "country=XX"]
-    marts = pipeline.build_marts(spark, path)
-    assert marts["fct_renewable_kpi"].count() == 2
+    assert pipeline.build(spark, path).kpi.count() == 2
+    one = pipeline.build(spark, path, None, "2025-03-02", "2025-03-02")  # one day's run holds one day
+    assert [r.country_code for r in one.kpi.collect()] == ["XX"]
 
 
 def test_append_missing_and_table(spark, tmp_dir):
@@ -62,13 +63,71 @@ def test_append_missing_and_table(spark, tmp_dir):
     assert sinks.write_repartitioned(df, os.path.join(tmp_dir, "r"), 2) == 2
 
 
-def test_publish_gate_blocks_on_value_checks(spark, tmp_dir):
+def test_append_missing_raises_on_other_errors(spark, tmp_dir):
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    path = os.path.join(tmp_dir, "t")
+    sinks.append_missing(spark, df, path, ["k"])
+    with pytest.raises(Exception, match="other"):
+        sinks.append_missing(spark, df.withColumnRenamed("k", "other"), path, ["other"])
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_publish_gate_blocks_by_default(spark, tmp_dir):
     raw = _raw(spark)
     silver, wh = os.path.join(tmp_dir, "s"), os.path.join(tmp_dir, "w")
     pipeline.ingest(raw, silver)
     with pytest.raises(dq.QualityGateError, match="mw_positive"):
-        pipeline.publish_marts(spark, silver, wh, gate_checks=lambda stg: [
-            dq.row_check("mw_positive", "stg_generation", stg, stg["actual_mw"] < 0)])
+        pipeline.publish_marts(spark, silver, wh)
     assert not os.path.exists(os.path.join(wh, "fct_renewable_kpi"))  # nothing published
-    pipeline.publish_marts(spark, silver, wh)  # key-integrity gate passes
+    pipeline.publish_marts(spark, silver, wh, gate_checks=pipeline.key_integrity_checks)
     assert spark.read.parquet(os.path.join(wh, "fct_renewable_kpi")).count() == 2
+    before = sorted(spark.read.parquet(os.path.join(wh, "fct_renewable_kpi")).collect())
+    pipeline.ingest(raw.withColumn("actual_MW", -raw["actual_MW"]), silver)
+    with pytest.raises(dq.QualityGateError):  # a failing mart test leaves the old tables
+        pipeline.publish_marts(spark, silver, wh)
+    assert sorted(spark.read.parquet(os.path.join(wh, "fct_renewable_kpi")).collect()) == before
+    assert pipeline.carbon_mart(spark, wh).count() == 2
+
+
+def test_silver_files_are_few_and_large_partitions_are_split(spark, tmp_dir):
+    rows = spark.range(0, 40_000, 1, 16).selectExpr(
+        "1740787200000000000 + (id % 24) * 3600000000000 as timestamp", "'DE' as country", "'Solar' as energy_source",
+        "'B16' as psr_type", "cast(id as double) as actual_MW", "cast(null as double) as forecast_MW", "'generation' as domain")
+    path = os.path.join(tmp_dir, "s")
+    sinks.write_silver_generation(rows, path)
+    assert len(spark.read.parquet(path).inputFiles()) == 1  # 16 tasks, one slice
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        sinks.write_silver_generation(rows, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len(spark.read.parquet(path).inputFiles()) > 1  # the hot slice is written by several tasks
+    assert sinks.read_silver_generation(spark, path).count() == 40_000
+
+
+def test_runs_prune_partitions(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "s")
+    pipeline.ingest(_raw(spark), path)
+    df = pipeline.within(sinks.read_silver_generation(spark, path), sinks.F.col("date"), "2025-03-02", "2025-03-02", ["XX"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "date" in filters and "country" in filters
+
+
+def test_checkpoint_folder_is_required_off_local(monkeypatch):
+    from gridmix import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Connect:
+        conf = Conf()
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("no context")
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Connect())
