@@ -53,8 +53,8 @@ def crc_mod(column: Column, m: int) -> Column:
 
 
 def row_key(doc_id: Column, text: Column) -> Column:
-    """A string that identifies a document: its id, or a digest of its text where the id is null."""
-    return F.coalesce(doc_id.cast("string"), F.concat(F.lit("null:"), F.sha2(F.coalesce(text, F.lit("")), 256)))
+    """A string that identifies a document: its id with a digest of its text, as ids may be null or repeat."""
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), F.md5(F.coalesce(text, F.lit(""))))
 
 
 def numbered(df: DataFrame, key: str, out: str) -> DataFrame:

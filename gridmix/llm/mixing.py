@@ -130,11 +130,11 @@ def digest(mixed: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS) -> DataFrame:
     """The documents themselves, each as often as the mix takes it.  Documents without words stay once."""
     columns = [f"`{c}`" for c in docs.columns]
-    keyed = common.numbered(docs.withColumn("key_", common.row_key(F.col("doc_id"), F.col("text"))), "key_", "nth_")
-    named = keyed.withColumn("id_", F.concat_ws("#", "nth_", "key_"))
-    copies = sample(sizes(named, "id_"), weights)
-    copies = copies.select(F.col("id").alias("id_"), F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies"))
-                           .cast("int").alias("copies_")).filter("copies_ > 0")
+    keyed = common.numbered(docs.withColumn("llm_key_", common.row_key(F.col("doc_id"), F.col("text"))), "llm_key_", "llm_nth_")
+    named = keyed.withColumn("llm_id_", F.concat_ws("#", "llm_nth_", "llm_key_"))
+    copies = sample(sizes(named, "llm_id_"), weights)
+    copies = copies.select(F.col("id").alias("llm_id_"), F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies"))
+                           .cast("int").alias("llm_copies_")).filter("llm_copies_ > 0")
     copies = common.materialize(copies, "copies")
-    taken = named.join(copies, "id_")
-    return taken.withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies_")))).select(*columns)
+    taken = named.join(copies, "llm_id_")
+    return taken.withColumn("llm_copy_", F.explode(F.sequence(F.lit(1), F.col("llm_copies_")))).select(*columns)

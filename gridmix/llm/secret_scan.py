@@ -176,10 +176,10 @@ def redact(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> Dat
     scan_increment(versions(docs), ledger, rules)
     found = common.materialize(findings(docs.sparkSession, ledger, rules), "findings")
     blob = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
-    joined = docs.withColumn("blob_", blob).join(found.select(F.col("blob").alias("blob_"), F.col("found").alias("found_")),
-                                                 "blob_", "left")
-    hit = F.col("found_").isNotNull()
-    masked = joined.withColumn("text", F.when(hit, _masked(F.col("text"), F.col("found_"))).otherwise(F.col("text")))
+    joined = docs.withColumn("llm_blob_", blob).join(found.select(F.col("blob").alias("llm_blob_"), F.col("found").alias("llm_found_")),
+                                                 "llm_blob_", "left")
+    hit = F.col("llm_found_").isNotNull()
+    masked = joined.withColumn("text", F.when(hit, _masked(F.col("text"), F.col("llm_found_"))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         masked = masked.withColumn("n_chars", F.when(hit, length).otherwise(F.col("n_chars")))

@@ -245,15 +245,13 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each component: that with the smallest id, or the only row of a repeated one.
-
-    Components whose ids are all null keep the row with the smallest digest of its text.
-    """
+    """One document of each component: that with the smallest id (of rows that share it, that with the smallest digest
+    of its text), rows without an id last."""
     key = common.row_key(F.col("doc_id"), F.col("text"))
-    keyed = docs.withColumn("key_", key)
-    by_key = keyed.select(F.col("key_").alias("doc_id"), "text")
+    keyed = docs.withColumn("llm_key_", key)
+    by_key = keyed.select(F.col("llm_key_").alias("doc_id"), "text")
     found = near_duplicates(by_key, words, max_bits).join(
-        keyed.select(F.col("key_").alias("id"), F.col("doc_id").alias("number")).distinct(), "id")
+        keyed.select(F.col("llm_key_").alias("id"), F.col("doc_id").alias("number")).distinct(), "id")
     first = found.groupBy("component").agg(F.min(F.struct(F.col("number").isNull(), "number", "id")).alias("first"))
-    kept = common.materialize(first.select(F.col("first.id").alias("key_")), "kept")
-    return keyed.join(kept, "key_", "left_semi").dropDuplicates(["key_"]).select(*[f"`{c}`" for c in docs.columns])
+    kept = common.materialize(first.select(F.col("first.id").alias("llm_key_")), "kept")
+    return keyed.join(kept, "llm_key_", "left_semi").dropDuplicates(["llm_key_"]).select(*[f"`{c}`" for c in docs.columns])

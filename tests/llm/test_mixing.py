@@ -83,7 +83,7 @@ def test_pareto_ranks_by_odds(spark):
 
 def test_documents_are_repeated(spark, docs):
     rows = [(*r[:2], ["b", "a", None][i % 3]) for i, r in enumerate(EDGES)]
-    frame = docs(rows, "copies_x")
+    frame = docs(rows, "copies_")
     out = mixing.mixed_documents(frame)
     assert out.columns == frame.columns
     want = sum((r.taken // r.size if r.size else 1) for r in mixing.digest(mixing.mix(frame)).collect())

@@ -80,7 +80,7 @@ def test_only_unseen_pairs_are_scanned(spark, docs):
 
 def test_redact(spark, docs):
     rows = EDGES + TRICKY + [(30, "x password=abcdef01 and token=0123456 y")]
-    frame = docs(rows, "found_x")
+    frame = docs(rows, "found_")
     out = ss.redact(frame, work_dir(spark, "ledger"))
     assert out.columns == frame.columns and out.count() == len(rows)
     got = {r.doc_id: r for r in out.collect()}

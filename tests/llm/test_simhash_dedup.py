@@ -98,12 +98,12 @@ def test_dense_cells_are_dealt_out(spark):
 
 
 def test_keep_one(spark, docs):
-    rows = EDGES + [(None, "a b c d e f g h"), (5, "a b c d e f g h")]
-    frame = docs(rows, "component")
+    rows = EDGES + [(None, "a b c d e f g h"), (5, "a b c d e f g h"), (5, "the same id with other words in it")]
+    frame = docs(rows, "key_")
     kept = sd.keep_one(frame)
     assert kept.columns == frame.columns
     ids = [(r.doc_id, r.text) for r in kept.collect()]
-    assert sorted((i if i is not None else -1) for i, _ in ids) == [-1, 1, 4, 5, 7, 8]
+    assert sorted((i if i is not None else -1) for i, _ in ids) == [-1, 1, 4, 5, 5, 7, 8]
 
 
 def test_components_of_a_hub(spark):
