@@ -42,7 +42,13 @@ HINTS = ("ad ads advert advertisement adverts alert banner breadcrumb breadcrumb
          "contentinfo cookie cookies copyright dialog disqus footer gdpr login menu modal nav navbar navigation newsletter "
          "notice notices popup promo related replies reply respond search share sharing sidebar signup social sponsor "
          "sponsored subscribe toolbar widget").split()
-BODY_HINTS = "article body content entry main post story text".split()
+#: Such words where they stand outside an article (an article has headings of its own).
+PAGE_HINTS = "header masthead topbar".split()
+#: Words that make a name speak of the layout, not of the part ("has-sidebar", "ad-free").
+LAYOUT = "disabled enabled free has layout no not theme with without".split()
+#: Words that name an article, and those that make such a name another part.
+BODY_HINTS = "article articlebody entry post story".split()
+NOT_BODY = "author card date footer grid list meta nav tags teaser teasers thumbnail".split()
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -83,13 +89,19 @@ class _Open:
     done: list[Block] = field(default_factory=list)
 
     def push(self, name: str, attrs: str) -> None:
-        named = {w for m in _NAMED.finditer(attrs) for w in _PARTS.findall((m[1] or m[2] or m[3] or "").lower())}
         inside, astray = bool(self.article and self.article[-1]), bool(self.other and self.other[-1])
+        body = elsewhere = False
+        if attrs and name not in ("html", "body", "main"):
+            for m in _NAMED.finditer(attrs):
+                for one in (m[1] or m[2] or m[3] or "").lower().split():
+                    words = set(_PARTS.findall(one))
+                    if words.isdisjoint(LAYOUT):
+                        elsewhere |= not words.isdisjoint(HINTS) or not inside and not words.isdisjoint(PAGE_HINTS)
+                        body |= not words.isdisjoint(BODY_HINTS) and words.isdisjoint(NOT_BODY)
         # a header belongs to the page unless it is an article's
-        says = (name in OTHER or name == "header" and not inside or not named.isdisjoint(HINTS)
-                or bool(attrs and _HIDDEN.search(attrs)))
+        says = (name in OTHER or name == "header" and not inside or elsewhere or bool(attrs and _HIDDEN.search(attrs)))
         self.names.append(name)
-        self.article.append(inside or name in ARTICLE or not named.isdisjoint(BODY_HINTS) and name != "body")
+        self.article.append(inside or name in ARTICLE or body)
         self.other.append(astray or says)
 
     def close(self, at: int) -> None:

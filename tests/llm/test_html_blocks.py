@@ -28,6 +28,11 @@ def text(markup):
     ("<article><p>x</p><script>never closed <p>y</p>", "x"),
     ("<article><div hidden>no</div><div style='display: none'>no</div><p>yes</p></article>", "yes"),
     ("<ARTICLE><P>Upper</P></ARTICLE><ASIDE>no</ASIDE>", "Upper"),
+    ("<body class='has-sidebar nav-open'><div class='layout-sidebar'><article class='ad-free post'><p>yes</p></article></div>"
+     "<div class='sidebar left'>no</div>", "yes"),
+    ("<div id=header>no</div><div class=entry-content><div class=header>yes</div><p>a</p></div><div class=site-footer>no</div>",
+     "yes\na"),
+    ("<section id='comments'><article class='comment'><p>A long comment by a reader of the page.</p></article></section>", ""),
 ])
 def test_pages(markup, want):
     assert text(markup) == want
