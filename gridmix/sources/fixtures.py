@@ -11,7 +11,6 @@ Both are plain projections (no shuffle); they grow linearly with their source ta
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gridmix import dims
 from gridmix.sources.tables import read_table
