@@ -1,4 +1,3 @@
-import re
 from collections import Counter
 
 import corpus_pipeline

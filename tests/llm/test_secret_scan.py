@@ -1,11 +1,9 @@
 import hashlib
 import re
 
-import pytest
-from pyspark.sql import functions as F
 
 from llm_data import DOCS, EDGES, SF
-from gridmix.llm import common, queries, secret_scan as ss
+from gridmix.llm import queries, secret_scan as ss
 from gridmix.session import work_dir
 
 ASSIGN = re.compile(r'''(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)''', re.A)
