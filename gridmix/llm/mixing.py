@@ -136,5 +136,5 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS) -> DataFrame:
     copies = copies.select(F.col("id").alias("llm_id_"), F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies"))
                            .cast("int").alias("llm_copies_")).filter("llm_copies_ > 0")
     copies = common.materialize(copies, "copies")
-    taken = named.join(copies, "llm_id_")
+    taken = named.join(copies.hint("merge"), "llm_id_")  # copies grow with the documents: never broadcast
     return taken.withColumn("llm_copy_", F.explode(F.sequence(F.lit(1), F.col("llm_copies_")))).select(*columns)

@@ -254,4 +254,4 @@ def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BI
         keyed.select(F.col("llm_key_").alias("id"), F.col("doc_id").alias("number")).distinct(), "id")
     first = found.groupBy("component").agg(F.min(F.struct(F.col("number").isNull(), "number", "id")).alias("first"))
     kept = common.materialize(first.select(F.col("first.id").alias("llm_key_")), "kept")
-    return keyed.join(kept, "llm_key_", "left_semi").dropDuplicates(["llm_key_"]).select(*[f"`{c}`" for c in docs.columns])
+    return keyed.join(kept.hint("merge"), "llm_key_", "left_semi").dropDuplicates(["llm_key_"]).select(*[f"`{c}`" for c in docs.columns])
