@@ -5,6 +5,10 @@ lexicon, distinct and sorted.  Each of several random subsets of the lexicon kee
 keeps.  Shares fall from one in 2 to one in 4096 terms, so any text has subsets that keep few of its terms.  The
 likeness of two fingerprints is the share of equal hashes among the thinnest subsets that keep something of either.
 
+Frequencies count rows, so the terms of a text with very many copies or near copies are above the band.  A fingerprint
+therefore has the same subsets a second time, over all terms of the text.  These are compared where the lexicon says too
+little of either text: less than one in ``FEW`` of its terms.
+
 The band's upper end is a document frequency of N / ``RARE`` at least.  A document has a bounded
 number of distinct terms (D on average), so the band holds D * ``RARE`` terms at most, however many documents
 there are.  That list goes to every task; its size is checked, and beyond ``LEXICON_BYTES`` the run stops.
@@ -14,8 +18,9 @@ one's beginning.  Rows are dealt out by ranges of ids and sorted there.  The fir
 range before it, so every row finds its next one in its own task; texts are moved once.
 
 Defined results: a null text is empty; equal ids are ordered by text, nulls last of all; a single row is its
-own next one; a text without terms in the lexicon is fingerprinted by all its terms (one hash); an empty table gives an
-empty result; further columns are ignored.
+own next one; a text with too few terms in the lexicon has a fingerprint over all its terms only; where no subset keeps a
+term of either text, they are alike if their terms are the same; an empty table gives an empty result; further columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -38,6 +43,12 @@ LEAST = 2
 LEVELS = tuple(1 + j // 8 for j in range(96))
 #: Likeness looks at the thinnest subsets that keep something, this many at least.
 TOLD = 16
+#: The lexicon tells of a text if it holds one in FEW of its terms at least.
+FEW = 4
+#: Terms outside the lexicon whose subsets a task remembers, and terms of a text that are looked at together (products of
+#: so few stay in one thread).
+REMEMBERED = 1 << 14
+TOGETHER = 1 << 10
 SEED = 7
 LEXICON_BYTES = 64 << 20
 NOTHING = "-"
@@ -84,8 +95,12 @@ def lexicon(docs: DataFrame) -> list[bytes]:
     return sorted(r.term for r in band.collect())
 
 
-def _mixed(x: np.ndarray, seed: int) -> np.ndarray:
-    x = (x ^ np.uint64(_hash(str(seed).encode()))) * np.uint64(0xBF58476D1CE4E5B9)
+def _seed(j: int) -> np.uint64:
+    return np.uint64(_hash(str(j).encode()))
+
+
+def _mixed(x: np.ndarray, seed: np.uint64 | np.ndarray) -> np.ndarray:
+    x = (x ^ seed) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(32))
 
@@ -95,34 +110,75 @@ class Fingerprinter:
 
     def __init__(self, words: list[bytes], levels: tuple[int, ...] = LEVELS):
         self.number = {w: i for i, w in enumerate(words)}
-        self.hashes = np.array([_hash(w) for w in words], np.uint64)
-        self.keeps = np.stack([_mixed(self.hashes, j) & np.uint64((1 << level) - 1) == 0
-                               for j, level in enumerate(levels)], axis=1)
+        self.others: dict[bytes, int] = {}  # rows of terms outside the lexicon, after the lexicon's
+        self.hashes = np.zeros(len(words) + REMEMBERED, np.uint64)
+        self.keeps = np.zeros((len(self.hashes), len(levels)), bool)
+        self.seeds = np.array([_seed(j) for j in range(len(levels))], np.uint64)
+        self.masks = np.array([(1 << level) - 1 for level in levels], np.uint64)
+        for at in range(0, len(words), TOGETHER):
+            self._put(at, words[at:at + TOGETHER])
+
+    def _put(self, at: int, words: list[bytes]) -> None:
+        hashes = np.array([_hash(w) for w in words], np.uint64)
+        self.hashes[at:at + len(words)] = hashes
+        self.keeps[at:at + len(words)] = _mixed(hashes[:, None], self.seeds) & self.masks == 0
+
+    def _rows(self, some: list[bytes]) -> np.ndarray:
+        """Rows of terms, TOGETHER at most; those of neither the lexicon nor memory are put there."""
+        number, others = self.number, self.others
+        new = [t for t in some if t not in number and t not in others]
+        if len(others) + len(new) > REMEMBERED:
+            others.clear()
+            new = [t for t in some if t not in number]
+        if new:
+            at = len(number) + len(others)
+            self._put(at, new)
+            others.update(zip(new, range(at, at + len(new))))
+        return np.array([number[t] if t in number else others[t] for t in some], np.int64)
 
     def __call__(self, text: str) -> list[str]:
-        """Hashes of the subsets, NOTHING where one keeps no term; one hash of all terms where all do."""
+        """Hashes of the lexicon's subsets, of the same subsets over all terms, and one hash of all terms.
+
+        NOTHING where a subset keeps no term, and for all of the lexicon's where that holds too few of the terms.
+        """
         of = terms(text)
         number = self.number
         kept = np.array(sorted(number[t] for t in of if t in number), np.int64)  # in the terms' order
         hashes, keeps = self.hashes[kept], self.keeps[kept]
         out = [NOTHING] * keeps.shape[1]
-        for j in np.flatnonzero(keeps.any(axis=0)):
-            out[j] = f"{_hash(hashes[keeps[:, j]].tobytes()) & 0xFFFFFFFF:08x}"
-        if not keeps.any():
-            return [f"{_hash(b' '.join(sorted(of)), SEED - 1):016x}"]
-        return out
+        if len(kept) * FEW >= len(of):
+            for j in np.flatnonzero(keeps.any(axis=0)):
+                out[j] = f"{_hash(hashes[keeps[:, j]].tobytes()) & 0xFFFFFFFF:08x}"
+        return out + self._whole(list(of))
+
+    def _whole(self, of: list[bytes]) -> list[str]:
+        """Hashes of what the subsets keep of all terms, and of all: sums of the terms' hashes, so without an order."""
+        sums, every = np.zeros((2, self.keeps.shape[1])), np.uint64(0)
+        for at in range(0, len(of), TOGETHER):
+            rows = self._rows(of[at:at + TOGETHER])
+            hashes = self.hashes[rows]
+            # lower halves: their sums stay below 2 ** 53, so they are exact
+            sums += np.stack([hashes & np.uint64(0xFFFFFFFF), np.ones(len(rows), np.uint64)]).astype(float) @ self.keeps[rows]
+            sums[0] %= 1 << 32
+            every = np.add(every, hashes.sum(dtype=np.uint64), dtype=np.uint64)
+        told = sums[0].astype(">u4").tobytes().hex()
+        return [told[8 * j:8 * j + 8] if n else NOTHING for j, n in enumerate(sums[1].tolist())] + [f"{int(every):016x}"]
 
 
 def likeness(a: list[str], b: list[str]) -> float:
-    """Share of equal hashes among the thinnest TOLD (or more, to the end of a level) subsets that tell something."""
-    if len(a) != len(b):
-        return 0.0
-    told = [(level, x == y) for level, x, y in zip(LEVELS, a, b) if x != NOTHING or y != NOTHING] \
-        if len(a) == len(LEVELS) else [(0, x == y) for x, y in zip(a, b)]
+    """Share of equal hashes among the thinnest TOLD (or more, to the end of a level) subsets that tell something.
+
+    The lexicon's subsets, or those over all terms where the lexicon tells nothing of one of the texts.
+    """
+    n = len(a) // 2
+    own = slice(0, n)
+    if a[own].count(NOTHING) == n or b[own].count(NOTHING) == n:
+        own = slice(n, 2 * n)
+    told = [(level, x == y) for level, x, y in zip(LEVELS, a[own], b[own]) if x != NOTHING or y != NOTHING]
     told.sort(key=lambda t: -t[0])
     if len(told) > TOLD:
         told = [t for t in told if t[0] >= told[TOLD - 1][0]]
-    return sum(same for _, same in told) / len(told) if told else 1.0
+    return sum(same for _, same in told) / len(told) if told else float(a[-1] == b[-1])
 
 
 _OUT = [("id", None), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),

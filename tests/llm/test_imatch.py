@@ -70,3 +70,29 @@ def test_lexicon_is_bounded(spark, docs, monkeypatch):
     monkeypatch.setattr(im, "LEXICON_BYTES", 10)
     with pytest.raises(ValueError):
         im.lexicon(docs([(i, f"a{i % 8} b{i % 9}") for i in range(50)]))
+
+
+def test_a_third_of_copies_and_near_copies_stay_comparable(spark, docs):
+    """Their terms are above the band, while what the edit brings in has terms of the lexicon."""
+    base = [f"hot{i}" for i in range(90)]
+    rows = [(2 * i, " ".join(base)) for i in range(60)]  # copies
+    rows += [(1000 + 2 * i, " ".join([f"own{i % 30}", *base[1:]])) for i in range(60)]  # differ by a word of the lexicon
+    rows += [(2 * i + 1, " ".join(f"t{(i * 7 + k) % 60}x{k}" for k in range(90))) for i in range(240)]
+    words = im.lexicon(docs(rows))
+    assert not set(words) & {b.encode() for b in base} and b"own3" in words
+    got = {r.doc_id: r for r in im.digest(im.compare(docs(rows))).collect()}
+    hot, usual = ([r.near_edited for i, r in got.items() if i % 2 == odd] for odd in (0, 1))
+    assert min(hot) > 0 and statistics.mean(hot) > 0.8 * statistics.mean(usual), (hot, usual)
+    f = im.Fingerprinter(words)
+    prints = [f(dict(rows)[i]) for i in (0, 1000, 1002)] + [f(" ".join([*base, "unseen"]))]
+    assert all(im.likeness(a, b) > 0.7 for a in prints for b in prints)
+    assert len({len(p) for p in prints}) == 1
+    assert im.likeness(prints[0], f(dict(rows)[1])) == 0
+
+
+def test_long_texts_in_parts(monkeypatch):
+    f, text = im.Fingerprinter([b"w1"]), " ".join(f"w{i}" for i in range(1000))
+    whole = f(text)
+    monkeypatch.setattr(im, "TOGETHER", 7)
+    monkeypatch.setattr(im, "REMEMBERED", 20)
+    assert im.Fingerprinter([b"w1"])(text) == whole and im.likeness(f("w3 w3"), f("w4")) == 0 and im.likeness(f(""), f(" ")) == 1
