@@ -48,9 +48,16 @@ BASE = (
     Rule("access", 1, r"AKIA[A-Z0-9]{16,}"),  # a run of 20 or more, prefix included
     Rule("hex", 1, r"[0-9a-f]{24,}"),  # runs are maximal, so shorter ones need not be matched first
 )
+#: What stands between the lines of a key: white space, marks of quoted or commented lines, escaped line ends.
+_BETWEEN = r"""(?:[\s>#|"']|\\[nr])"""
+#: A key's body without its END line: headers, lines of base64, a short last one, a checksum.
+_BODY = (rf"(?:(?:{_BETWEEN}++[A-Za-z][A-Za-z-]{{0,32}}:\x20[^\r\n\\]*+)*+(?:{_BETWEEN}++[A-Za-z0-9+/=]{{16,}}+)++"
+         rf"(?:{_BETWEEN}++[A-Za-z0-9+/]++={{0,2}}+(?=[\r\n\\\"']|\Z))?+(?:{_BETWEEN}++=[A-Za-z0-9+/]{{4}}(?![A-Za-z0-9+/]))?+)?+")
 #: What the ledger adds to the base rules.
 MORE = (
-    Rule("pem", 1, r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----"),
+    # through the matching END line, if that comes before another BEGIN or END line, else to the end of the body
+    Rule("pem", 2, r"-----BEGIN ([A-Z0-9 ]{0,32}PRIVATE KEY(?: BLOCK)?)-----"
+         rf"(?:[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END \1-----|{_BODY})"),
     Rule("github", 1, r"gh[opsur]_[A-Za-z0-9]{36,}"),
     Rule("slack", 1, r"xox[abeoprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),

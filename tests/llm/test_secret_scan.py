@@ -86,3 +86,37 @@ def test_redact(spark, docs):
     assert got[8].text == dict(EDGES[:5] + EDGES[7:])[8] and got[1].text is None
     again = result(spark, out)
     assert all(r.spans == "" for r in again)
+
+
+LINES = ["MIIEowIBAAKCAQEA" + f"{i:02}" + "q+/Z" * 11 + "Ab" for i in range(5)] + ["Zm9vYmFyZg=="]
+
+
+def key(kind, lines=LINES, end=True, eol="\n", head=""):
+    return eol.join([f"-----BEGIN {kind}-----", *([head, ""] if head else []), *lines,
+                     *([f"-----END {kind}-----"] if end else [])])
+
+
+def test_redact_takes_a_key_with_its_body(spark, docs):
+    kinds = ["PRIVATE KEY", "RSA PRIVATE KEY", "OPENSSH PRIVATE KEY", "PGP PRIVATE KEY BLOCK", "ENCRYPTED PRIVATE KEY"]
+    rows, want = [], {}
+    for kind in kinds:
+        for end in (True, False):
+            for eol in ("\n", "\r\n", "\\n", "\n> "):
+                for head in ("", "Proc-Type: 4,ENCRYPTED"):
+                    body = LINES + ["=aB3d"] if "PGP" in kind else LINES
+                    rows.append((len(rows), f"before it {key(kind, body, end, eol, head)}{eol[:2]}, after it - all."))
+                    want[len(rows) - 1] = f"before it [REDACTED]{eol[:2]}, after it - all."
+    cut = len(rows)  # the body of a key that is cut short, a second key after it, and words after a lone BEGIN line
+    rows += [(cut, f"a {key('PRIVATE KEY', LINES[:2] + ['MIIE'], False)}"),
+             (cut + 1, f"a {key('PRIVATE KEY', end=False)}\nsome words\n{key('RSA PRIVATE KEY')} z"),
+             (cut + 2, "a -----BEGIN PRIVATE KEY-----\nis how a key begins. It goes on - for long."),
+             (cut + 3, f"a {key('RSA PRIVATE KEY', [LINES[0], '-- x --', LINES[1]])} z")]
+    want |= {cut: "a [REDACTED]", cut + 1: "a [REDACTED]\nsome words\n[REDACTED] z",
+             cut + 2: "a [REDACTED]\nis how a key begins. It goes on - for long.", cut + 3: "a [REDACTED] z"}
+    got = {r.doc_id: r.text for r in ss.redact(docs(rows), work_dir(spark, "ledger")).collect()}
+    assert got == want
+
+
+def test_many_lone_begin_lines_are_read_once():
+    text = "-----BEGIN PRIVATE KEY-----\n- " * 50_000
+    assert sum(1 for _ in ss.MORE[0].spans().finditer(text)) == 50_000
