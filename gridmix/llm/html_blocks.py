@@ -26,8 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Elements whose content is no text of the page.
-RAW = "head iframe noscript object script select style svg template textarea title".split()
+#: Elements whose content is no text of the page and, by the rules of HTML, no markup either: without its
+#: end tag, one goes on to the page's end.
+RAW = "iframe script style textarea title".split()
+#: Elements with markup inside that is no text of the page.  One ends at its end tag; without one, its start tag is passed over,
+#: and what follows is the page's.
+PASSED = "noscript object select svg template".split()
 #: Elements that break the line.
 BREAKS = ("address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption "
           "figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary "
@@ -64,6 +68,36 @@ def _ending(name: str) -> "re.Pattern":
     return re.compile(rf"</{name}\s*(?:>|\Z)", re.I)
 
 
+class _Endings:
+    """Where elements of PASSED end in a page: inner ones of the same name, raw contents and comments are passed over."""
+
+    def __init__(self, html: str):
+        self.html, self.ends = html, None
+
+    def __call__(self, start: int) -> int | None:
+        """End of the element whose start tag begins there, None if it has no end tag."""
+        if self.ends is None:
+            self.ends = self._all()
+        return self.ends.get(start)
+
+    def _all(self) -> dict[int, int]:
+        """One reading for all elements of the page."""
+        ends, opened, at = {}, {name: [] for name in PASSED}, 0
+        while m := _TOKEN.search(self.html, at):
+            at, name = max(m.end(), m.start() + 1), (m["name"] or "").lower()
+            if name in RAW and not m["close"] and not m["attrs"].endswith("/"):
+                end = _ending(name).search(self.html, at)
+                at = end.end() if end else len(self.html)
+            elif name in opened and m["close"]:
+                if opened[name]:
+                    ends[opened[name].pop()] = m.end()
+            elif name in opened and not m["attrs"].endswith("/"):
+                if name == "select":
+                    opened[name].clear()  # a select in a select ends the first one
+                opened[name].append(m.start())
+        return ends
+
+
 @dataclass
 class Block:
     text: str
@@ -130,7 +164,7 @@ class _Open:
 
 def blocks(html: str) -> list[Block]:
     """The text blocks of a page, in order."""
-    page, at = _Open(), 0
+    page, at, ending = _Open(), 0, _Endings(html)
     while True:
         m = _TOKEN.search(html, at)
         if (m.start() if m else len(html)) > at:
@@ -143,6 +177,12 @@ def blocks(html: str) -> list[Block]:
             continue
         if name == "br":
             page.parts.append((" ", False))
+        elif name == "head":  # it holds no text but that of raw elements
+            page.parts.append((" ", False))
+        elif name in PASSED:
+            if not m["close"] and not m["attrs"].endswith("/"):
+                at = ending(m.start()) or at
+            page.parts.append((" ", False))
         elif name in RAW:
             if not m["close"] and not m["attrs"].endswith("/"):
                 end = _ending(name).search(html, at)

@@ -87,3 +87,22 @@ def test_query_against_the_pages_articles(spark):
         parts = [" ".join(html.unescape(p).split()) for p in re.split("<[^>]*>", inner)]
         assert r.text == "\n".join(p for p in parts if p) and r.n_chars == len(r.text)
         assert r.url == pages[r.page_id].url
+
+
+@pytest.mark.parametrize("markup, want", [
+    ("<html><head><title>t</title><body><article><p>yes</p></article>", "yes"),
+    ("<head><meta charset=x><style>p{}</style><article><p>yes</p></article>", "yes"),
+    ("<head><title>t</title><script>no</script></head><article><p>yes</p></article>", "yes"),
+    *((f"<article><p>a</p><{name}><p>b</p></article>", "a\nb") for name in hb.PASSED),
+    *((f"<article><p>a</p><{name}>no<b>no</b></{name}><p>b</p></article>", "a\nb") for name in hb.PASSED),
+    *((f"<article><p>a</p><{name}>no<p>no</p></article>", "a") for name in hb.RAW),
+    ("<article><object>no<object>no</object>no</object><p>yes</p></article>", "yes"),
+    ("<article><noscript><p>a</p><noscript>no</noscript><p>b</p></article>", "a\nb"),
+    ("<article><svg><title></svg></title>no</svg><p>yes</p><!-- </svg> --></article>", "yes"),
+])
+def test_elements_without_their_end(markup, want):
+    assert text(markup) == want
+
+
+def test_many_elements_without_their_end():
+    assert text("<article>" + "<svg><p>p</p>" * 20_000) == "\n".join("p" * 20_000)
