@@ -2,7 +2,8 @@
 
 A page is cut into text blocks at the tags that break lines.  A block is described by its words, the share of them inside
 links, the same of its two neighbours, and whether it lies inside an article or inside a part that is named as
-something else (menu, footer, advert, comments ...).  A decision tree says which blocks are main text.  It is trained
+something else (menu, footer, advert, comments ...).  Inside an article only whole class names and roles name such a part: ids and
+headings there speak of its matter.  A form that holds an article, or all of the page, is not such a part.  A decision tree says which blocks are main text.  It is trained
 on the small labelled table below, every time, in a few milliseconds.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined by a line feed
@@ -40,14 +41,21 @@ VOID = "area base br col embed hr img input link meta param source track wbr".sp
 #: Elements that end an open paragraph, and what a paragraph's end doesn't reach across.
 SCOPES = "article aside body blockquote dd div fieldset figure footer form header html li main nav section table td th".split()
 ARTICLE = "article main".split()
-OTHER = "aside button dialog footer form menu nav".split()
+OTHER = "aside button dialog footer menu nav".split()
+#: What a form that holds the page has inside, if outside an article.
+IN_PAGE_FORM = "article main nav".split()
+HEADINGS = "h1 h2 h3 h4 h5 h6".split()
 #: Words of class, id and role that name a part as something other than the main text.
 HINTS = ("ad ads advert advertisement adverts alert banner breadcrumb breadcrumbs comment comments complementary consent "
          "contentinfo cookie cookies copyright dialog disqus footer gdpr login menu modal nav navbar navigation newsletter "
          "notice notices popup promo related replies reply respond search share sharing sidebar signup social sponsor "
          "sponsored subscribe toolbar widget").split()
+#: Words that add nothing to such a word in the same class name ("comments-area").
+PLAIN = ("area article articles bar block box button buttons container content entry form inner link links list page post posts "
+         "section site story wrapper").split()
 #: Such words where they stand outside an article (an article has headings of its own).
 PAGE_HINTS = "header masthead topbar".split()
+HINTS_AND_PLAIN = frozenset(HINTS + PLAIN)
 #: Words that make a name speak of the layout, not of the part ("has-sidebar", "ad-free").
 LAYOUT = "disabled enabled free has layout no not theme with without".split()
 #: Words that name an article, and those that make such a name another part.
@@ -58,11 +66,26 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?>[^<>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z|(?=<))"
     r"|</[^>]*(?:>|\Z)", re.S)
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _PARTS = re.compile(r"[a-z]+")
 
 
+def _attributes(attrs: str) -> dict[str, str]:
+    """The attributes of a start tag by their names in lower case; of those that repeat, the first."""
+    out: dict[str, str] = {}
+    for m in _ATTR.finditer(attrs):
+        out.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return out
+
+
+def _hidden(of: dict[str, str]) -> bool:
+    names = of.get("class", "").lower().split()
+    return ("hidden" in of or of.get("aria-hidden", "").strip().lower() == "true"
+            or bool(_NO_DISPLAY.search(of.get("style", "")))
+            or "hidden" in names and not any(":" in n for n in names))  # "hidden md:block" is hidden on some screens
+
+
 @lru_cache(maxsize=len(RAW))
 def _ending(name: str) -> "re.Pattern":
     return re.compile(rf"</{name}\s*(?:>|\Z)", re.I)
@@ -106,6 +129,7 @@ class Block:
     article: bool
     other: bool
     heading: bool
+    forms: tuple[int, ...] = ()
 
     @property
     def density(self) -> float:
@@ -119,27 +143,43 @@ class _Open:
     names: list[str] = field(default_factory=list)
     article: list[bool] = field(default_factory=list)
     other: list[bool] = field(default_factory=list)
+    forms: list[tuple[int, ...]] = field(default_factory=list)
+    n_forms: int = 0
+    page_forms: set[int] = field(default_factory=set)
     parts: list[tuple[str, bool]] = field(default_factory=list)
     done: list[Block] = field(default_factory=list)
 
     def push(self, name: str, attrs: str) -> None:
         inside, astray = bool(self.article and self.article[-1]), bool(self.other and self.other[-1])
+        forms = self.forms[-1] if self.forms else ()
         body = elsewhere = False
-        if attrs and name not in ("html", "body", "main"):
-            for m in _NAMED.finditer(attrs):
-                for one in (m[1] or m[2] or m[3] or "").lower().split():
-                    words = set(_PARTS.findall(one))
-                    if words.isdisjoint(LAYOUT):
-                        elsewhere |= not words.isdisjoint(HINTS) or not inside and not words.isdisjoint(PAGE_HINTS)
-                        body |= not words.isdisjoint(BODY_HINTS) and words.isdisjoint(NOT_BODY)
+        of = _attributes(attrs) if attrs else {}
+        if of and name not in ("html", "body", "main"):
+            named = [(a, one, set(_PARTS.findall(one))) for a in ("class", "id", "role") for one in of.get(a, "").lower().split()]
+            named = [(a, one, words) for a, one, words in named if words.isdisjoint(LAYOUT)]
+            body = any(not words.isdisjoint(BODY_HINTS) and words.isdisjoint(NOT_BODY) and words.isdisjoint(HINTS)
+                       for _, _, words in named)
+            for a, one, words in named:
+                if a == "id" and name in HEADINGS:
+                    continue
+                if not (inside or body or name in ARTICLE):
+                    elsewhere |= not words.isdisjoint(HINTS) or not words.isdisjoint(PAGE_HINTS)
+                elif a != "id" and not (inside and name in HEADINGS):
+                    elsewhere |= not words.isdisjoint(HINTS) and words.issubset(HINTS_AND_PLAIN)
+        if name == "form":
+            self.n_forms += 1
+            forms += (self.n_forms,)
+        elif forms and not inside and (name in IN_PAGE_FORM or body and not elsewhere):
+            self.page_forms.update(forms)
         # a header belongs to the page unless it is an article's
-        says = (name in OTHER or name == "header" and not inside or elsewhere or bool(attrs and _HIDDEN.search(attrs)))
+        says = name in OTHER or name == "header" and not inside or elsewhere or bool(of) and _hidden(of)
         self.names.append(name)
         self.article.append(inside or name in ARTICLE or body)
         self.other.append(astray or says)
+        self.forms.append(forms)
 
     def close(self, at: int) -> None:
-        del self.names[at:], self.article[at:], self.other[at:]
+        del self.names[at:], self.article[at:], self.other[at:], self.forms[at:]
 
     def last(self, name: str, within: tuple | list = ()) -> int:
         """Position of the innermost open element of that name, -1 if there is none inside these scopes."""
@@ -159,7 +199,16 @@ class _Open:
         if text:
             self.done.append(Block(text, text.count(" ") + 1, sum(len(t.split()) for t, linked in parts if linked),
                                    bool(self.article and self.article[-1]), bool(self.other and self.other[-1]),
-                                   any(n in ("h1", "h2", "h3", "h4", "h5", "h6") for n in self.names[-3:])))
+                                   any(n in HEADINGS for n in self.names[-3:]), self.forms[-1] if self.forms else ()))
+
+    def end(self) -> list[Block]:
+        """The blocks; those in a form that doesn't hold the page belong to something else."""
+        self.flush()
+        if self.n_forms and self.done:
+            self.page_forms.update(set(self.done[0].forms).intersection(*[b.forms for b in self.done]))
+            for b in self.done:
+                b.other |= not self.page_forms.issuperset(b.forms)
+        return self.done
 
 
 def blocks(html: str) -> list[Block]:
@@ -203,8 +252,7 @@ def blocks(html: str) -> list[Block]:
                     page.close(n)
             if name not in VOID and not m["attrs"].endswith("/"):
                 page.push(name, m["attrs"])
-    page.flush()
-    return page.done
+    return page.end()
 
 
 FEATURES = ("words", "density", "words_before", "density_before", "words_after", "density_after", "article", "other",

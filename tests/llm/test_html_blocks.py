@@ -106,3 +106,27 @@ def test_elements_without_their_end(markup, want):
 
 def test_many_elements_without_their_end():
     assert text("<article>" + "<svg><p>p</p>" * 20_000) == "\n".join("p" * 20_000)
+
+
+LONG = "A paragraph tells of the matter at some length, in whole sentences, and goes on for a while."
+
+
+@pytest.mark.parametrize("markup, want", [
+    ("<article><h2 id='related-work'>a</h2><section id='search'><p>b</p></section><h2 class='share'>c</h2></article>", "a\nb\nc"),
+    ("<article class='post category-social' id='post-related-9'><p>yes</p></article>", "yes"),
+    ("<div class='post category-social'><p>yes</p></div>", "yes"),
+    ("<article><section class='work-related'><p>yes</p></section></article>", "yes"),
+    ("<article><p>yes</p><div class='x comments'>no</div><div class='comments-area'>no</div><div role='search'>no</div>"
+     "<div class='post-comments'>no</div></article><div class='entry-comments'><p>no</p></div>", "yes"),
+    ("<article class='comment'><p>no</p></article><div id='related-posts'><p>no</p></div>", ""),
+    ("<article data-title='The hidden cost of it'><p title='display: none'>yes</p></article>", "yes"),
+    ("<article data-x=\"a aria-hidden='true' b\"><p class='flex hidden md:block'>yes</p></article>", "yes"),
+    ("<article><p class='hidden'>no</p><p HIDDEN>no</p><p hidden=''>no</p><p aria-hidden=true>no</p>"
+     "<p style='color:red;DISPLAY :none'>no</p><p aria-hidden='false'>yes</p></article>", "yes"),
+    ("<body><form id=aspnetForm><div>Log in</div><nav>no</nav><main><p>yes</p><form><p>no</p></form></main></form></body>", "yes"),
+    ("<form><article><p>yes</p></article><aside>no</aside></form>", "yes"),
+    (f"<body><form action='./'><p>{LONG}</p><p>{LONG}</p></form></body>", f"{LONG}\n{LONG}"),
+    (f"<article><p>yes</p><form><p>{LONG}</p></form></article><form><p>{LONG}</p></form>", "yes"),
+])
+def test_marks_of_other_parts(markup, want):
+    assert text(markup) == want
