@@ -65,6 +65,8 @@ MORE = (
 RULES = BASE + MORE
 KINDS = tuple(r.kind for r in RULES)
 
+#: Increments that the versions of a table are scanned in.
+INCREMENTS = 2
 FINDINGS = "array<struct<rule:string,kind:string,start:int,end:int>>"
 LEDGER = f"blob string, scanned array<string>, findings {FINDINGS}"
 _ARROW_FINDINGS = pa.list_(pa.struct([("rule", pa.string()), ("kind", pa.string()), ("start", pa.int32()),
@@ -115,7 +117,8 @@ def unseen(paths: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> Da
     seen = (read_ledger(paths.sparkSession, ledger).select("blob", F.explode("scanned").alias("rule"))
             .groupBy("blob").agg(F.collect_set("rule").alias("seen")))  # one entry per rule version
     todo = F.array_except(every, F.coalesce("seen", F.array().cast("array<string>")))
-    return blobs.join(seen, "blob", "left").select("blob", "text", todo.alias("todo")).filter(F.size("todo") > 0)
+    # the ledger grows with the documents: never broadcast; its part of a partition is a small table beside the texts
+    return blobs.join(seen.hint("shuffle_hash"), "blob", "left").select("blob", "text", todo.alias("todo")).filter(F.size("todo") > 0)
 
 
 def scan_increment(paths: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> None:
@@ -123,6 +126,13 @@ def scan_increment(paths: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULE
     unseen(paths, ledger, rules).mapInArrow(_scan(rules), LEDGER).write.mode("append").parquet(ledger)
 
 
+def scan_increments(paths: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, n: int = INCREMENTS) -> None:
+    """The versions in n increments by their paths, so that each but the first meets what earlier ones have seen."""
+    part = F.pmod(F.xxhash64("path"), F.lit(n))
+    for i in range(n):
+        scan_increment(paths.filter(part == i), ledger, rules)
+
+
 def findings(spark, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(blob, found): blobs with spans of these rule versions, by start, then by the rules' order."""
     order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.id), F.lit(i))])
@@ -136,9 +146,9 @@ def findings(spark, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def scan(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, path: str = "doc_id",
          text: str = "text") -> DataFrame:
-    """(path, blob, found): run an increment, then give every path the findings of its blob (null if none)."""
+    """(path, blob, found): run the increments, then give every path the findings of its blob (null if none)."""
     paths = versions(docs, path, text)
-    scan_increment(paths, ledger, rules)
+    scan_increments(paths, ledger, rules)
     found = common.materialize(findings(docs.sparkSession, ledger, rules), "findings")
     return paths.select("path", "blob").join(found, "blob", "left")
 
@@ -180,7 +190,7 @@ def redact(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> Dat
 
     ``n_chars`` is set anew where the text changed.
     """
-    scan_increment(versions(docs), ledger, rules)
+    scan_increments(versions(docs), ledger, rules)
     found = common.materialize(findings(docs.sparkSession, ledger, rules), "findings")
     blob = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
     found = found.select(F.col("blob").alias("llm_blob_"), F.col("found").alias("llm_found_"))

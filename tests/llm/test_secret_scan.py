@@ -120,3 +120,23 @@ def test_redact_takes_a_key_with_its_body(spark, docs):
 def test_many_lone_begin_lines_are_read_once():
     text = "-----BEGIN PRIVATE KEY-----\n- " * 50_000
     assert sum(1 for _ in ss.MORE[0].spans().finditer(text)) == 50_000
+
+
+def test_a_scan_meets_what_its_ledger_has_seen(spark, docs, monkeypatch):
+    """A text in every increment is scanned by the first one only."""
+    scanned = []
+    scan_increment = ss.scan_increment
+
+    def counting(paths, ledger, rules):
+        scanned.append((paths.select("blob").distinct().count(), ss.unseen(paths, ledger, rules).count()))
+        scan_increment(paths, ledger, rules)
+
+    monkeypatch.setattr(ss, "scan_increment", counting)
+    rows = [(i, f"token=abcdef{i % 5}") for i in range(200)] + [(None, None)]
+    frame = docs(rows)
+    for run in (lambda ledger: ss.scan(frame, ledger), lambda ledger: ss.redact(frame, ledger)):
+        scanned.clear()
+        ledger = work_dir(spark, "ledger")
+        assert run(ledger).count() == len(rows)
+        assert len(scanned) == ss.INCREMENTS and all(n >= 5 for n, _ in scanned)
+        assert sum(new for _, new in scanned) == 6 == ss.read_ledger(spark, ledger).count()
