@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridmix.llm import (common, html_blocks, imatch, lm_score, mixing, piece_sampling, quality, secret_scan,
-                         simhash_dedup, topk_search, warc)
+                         simhash_dedup, topk_search, url_filter, warc)
 from gridmix.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: SQL twins.  Hashes (2, 3), span positions (1) and the trained or parsed results have none.
-ORACLE: dict[str, str] = {"op4_topk_search": topk_search.ORACLE, "op5_warc": warc.ORACLE}
+ORACLE: dict[str, str] = {"op4_topk_search": topk_search.ORACLE, "op5_warc": warc.ORACLE,
+                          "op12_url_filter": url_filter.ORACLE}
 
 
 def query(name: str):
@@ -87,3 +88,9 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     """Quality score of every document."""
     return quality.digest(quality.score(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")))
+
+
+@query("op12_url_filter")
+def op12(spark, sf_dir):
+    """Verdict on every page's URL."""
+    return url_filter.digest(common.table(spark, sf_dir, "pages"), url_filter.query_rules(spark))
