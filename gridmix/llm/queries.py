@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridmix.llm import (common, html_blocks, imatch, lm_score, mixing, piece_sampling, quality, secret_scan,
-                         simhash_dedup, topk_search, url_filter, warc)
+                         simhash_dedup, token_alignment, topk_search, url_filter, warc)
 from gridmix.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +90,12 @@ def op10(spark, sf_dir):
     return quality.digest(quality.score(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")))
 
 
+@query("op11_token_alignment")
+def op11(spark, sf_dir):
+    """Tokens of two tokenizers aligned in every document, with corpus-wide counts of linked ids."""
+    return token_alignment.digest(token_alignment.align(common.table(spark, sf_dir, "documents")))
+
+
 @query("op12_url_filter")
 def op12(spark, sf_dir):
     """Verdict on every page's URL."""
