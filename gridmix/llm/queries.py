@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmix.llm import (common, html_blocks, imatch, lm_score, mixing, piece_sampling, quality, secret_scan,
-                         simhash_dedup, token_alignment, topk_search, url_filter, warc)
+from gridmix.llm import (common, html_blocks, imatch, lm_score, mixing, phrase_mining, piece_sampling, quality,
+                         secret_scan, simhash_dedup, token_alignment, topk_search, url_filter, warc)
 from gridmix.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: SQL twins.  Hashes (2, 3), span positions (1) and the trained or parsed results have none.
 ORACLE: dict[str, str] = {"op4_topk_search": topk_search.ORACLE, "op5_warc": warc.ORACLE,
-                          "op12_url_filter": url_filter.ORACLE}
+                          "op12_url_filter": url_filter.ORACLE, "op13_phrase_mining": phrase_mining.ORACLE}
 
 
 def query(name: str):
@@ -100,3 +100,9 @@ def op11(spark, sf_dir):
 def op12(spark, sf_dir):
     """Verdict on every page's URL."""
     return url_filter.digest(common.table(spark, sf_dir, "pages"), url_filter.query_rules(spark))
+
+
+@query("op13_phrase_mining")
+def op13(spark, sf_dir):
+    """The best phrases of every language."""
+    return phrase_mining.digest(common.table(spark, sf_dir, "documents"))
