@@ -8,6 +8,10 @@ links.  ``multiply`` forms rows of a product after Gustavson, from the rows of t
 names.  It works on runs of rows of bounded work; where only the number of links is asked for, the first half (the
 rows' sizes) is enough, so pairs within a long group aren't written out.
 
+Neither tokenizer has a token that holds a space behind another character, nor one that depends on what was before such a
+place.  So a text is the chunks between these places, a chunk is encoded and aligned once for all its occurrences that a task
+sees, and a document's links are a product too: of the document-chunk matrix and the chunk-pair matrix.
+
 How many documents hold a pair of ids linked is counted over the corpus.  Documents are packed into blocks by bytes; a block
 keeps a CSR matrix of its documents over its distinct pairs.  A pair leaves a block once, with the number of the block's
 documents, and its corpus-wide count comes back to the block once; the matrix times these counts gives the
@@ -23,6 +27,7 @@ repeat are rows like any other; an empty table gives an empty result; further co
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -42,6 +47,11 @@ MARK = "▁"
 BLOCK_BYTES, TOGETHER_BYTES = 8 << 20, 1 << 20
 #: Entries of a product that are formed together.
 WORK = 1 << 21
+#: Characters of chunks that a task remembers.
+REMEMBERED = 8 << 20
+#: Between chunks: behind anything but white space, before a space.
+_CHUNK = re.compile(r"(?<=\S)(?= )")
+_BLANK_AND_SPACE = re.compile(r"\s ")
 
 
 # --- sparse matrices ----------------------------------------------------------------------------
@@ -147,8 +157,11 @@ class Aligner:
         for token, n in vocabulary.items():
             self.a_bytes[n] = bytes(alphabet[c] for c in token)
         self.b_bytes = []
+        self.space = self.b.piece_to_id(MARK)
         for n in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(n)
+            if MARK in piece.lstrip(MARK):
+                raise ValueError(f"piece {n} has a space behind another character")
             self.b_bytes.append(bytes([int(piece[1:-1], 16)]) if self.b.is_byte(n) else piece.replace(MARK, " ").encode())
         self.sizes = [np.array([len(x) for x in table], np.int64) for table in (self.a_bytes, self.b_bytes)]
         # decimal ids with what follows: a comma, or the mark that ends a group's side
@@ -156,17 +169,16 @@ class Aligner:
                         for n in range(len(table)) for mark in (b",", end)]
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both sides; none where the bytes of either differ from a space and the text."""
-        full = [i for i, t in enumerate(texts) if t]
-        a, b = [[] for _ in texts], [[] for _ in texts]
-        spaced = [" " + texts[i] for i in full]
-        ours = self.a.encode_batch_fast(spaced, add_special_tokens=False)
-        theirs = self.b.encode([texts[i] for i in full], num_threads=1)
-        for i, s, x, y in zip(full, spaced, ours, theirs):
-            data, x = s.encode(), x.ids
-            if b"".join([self.a_bytes[n] for n in x]) == data and b"".join([self.b_bytes[n] for n in y]) == data:
-                a[i], b[i] = x, y
-        return a, b
+        """Ids of both sides of a space and each text; none where the bytes of either differ from these."""
+        spaced = [" " + t for t in texts]
+        ours = [x.ids for x in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        theirs = self.b.encode(texts, num_threads=1)
+        for i, (s, x, y) in enumerate(zip(spaced, ours, theirs)):
+            data, y = s.encode(), y or [self.space]  # it has nothing to say of the space alone
+            theirs[i] = y
+            if b"".join([self.a_bytes[n] for n in x]) != data or b"".join([self.b_bytes[n] for n in y]) != data:
+                ours[i], theirs[i] = [], []
+        return ours, theirs
 
     def align(self, texts: list[str]) -> Aligned:
         sides, ends, ids, docs = self.encode(texts), [], [], []
@@ -183,8 +195,8 @@ class Aligner:
         group_doc = docs[0][np.searchsorted(ends[0], cuts)]
         return Aligned(tuple(ids), tuple(docs), over_bytes, over_groups, group_doc)
 
-    def spell(self, aligned: Aligned, n_docs: int) -> list[str]:
-        """SHA-256 of every document's groups, `a1,a2|b1;a3|b2,b3`; empty without tokens."""
+    def spell(self, aligned: Aligned, n_texts: int) -> list[bytes]:
+        """Every text's groups, `a1,a2|b1;a3|b2,b3`."""
         groups = [m.indices for m in aligned.over_groups]
         n_a, n_b = (np.bincount(g, minlength=len(aligned.group_doc)) for g in groups)
         before_a, before_b = np.cumsum(n_a), np.cumsum(n_b) - n_b  # of groups up to, and of groups before
@@ -194,14 +206,72 @@ class Aligner:
             last = np.concatenate([g[1:] != g[:-1], [True]]) if len(g) else np.zeros(0, bool)
             order[np.arange(len(g)) + other[g]] = 2 * ids + last + shift
             shift = 2 * len(self.a_bytes)
-        upto = np.cumsum(sum(np.bincount(d, minlength=n_docs) for d in aligned.doc)).tolist()
+        upto = np.cumsum(sum(np.bincount(d, minlength=n_texts) for d in aligned.doc)).tolist()
         words, out, at = [self.spelled[n] for n in order.tolist()], [], 0
         for end in upto:
-            out.append(hashlib.sha256(b"".join(words[at:end])[:-1]).hexdigest() if end > at else "")
+            out.append(b"".join(words[at:end])[:-1])
             at = end
         return out
 
 
+def chunks(text: str) -> list[str]:
+    """A space and the text, cut before spaces that follow anything but white space; the space that each begins with is left out."""
+    if not _BLANK_AND_SPACE.search(text) and text[:1] != " ":
+        return text.split(" ")
+    return [c[1:] for c in _CHUNK.split(" " + text)]
+
+
+class Chunks(dict):
+    """Chunks by text: their place among those seen, and what is known of each."""
+
+    def __init__(self, tool: Aligner):
+        self.tool, self.new, self.size = tool, [], 0
+        self.counts = np.zeros((0, len(_COUNTS)), np.int64)
+        self.whole = np.zeros(0, bool)
+        self.spelled: list[bytes] = []
+        self.pairs = Csr(np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), 0)
+
+    def __missing__(self, text: str) -> int:
+        n = self[text] = len(self)
+        self.new.append(text)
+        return n
+
+    def learn(self) -> None:
+        """Encode and align the chunks that came in since."""
+        done, at = [], 0
+        while at < len(self.new):
+            size, end = 0, at
+            while end < len(self.new) and (size < TOGETHER_BYTES or end == at):
+                size, end = size + len(self.new[end]), end + 1
+            done.append(self._learn(self.new[at:end]))
+            self.size, at = self.size + size, end
+        self.new = []
+        if done:
+            counts, whole, spelled, sizes, keys, times = zip(*done)
+            self.counts = np.concatenate([self.counts, *counts])
+            self.whole = np.concatenate([self.whole, *whole])
+            self.spelled += [s for some in spelled for s in some]
+            indptr = np.concatenate([self.pairs.indptr, self.pairs.indptr[-1] + np.cumsum(np.concatenate(sizes))])
+            self.pairs = Csr(indptr, np.concatenate([self.pairs.indices, *keys]), np.concatenate([self.pairs.values, *times]), 0)
+
+    def _learn(self, texts: list[str]):
+        got, n = self.tool.align(texts), len(texts)
+        parts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for x, y, _ in got.links():
+            parts[0].append(got.doc[0][x])
+            parts[1].append(got.ids[0][x] << 32 | got.ids[1][y])
+        doc, key = map(np.concatenate, parts)
+        order = np.lexsort((key, doc))
+        key, doc = key[order], doc[order]
+        first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])) if len(key) else doc
+        n_links = np.bincount(doc, minlength=n)
+        n_a, n_b = (np.bincount(d, minlength=n) for d in got.doc)
+        in_group = np.bincount(got.doc[0], weights=got.group_links(), minlength=n).astype(np.int64)
+        counts = np.stack([n_a, n_b, np.bincount(got.group_doc, minlength=n), n_links, in_group], axis=1)
+        return (counts, n_a > 0, self.tool.spell(got, n), np.bincount(doc[first], minlength=n), key[first],
+                np.diff(np.append(first, len(key))))
+
+
 @lru_cache(maxsize=2)
 def aligner(byte_bpe: str, pieces: bytes) -> Aligner:
     return Aligner(byte_bpe, pieces)
@@ -216,7 +286,7 @@ def _texts(docs: DataFrame, id: str) -> DataFrame:
     return docs.select(F.col(id).cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str], int]]:
+def _some(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str], int]]:
     """Ids and texts of about TOGETHER_BYTES, whatever the batches."""
     ids, texts, size = [], [], 0
     for batch in batches:
@@ -245,8 +315,9 @@ def links(docs: DataFrame, kind: str = "overlap", id: str = "doc_id", byte_bpe:
 
     def run(batches):
         tool = aligner(*files.value)
-        for ids, texts, _ in _chunks(batches):
-            got = tool.align(texts)
+        for ids, texts, _ in _some(batches):
+            ids, texts = zip(*((i, t) for i, t in zip(ids, texts) if t)) if any(texts) else ((), ())
+            got = tool.align(list(texts))
             starts = [np.searchsorted(d, np.arange(len(texts))) for d in got.doc]
             for x, y, shared in got.links(kind):
                 doc = got.doc[0][x]
@@ -270,50 +341,43 @@ _BLOCK_ARROW = pa.schema(
 
 
 class _Block:
-    """Documents up to BLOCK_BYTES, their numbers, and the pairs of ids that they link."""
+    """Documents up to BLOCK_BYTES, their numbers, and the chunks that they hold."""
 
-    def __init__(self):
-        self.ids, self.sha, self.size = [], [], 0
-        self.counts = {c: [] for c in _COUNTS}
-        self.doc, self.pair, self.times = [], [], []
+    def __init__(self, known: Chunks):
+        self.known, self.size = known, 0
+        self.ids, self.texts = [], []
 
-    def add(self, tool: Aligner, ids: list, texts: list[str], size: int) -> None:
-        got, n, base = tool.align(texts), len(texts), len(self.ids)
-        n_links = np.zeros(n, np.int64)
-        for x, y, _ in got.links():
-            doc = got.doc[0][x]
-            n_links += np.bincount(doc, minlength=n)
-            key = got.ids[0][x] << 32 | got.ids[1][y]
-            # links of one document and pair, counted
-            order = np.lexsort((key, doc))
-            key, doc = key[order], doc[order]
-            first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]))
-            self.doc.append(doc[first] + base)
-            self.pair.append(key[first])
-            self.times.append(np.diff(np.append(first, len(key))))
-        in_group = np.bincount(got.doc[0], weights=got.group_links(), minlength=n).astype(np.int64)
-        for c, values in zip(_COUNTS, (*(np.bincount(d, minlength=n) for d in got.doc), np.bincount(got.group_doc, minlength=n),
-                                       n_links, in_group)):
-            self.counts[c].append(values)
+    def add(self, ids: list, texts: list[str], size: int) -> None:
         self.ids += ids
-        self.sha += tool.spell(got, n)
+        self.texts += [np.array([self.known[c] for c in chunks(t)], np.int64) if t else np.zeros(0, np.int64) for t in texts]
         self.size += size
 
     def row(self, block: int) -> pa.RecordBatch:
-        def flat(parts):
-            return np.concatenate(parts) if parts else np.zeros(0, np.int64)
-
-        doc, times = flat(self.doc), flat(self.times)
-        pairs, at = np.unique(flat(self.pair), return_inverse=True)
-        # a long document's links come in runs: its entries of one pair are added up
-        key, back = np.unique(doc * max(len(pairs), 1) + at, return_inverse=True)
-        times = np.bincount(back, weights=times, minlength=len(key)).astype(np.int64)
-        doc, at = key // max(len(pairs), 1), key % max(len(pairs), 1)
-        indptr = np.searchsorted(doc, np.arange(len(self.ids) + 1))
+        known, n = self.known, len(self.texts)
+        known.learn()
+        held = [x if known.whole[x].all() else x[:0] for x in self.texts]
+        sha = [hashlib.sha256(b";".join([known.spelled[i] for i in x.tolist()])).hexdigest() if len(x) else "" for x in held]
+        doc, chunk = np.repeat(np.arange(n), [len(x) for x in held]), np.concatenate(held)
+        counts = [np.bincount(doc, weights=known.counts[chunk, i], minlength=n).astype(np.int64) for i in range(len(_COUNTS))]
+        # documents over their chunks, times chunks over their pairs
+        used, at = np.unique(chunk, return_inverse=True)
+        key, times = np.unique(doc * max(len(used), 1) + at, return_counts=True)
+        row = np.searchsorted(key, np.arange(n + 1) * max(len(used), 1))
+        of_docs = Csr(row, key % max(len(used), 1), times, len(used))
+        sizes = np.diff(known.pairs.indptr)[used]
+        place = np.arange(sizes.sum()) + np.repeat(known.pairs.indptr[used] - np.cumsum(sizes) + sizes, sizes)
+        pairs, column = np.unique(known.pairs.indices[place], return_inverse=True)
+        of_chunks = Csr(np.concatenate([[0], np.cumsum(sizes)]), column, known.pairs.values[place], len(pairs))
+        parts = [[np.zeros(0, np.int64)] for _ in range(3)]
+        for run in multiply(of_docs, of_chunks):
+            for part, values in zip(parts, run):
+                part.append(values)
+        doc, at, times = map(np.concatenate, parts)
+        indptr = np.searchsorted(doc, np.arange(n + 1))
         few = np.int32 if times.max(initial=0) < 2 ** 31 else np.int64
-        values = [block, pairs, np.bincount(at, minlength=len(pairs)).astype(np.int32), self.ids,
-                  *(flat(self.counts[c]) for c in _COUNTS), self.sha, indptr.astype(np.int64).tobytes(),
-                  at.astype(np.int32).tobytes(), np.dtype(few).char.encode() + times.astype(few).tobytes()]
+        values = [block, pairs, np.bincount(at, minlength=len(pairs)).astype(np.int32), self.ids, *counts, sha,
+                  indptr.astype(np.int64).tobytes(), at.astype(np.int32).tobytes(),
+                  np.dtype(few).char.encode() + times.astype(few).tobytes()]
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _BLOCK_ARROW)], schema=_BLOCK_ARROW)
 
 
@@ -322,12 +386,14 @@ def blocks(docs: DataFrame, id: str = "doc_id", byte_bpe: str = BYTE_BPE, pieces
     files = _files(docs, byte_bpe, pieces)
 
     def run(batches):
-        tool, block, n = aligner(*files.value), _Block(), TaskContext.get().partitionId() << 32
-        for chunk in _chunks(batches):
-            block.add(tool, *chunk)
+        known, n = Chunks(aligner(*files.value)), TaskContext.get().partitionId() << 32
+        block = _Block(known)
+        for some in _some(batches):
+            block.add(*some)
             if block.size >= BLOCK_BYTES:
                 yield block.row(n)
-                block, n = _Block(), n + 1
+                known = known if known.size < REMEMBERED else Chunks(known.tool)
+                block, n = _Block(known), n + 1
         if block.ids:
             yield block.row(n)
 

@@ -1,5 +1,6 @@
 import bisect
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -100,6 +101,20 @@ def test_small_runs_give_the_same(spark):
             assert np.array_equal(np.concatenate(one), np.concatenate(all_))
 
 
+def test_chunks_are_whole_texts():
+    """Encoding chunk by chunk is encoding the text."""
+    tool = ta.Aligner(*(open(ta.BYTE_BPE).read(), open(ta.PIECES, "rb").read()))
+    rng = random.Random(4)
+    some = ["a", "B", "é", " ", " ", "  ", "\n", "\t", "\r\n", ".", "'s", "'", "12", "3", "\u00a0", "\u3000", "\u2028", "\x1c", "\x85",
+            "\u200b", "-", "word", "<s>", "\U0001F600", "\ufeff", "e\u0301", "\u180e"]
+    texts = [t for _, t in MORE + EDGES if t and "▁" not in t] + ["".join(rng.choices(some, k=rng.randint(1, 30))) for _ in range(3000)]
+    for side, whole in zip(("a", "b"), tool.encode(texts)):
+        for text, ids in zip(texts, whole):
+            parts = tool.encode(ta.chunks(text))[side == "b"]
+            assert "".join(" " + c for c in ta.chunks(text)) == " " + text
+            assert [i for p in parts for i in p] == ids
+
+
 def test_products_are_matrix_products():
     rng = np.random.default_rng(0)
     for _ in range(20):
