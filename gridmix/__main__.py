@@ -2,13 +2,18 @@
 
   daily    INPUT --silver PATH --warehouse PATH --date YYYY-MM-DD [--countries DE,FR] [--gate all|keys]
   backfill INPUT --silver PATH --warehouse PATH --start D --end D [--countries ALL] [--gate all|keys]
+           both also: [--on-failure stop|hold] [--only-changed]
+  vacuum   --warehouse PATH                  (one manifest version, and only the folders that it names)
   query    NAME --sf DIR --out PATH          (write one named query's result as Parquet)
   list                                       (names of the registered queries)
 
 INPUT is ``--bronze PATH`` (a folder with ``documents`` and ``cubes``, see plans/increments.py), or ``--raw PATH``:
 generation rows in the silver layout (epoch-ns ``timestamp``, country, energy_source, psr_type, actual_MW,
 forecast_MW, domain).  One run covers every requested country; a re-run replaces the slices that its input covers.
-The gate blocks on all declared error tests, or with ``--gate keys`` on key integrity alone.
+The gate looks at all declared error tests, or with ``--gate keys`` at key integrity alone.  A failure stops the run, or
+with ``--on-failure hold`` keeps back the slices (day, country) that fail, with their reasons in ``held_back``.  With
+``--only-changed`` documents and cubes that the last published run has read are left alone (``--bronze`` only).
+Published tables are read with ``plans.increments.published``.
 """
 
 from __future__ import annotations
@@ -42,11 +47,14 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--silver", required=True)
         p.add_argument("--warehouse", required=True)
         p.add_argument("--countries", default="ALL")
+        p.add_argument("--on-failure", choices=["stop", "hold"], default="stop")
+        p.add_argument("--only-changed", action="store_true")
         if name == "daily":
             p.add_argument("--date", required=True)
         else:
             p.add_argument("--start", required=True)
             p.add_argument("--end", required=True)
+    sub.add_parser("vacuum").add_argument("--warehouse", required=True)
     q = sub.add_parser("query")
     q.add_argument("name")
     q.add_argument("--sf", required=True)
@@ -65,18 +73,25 @@ def main(argv: list[str] | None = None) -> int:
         catalog.QUERIES[a.name](spark, a.sf).write.mode("overwrite").parquet(a.out)
         return 0
 
+    from gridmix import session
     from gridmix.plans import increments
+    from gridmix.sinks.versions import Store
     from gridmix.sources.tables import read_silver_generation
 
+    if a.cmd == "vacuum":
+        print(f"{Store(spark, a.warehouse).vacuum()} folders removed")
+        return 0
     start, end = (a.date, a.date) if a.cmd == "daily" else (a.start, a.end)
     checks = increments.declared_checks if a.gate == "all" else increments.key_integrity_checks
-    if a.bronze:
-        at = increments.Layout(a.bronze, {"silver_generation": f"{a.silver}/generation",
-                                          "silver_weather": f"{a.silver}/weather", "warehouse": a.warehouse})
-        increments.run_range(spark, at, start, end, _countries(a.countries), checks)
-        return 0
-    increments.ingest(read_silver_generation(spark, a.raw), a.silver, start, end, _countries(a.countries))
-    increments.publish_marts(spark, a.silver, a.warehouse, start, end, gate_checks=checks, countries=_countries(a.countries))
+    options = {"gate_checks": checks, "countries": _countries(a.countries), "on_failure": a.on_failure}
+    with session.scratch(spark):  # what a run writes to pass on is removed when it is published
+        if a.bronze:
+            at = increments.Layout(a.bronze, {"silver_generation": f"{a.silver}/generation",
+                                              "silver_weather": f"{a.silver}/weather", "warehouse": a.warehouse})
+            increments.run_range(spark, at, start, end, only_changed=a.only_changed, **options)
+        else:
+            increments.ingest(read_silver_generation(spark, a.raw), a.silver, start, end, options["countries"])
+            increments.publish_marts(spark, a.silver, a.warehouse, start, end, **options)
     return 0
 
 

@@ -93,6 +93,13 @@ WEATHER_EFFICIENCY_SOURCES = ["Wind Onshore", "Wind Offshore", "Solar"]
 WIND_VARIABLES = ["u100", "v100"]
 SOLAR_VARIABLES = ["ssrd", "tcc", "t2m"]
 
+# Fixed values — request categories of the weather archive and their variables.
+WEATHER_CATEGORIES = {
+    "wind": ["100m_u_component_of_wind", "100m_v_component_of_wind"],
+    "solar": ["surface_solar_radiation_downwards"],
+    "temp": ["2m_temperature"],
+}
+
 # Fixed values — long weather-archive variable names -> short names.
 WEATHER_VAR_NAMES = {
     "100m_u-component_of_wind": "wind_100m_u",

@@ -74,10 +74,15 @@ def _daily_intensity(hourly: DataFrame) -> DataFrame:
 def typical_cleanest_hour(daily_intensity: DataFrame) -> DataFrame:
     """Per country, the hour that was most often the day's cleanest (ties: earlier hour).
     Computed from the small daily table, so it is always over the whole history."""
-    counts = daily_intensity.groupBy("country_code", "cleanest_hour_of_day").agg(F.count(F.lit(1)).alias("day_count"))
+    return typical_hour_of_counts(
+        daily_intensity.groupBy("country_code", "cleanest_hour_of_day").agg(F.count(F.lit(1)).alias("day_count")))
+
+
+def typical_hour_of_counts(counts: DataFrame) -> DataFrame:
+    """The same from (country_code, cleanest_hour_of_day, day_count), 24 rows a country at most."""
     best = counts.groupBy("country_code").agg(
         F.max(_pack(F.col("day_count"), F.lit(_HOURS - 1) - F.col("cleanest_hour_of_day"))).alias("_b"))
-    return best.select("country_code", (F.lit(_HOURS - 1) - _unpack_hour(F.col("_b"))).alias("typical_cleanest_hour"))
+    return best.select("country_code", (F.lit(_HOURS - 1) - _unpack_hour(F.col("_b"))).cast("int").alias("typical_cleanest_hour"))
 
 
 def fct_grid_carbon_intensity(hourly: DataFrame) -> DataFrame:
@@ -101,7 +106,8 @@ def daily_intensity(hourly: DataFrame) -> DataFrame:
 
 def join_typical_hour(daily_intensity_rows: DataFrame, typical: DataFrame) -> DataFrame:
     """Daily intensity rows with their country's typical cleanest hour (one row per country) and the daily range."""
-    return daily_intensity_rows.join(typical, "country_code").select(
+    typical = typical.withColumnRenamed("country_code", "home")
+    return daily_intensity_rows.join(typical, F.col("country_code").eqNullSafe(F.col("home"))).select(
         "date_key", "country_code", "country_name", "avg_carbon_intensity_gco2_kwh",
         "min_carbon_intensity_gco2_kwh", "max_carbon_intensity_gco2_kwh", "avg_renewable_pct", "hours_reported",
         "cleanest_hour_of_day", "cleanest_hour_intensity", "dirtiest_hour_of_day", "dirtiest_hour_intensity",

@@ -7,7 +7,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # Fixed values — bounds of the singular tests: timestamp window and daily row floor.
@@ -84,13 +84,15 @@ def country_code_valid(fact: DataFrame, dim_country: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class Check:
     """A named check.  Either ``failures`` (offending rows of a key-level check) or a row-level
-    ``predicate`` over ``source`` (a row fails when the predicate is TRUE)."""
+    ``predicate`` over ``source`` (a row fails when the predicate is TRUE).  ``sliced`` are the offending rows with the
+    slice's columns, where ``failures`` lacks them."""
     name: str
     model: str
     failures: DataFrame | None = None
     severity: str = "error"
     predicate: Column | None = None
     source: DataFrame | None = None
+    sliced: DataFrame | None = None
 
 
 def row_check(name: str, model: str, source: DataFrame, predicate: Column, severity: str = "error") -> Check:
@@ -126,10 +128,72 @@ def summary(checks: list[Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+class Observed:
+    """Row checks counted while their model is written, so that they cost no scan.
+
+    ``watch`` puts the counts of a model's checks into its plan; they are there when an action has run on what it returns.
+    ``counts`` gives them as (check, model, severity, failures).  A stage that is recomputed after a lost executor may count
+    its rows again: whether a check has failures is always right, their number is right without such a loss."""
+
+    def __init__(self):
+        self.watched: list[tuple[Observation, list[Check]]] = []
+
+    def watch(self, df: DataFrame, checks: list[Check]) -> DataFrame:
+        if not checks:
+            return df
+        seen = Observation()
+        self.watched.append((seen, checks))
+        return df.observe(seen, *[F.count_if(F.coalesce(c.predicate, F.lit(False))).alias(f"c{i}") for i, c in enumerate(checks)])
+
+    def has(self, check: Check) -> bool:
+        return any((c.name, c.model) == (check.name, check.model) for _, checks in self.watched for c in checks)
+
+    def counts(self) -> list[tuple[str, str, str, int]]:
+        """A row per check; the watched models must have been written."""
+        return [(c.name, c.model, c.severity, seen.get[f"c{i}"]) for seen, checks in self.watched for i, c in enumerate(checks)]
+
+
+SUMMARY = "check string, model string, severity string, failures long"
+
+
+def failing_slices(checks: list[Check]) -> DataFrame:
+    """(date_key, country_code, check, model, failures): failures of every check by slice.  Checks must be over rows, or give
+    offending rows, that have the slice's columns; an offending row without one of them counts for the slices of
+    that country or day that are null."""
+    parts, by_source = [], {}
+    for c in checks:
+        if c.predicate is not None:
+            by_source.setdefault(id(c.source), []).append(c)
+        else:
+            parts.append(_sliced(c.failures if c.sliced is None else c.sliced).groupBy("date_key", "country_code").agg(F.count(F.lit(1)).alias("failures"))
+                         .select("date_key", "country_code", F.lit(c.name).alias("check"), F.lit(c.model).alias("model"), "failures"))
+    for group in by_source.values():
+        counts = _sliced(group[0].source).groupBy("date_key", "country_code").agg(
+            *[F.count_if(F.coalesce(c.predicate, F.lit(False))).alias(f"c{i}") for i, c in enumerate(group)])
+        rows = F.array(*[F.struct(F.lit(c.name).alias("check"), F.lit(c.model).alias("model"), F.col(f"c{i}").alias("failures"))
+                         for i, c in enumerate(group)])
+        parts.append(counts.select("date_key", "country_code", F.inline(rows)))
+    return reduce(DataFrame.unionByName, parts).where("failures > 0")
+
+
+def _sliced(df: DataFrame) -> DataFrame:
+    """Rows with the slice's columns: a missing day is that of the row's hour, if it has one."""
+    out = df
+    if "date_key" not in df.columns:
+        out = out.withColumn("date_key", F.to_date("ts_hour") if "ts_hour" in df.columns else F.lit(None).cast("date"))
+    if "country_code" not in df.columns:
+        out = out.withColumn("country_code", F.lit(None).cast("string"))
+    return out
+
+
+def stop(counts: list[tuple[str, str, str, int]]) -> None:
+    """Raise if an error-severity check of (check, model, severity, failures) failed."""
+    failed = [(check, model, n) for check, model, severity, n in counts if severity == "error" and n]
+    if failed:
+        raise QualityGateError("data-quality gate failed: " + ", ".join(f"{m}.{c}={n}" for c, m, n in failed))
+
+
 def gate(summary_df: DataFrame) -> DataFrame:
     """Stop the pipeline if an error-severity check failed.  Reads only the tiny summary."""
-    failed = summary_df.where((F.col("severity") == "error") & (F.col("failures") > 0)).collect()
-    if failed:
-        msg = ", ".join(f"{r['model']}.{r['check']}={r['failures']}" for r in failed)
-        raise QualityGateError(f"data-quality gate failed: {msg}")
+    stop([(r["check"], r["model"], r["severity"], r["failures"]) for r in summary_df.where("failures > 0").collect()])
     return summary_df

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gridmix import functions as gf
 from gridmix import dims
 from gridmix.operators import notebook_ops as nb
+from gridmix.operators import work_grid
 from gridmix.plans.catalog import query
 from gridmix.sources import cube, files, load_gen_raw, load_weather_raw
 from gridmix.sources import xml as bx
@@ -156,6 +157,54 @@ def q_missing_partitions(spark, sf_dir):
     return grid.join(have, ["country", "date"], "left_anti").withColumn("category", F.lit("generation"))
 
 
+def weather_listing(spark, sf_dir, days=None):
+    """Weather files that the data imply: ``solar`` monthly for all months, ``wind`` daily on days divisible by 5, ``temp``
+    daily but on the first two days of a week of the month."""
+    days = data_days(spark, sf_dir) if days is None else days
+    day = F.dayofmonth("d")
+
+    def path(stem, cat):
+        return F.concat(F.lit("bronze/era5/"), F.col("country"), F.lit("/"), F.date_format("d", "yyyy/MM"), F.lit("/"),
+                        F.date_format("d", stem), F.lit(f"_{cat}.nc")).alias("path")
+
+    return (days.select("country", F.trunc("d", "month").alias("d")).distinct().select(path("yyyy-MM", "solar"))
+            .unionByName(days.where(day % 5 == 0).select(path("yyyy-MM-dd", "wind")))
+            .unionByName(days.where(~(day % 7).isin(0, 1)).select(path("yyyy-MM-dd", "temp"))))
+
+
+@query("weather_work_grid", Q([o.GEN_BASE, LISTING, o.DIM_COUNTRY], f"""
+  select country, category, mode, first_day, last_day, days from (
+    with have as (
+      select distinct country, 'solar' as category, unnest(generate_series(date_trunc('month', d), last_day(d), interval 1 day))::date as d
+      from bz_days
+      union select country, 'wind', d from bz_days where dayofmonth(d) % 5 = 0
+      union select country, 'temp', d from bz_days where dayofmonth(d) % 7 not in (0, 1)),
+    lacking as (
+      select c.country_code as country, k.category, g.d
+      from dim_country c, (select unnest([{o._sql_list(list(dims.WEATHER_CATEGORIES))}]) as category) k,
+           (select unnest(range(min(d), max(d), interval 1 day))::date as d from bz_days) g
+      where (c.country_code, k.category, g.d) not in (select country, category, d from have)),
+    months as (
+      select country, category, date_trunc('month', d)::date as m, list(d order by d) as ds from lacking group by all),
+    runs as (
+      select country, category, m, unnest(ds) as d, len(ds) as n, unnest(ds) - cast(unnest(range(1, len(ds) + 1)) as int) as island
+      from months)
+    select country, category, 'monthly' as mode, m as first_day, last_day(m) as last_day, count(*) as days
+    from runs where n * 2 > dayofmonth(last_day(m)) group by country, category, m
+    union all
+    select country, category, 'daily', min(d), max(d), count(*)
+    from runs where n * 2 <= dayofmonth(last_day(m)) group by country, category, m, island)"""))
+def q_weather_work_grid(spark, sf_dir):
+    """Requests for the weather that is missing in [first day, last day): monthly ones where most of a month is, else
+    ranges of days; files of a month cover their days."""
+    days = data_days(spark, sf_dir)
+    files_ = files.path_columns(weather_listing(spark, sf_dir, days)).select("country", "category", "file_min", "file_max")
+    lo, hi = days.select(F.min("d")).scalar(), days.select(F.max("d")).scalar()
+    keys = dims.dim_country(spark).select(F.col("country_code").alias("country"), F.explode(F.array(
+        *[F.lit(c) for c in dims.WEATHER_CATEGORIES])).alias("category"))
+    return work_grid.requests(work_grid.missing_days(work_grid.wanted_days(keys, lo, hi), files_))
+
+
 # --- weather cubes, wide / long, boxes -------------------------------------------------------
 
 WEATHER_TS = """weather_ts as (select make_timestamp("timestamp" // 1000) as "timestamp", lat, lon, variable, value,
@@ -213,6 +262,14 @@ def q_grid_to_country(spark, sf_dir):
     return cube.grid_to_country(cells, dims.country_config(spark))
 
 
+@query("grid_to_country_tiles", Q([o.WEATHER_RAW, BOXES], """select w."timestamp", w.lat, w.lon, w.variable, w.value, b.country_code
+  from weather_raw w join boxes b on w.lat between b.south and b.north and w.lon between b.west and b.east"""))
+def q_grid_to_country_tiles(spark, sf_dir):
+    """Weather delivered without a country gets those of the boxes around each cell, through tiles of the grid."""
+    rows = load_weather_raw(spark, sf_dir).drop("country")
+    return cube.grid_to_country_tiles(rows, dims.country_config(spark))
+
+
 @query("xml_file_scan", Q([o.GEN_BASE], f"""select {GEN_TS} as "timestamp", country,
   {o.psr_name_sql('psr_type')} as energy_source, psr_type, actual_MW, cast(null as double) as forecast_MW,
   'generation' as domain from gen_base where domain = 'generation'"""))

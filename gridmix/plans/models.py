@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmix import dims
+from gridmix import dims, session, sinks
 from gridmix import operators as ops
 from gridmix.plans.catalog import query
 from gridmix.sources import load_gen_raw, load_weather_raw
@@ -96,6 +96,24 @@ def q_int_generation_weather(spark, sf_dir):
     return gen_weather(spark, sf_dir).withColumn("avg_wind_speed", F.round("avg_wind_speed", 6))
 
 
+#: Buckets of the co-located tables; at scale about the staged bytes / 128 MB.
+BUCKETS = 8
+
+
+@query("colocated_weather", o.with_ctes(*o.GW_CHAIN, select=f"""select * replace
+  ({o.R('avg_wind_speed', 6)} as avg_wind_speed) from gw"""))
+def q_colocated_weather(spark, sf_dir):
+    """The generation-weather join over tables kept in the same buckets by country and hour: neither is shuffled again, in
+    this join or in any later one on these keys."""
+    keys = ["country_code", "ts_hour"]
+    base = session.work_dir(spark, "buckets")
+    stg = sinks.write_bucketed(spark, staged(spark, sf_dir), f"{base}/stg", keys, BUCKETS)
+    hourly = ops.hourly_weather(ops.weather_cells(load_weather_raw(spark, sf_dir)))
+    hourly = sinks.write_bucketed(spark, hourly, f"{base}/weather", keys, BUCKETS)
+    joined = ops.int_generation_weather(stg, hourly.hint("merge"))
+    return joined.withColumn("avg_wind_speed", F.round("avg_wind_speed", 6))
+
+
 def int_daily_from(stg: DataFrame) -> DataFrame:
     return ops.int_daily_generation(stg)
 

@@ -9,7 +9,7 @@ from gridmix.operators import quality as dq
 from gridmix.plans import models as m
 from gridmix.plans.catalog import query
 from gridmix.sources import load_gen_raw, load_weather_raw
-from gridmix.session import materialize
+from gridmix.session import materialize, together
 from gridmix.verify import oracle as o
 
 
@@ -82,26 +82,36 @@ KEYS = {
 }
 
 
-def declared(models: dict, dim_country) -> list:
-    """The declared checks of the models at hand (row tests are fused per model by ``quality.summary``)."""
-    checks = []
-    for name, df in models.items():
-        checks += [dq.row_check(check, name, df, F.expr(test)) for check, test in ROW_TESTS[name]]
-        if name in KEYS:
-            checks.append(dq.Check("unique_key", name, dq.unique_combination(df, KEYS[name])))
+def row_checks(name: str, df) -> list:
+    """The declared row tests of a model."""
+    return [dq.row_check(check, name, df, F.expr(test)) for check, test in ROW_TESTS[name]]
+
+
+def key_checks(models: dict, dim_country) -> list:
+    """The declared checks that look at more than one row."""
+    checks = [dq.Check("unique_key", name, dq.unique_combination(df, KEYS[name])) for name, df in models.items() if name in KEYS]
     if "stg_generation" in models:
         checks.append(dq.Check("minimum_row_coverage", "stg_generation", dq.row_coverage(models["stg_generation"])))
     if "fct_renewable_kpi" in models:
-        checks.append(dq.Check("country_code_valid", "fct_renewable_kpi",
-                               dq.country_code_valid(models["fct_renewable_kpi"], dim_country)))
+        kpi = models["fct_renewable_kpi"]
+        unknown = kpi.join(F.broadcast(dim_country.select("country_code")), "country_code", "left_anti")
+        checks.append(dq.Check("country_code_valid", "fct_renewable_kpi", dq.country_code_valid(kpi, dim_country),
+                               sliced=unknown.select("date_key", "country_code")))
     return checks
 
 
+def declared(models: dict, dim_country) -> list:
+    """The declared checks of the models at hand (row tests are fused per model by ``quality.summary``)."""
+    return [c for name, df in models.items() for c in row_checks(name, df)] + key_checks(models, dim_country)
+
+
 def model_checks(m) -> list:
-    """The declared checks of a run's models (``increments.Models``)."""
+    """The declared checks of a run (``increments.Models``): of its models, of weather staging and of its sources."""
     named = {"stg_generation": m.stg, "int_daily_generation": m.daily, "int_carbon_intensity": m.hourly,
-             "int_generation_weather": m.weather, "fct_renewable_kpi": m.kpi, "fct_grid_carbon_intensity": m.intensity}
-    return declared({k: v for k, v in named.items() if v is not None}, dims.dim_country(m.stg.sparkSession))
+             "int_generation_weather": m.weather, "fct_renewable_kpi": m.kpi, "fct_grid_carbon_intensity": m.intensity,
+             "stg_wind": m.wind, "stg_solar": m.solar}
+    return declared({k: v for k, v in named.items() if v is not None}, dims.dim_country(m.stg.sparkSession)) + [
+        dq.Check("not_null_timestamp", source, undated) for source, undated in m.undated.items()]
 
 
 # --- staging rows with violations of every check, derived from the staged rows ----------------
@@ -253,14 +263,26 @@ def q_dq_summary(spark, sf_dir):
     """Failure counts of every declared check (the quality gate's input) over rows with violations."""
     # models are materialised once (as the warehouse builds tables before testing them);
     # every check then reads a model instead of re-deriving it from the raw rows
-    stg = materialize(violating(spark, sf_dir))
-    daily = materialize(m.int_daily_from(stg))
-    hourly = materialize(m.hourly_ci_from(stg, spark))
-    kpi = materialize(m.ops.fct_renewable_kpi(daily))
-    fct = materialize(m.ops.fct_grid_carbon_intensity(hourly))
-    checks = declared({"stg_generation": stg, "int_daily_generation": daily, "int_carbon_intensity": hourly,
-                       "fct_renewable_kpi": kpi, "fct_grid_carbon_intensity": fct}, dims.dim_country(spark))
+    # Row tests are counted while a model is written: they cost no scan.
+    seen = dq.Observed()
+
+    def written(name, df):
+        return materialize(seen.watch(df, row_checks(name, df)))
+
+    stg = written("stg_generation", violating(spark, sf_dir))
+
+    def shares():
+        daily = written("int_daily_generation", m.int_daily_from(stg))
+        return daily, written("fct_renewable_kpi", m.ops.fct_renewable_kpi(daily))
+
+    def emissions():
+        hourly = written("int_carbon_intensity", m.hourly_ci_from(stg, spark))
+        return hourly, written("fct_grid_carbon_intensity", m.ops.fct_grid_carbon_intensity(hourly))
+
+    (daily, kpi), (hourly, fct) = together(spark, shares, emissions)
+    checks = key_checks({"stg_generation": stg, "int_daily_generation": daily, "int_carbon_intensity": hourly,
+                         "fct_renewable_kpi": kpi, "fct_grid_carbon_intensity": fct}, dims.dim_country(spark))
     checks += source_checks(load_gen_raw(spark, sf_dir), load_weather_raw(spark, sf_dir))
     as_of = stg.select(F.timestamp_add("HOUR", F.lit(AS_OF_HOURS), F.max("ts_hour"))).scalar()
     checks += recency_checks(stg, kpi, as_of)
-    return dq.summary(checks)
+    return dq.summary(checks).unionByName(spark.createDataFrame(seen.counts(), dq.SUMMARY))

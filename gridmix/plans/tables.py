@@ -73,8 +73,8 @@ def q_append_missing(spark, sf_dir):
     """Countries appended in overlapping steps: those present are skipped, so no row comes twice."""
     raw = load_gen_raw(spark, sf_dir)
     path = session.work_dir(spark, "appended")
-    for part in (["DE", "FR"], ["FR", "GR", "DE"], [r.country for r in raw.select("country").distinct().collect()]):
-        sinks.append_missing(spark, raw.where(F.col("country").isin(part)), path, ["country"])
+    for part in (F.col("country").isin("DE", "FR"), F.col("country").isin("FR", "GR", "DE"), F.lit(True)):
+        sinks.append_missing(spark, raw.where(part), path, ["country"])
     return spark.read.parquet(path).groupBy("country", "domain").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -86,9 +86,12 @@ def q_saved_table(spark, sf_dir):
     path = session.work_dir(spark, "saved")
     name = "saved_kpi_" + path[-12:]
     sinks.save_table(spark, m.kpi(spark, sf_dir), name, path, ["country_code"])
-    return spark.sql(f"""select country_code, max(renewable_pct) as best_pct,
+    best = spark.sql(f"""select country_code, max(renewable_pct) as best_pct,
         max_by(date_key, struct(renewable_pct, -unix_date(date_key))) as best_day
         from {name} where renewable_pct is not null group by country_code""")
+    best = session.materialize(best, "best")  # a partitioned table is listed by its name when it is read
+    spark.sql(f"DROP TABLE {name}")
+    return best
 
 
 @query("report_filter", o.with_ctes(*o.KPI_CHAIN, select="""select * from kpi where year(date_key) = 2025

@@ -11,7 +11,10 @@ import os
 import re
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settings that change results or that every job needs; safe to set at runtime.
@@ -64,10 +67,67 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) by Hadoop's API, which knows every store that Spark reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _hadoop_path(spark, path)
+    return fs.exists(at)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Paths right below a folder; none where it doesn't exist."""
+    fs, at = _hadoop_path(spark, path)
+    return [str(f.getPath().toString()) for f in fs.listStatus(at)] if fs.exists(at) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in one piece."""
+    fs, at = _hadoop_path(spark, path)
+    out = fs.create(at, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, at = _hadoop_path(spark, path)
+    stream = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    fs, at = _hadoop_path(spark, path)
+    fs.delete(at, True)
+
+
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Folders that ``work_dir`` names inside are removed at the end: for runs whose results are elsewhere by then."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            delete(spark, path)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/gridmix-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/gridmix-{name}-{uuid.uuid4().hex[:12]}"
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
+    return path
 
 
 def materialize(df, name: str = "model"):
@@ -81,6 +141,13 @@ def materialize(df, name: str = "model"):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def together(spark: SparkSession, *calls):
+    """Results of calls that run jobs of their own and don't need each other's: their jobs share the cluster, so short ones don't
+    wait for one another's start and end.  The first error is raised when all are done."""
+    with ThreadPoolExecutor(max_workers=len(calls)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]]
+
+
 def get_spark(master: str | None = None, app: str = "gridmix", shuffle_partitions: int | None = None,
               driver_memory: str = "8g") -> SparkSession:
     """Build (or reuse) a session for tests, bench and local runs."""

@@ -4,6 +4,7 @@ table.  Partitions for which the new input has no rows at all are left as they a
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,11 +88,14 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def append_missing(spark: SparkSession, df: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Skip-if-exists: append only the key groups not yet present at ``path``.  Returns the rows that were appended
-    (lazy; already written).  A table that can't be read, or lacks a key, raises."""
+    """Skip-if-exists: append only the key groups not yet present at ``path``, null keys like any other.  Returns the rows that
+    were appended (lazy; already written).  A table that can't be read, or lacks a key, raises."""
+    from gridmix.sinks.versions import matching
+
     new = df
     if table_exists(spark, path):
-        new = session.materialize(df.join(spark.read.parquet(path).select(*keys).distinct(), keys, "left_anti"), "new")
+        there = spark.read.parquet(path).select(*keys).distinct()
+        new = session.materialize(matching(df, there, keys, "left_anti"), "new")
     new.write.mode("append").partitionBy(*keys).parquet(path)
     return new
 
@@ -108,6 +112,22 @@ def save_table(spark: SparkSession, df: DataFrame, name: str, path: str, partiti
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
+def write_bucketed(spark: SparkSession, df: DataFrame, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write a table at ``path`` in ``buckets`` by ``keys``, sorted, and read it back so that Spark knows that: tables with the
+    same buckets join on the keys without a shuffle.
+
+    Spark keeps a bucketing in its catalog alone, so the table is named there while it is written and read; the name is gone when
+    this returns, the files stay and what is returned keeps the bucketing."""
+    name = "bucketed_" + uuid.uuid4().hex[:12]
+    # one task per bucket: each writes one file
+    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet")
+     .saveAsTable(name))
+    table = spark.table(name)
+    table.schema  # resolved before its name goes
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def written_files(df: DataFrame) -> list[str]:
     """Files backing a DataFrame read from storage."""
     return sorted(df.inputFiles())

@@ -7,7 +7,7 @@ per-cell Python); ``wide``/``melt`` convert between one-column-per-variable and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmix import functions as gf
@@ -111,3 +111,24 @@ def grid_to_country(cells: DataFrame, boxes: DataFrame) -> DataFrame:
     cond = (F.col("lat").between(F.col("south"), F.col("north"))
             & F.col("lon").between(F.col("west"), F.col("east")))
     return cells.join(b, cond, "inner").drop("north", "west", "south", "east")
+
+
+#: Degrees of a tile's side.
+TILE = 1.0
+
+
+def grid_to_country_tiles(cells: DataFrame, boxes: DataFrame, tile: float = TILE) -> DataFrame:
+    """``grid_to_country`` as an equi-join: boxes are cut into the tiles that they touch, cells meet the boxes of their tile,
+    and the exact test follows.  A cell meets few boxes however many there are, and neither side is broadcast by hand.
+
+    Cells may carry any columns; a cell outside all boxes, or without coordinates, comes out for none."""
+    def of(degrees) -> Column:
+        return F.floor(degrees / F.lit(tile))
+
+    b = boxes.select("country_code", F.col("era5_area")[0].alias("north"), F.col("era5_area")[1].alias("west"),
+                     F.col("era5_area")[2].alias("south"), F.col("era5_area")[3].alias("east"))
+    b = b.withColumn("tile_y", F.explode(F.sequence(of(F.col("south")), of(F.col("north")))))
+    b = b.withColumn("tile_x", F.explode(F.sequence(of(F.col("west")), of(F.col("east")))))
+    at = cells.withColumns({"tile_y": of(F.col("lat")), "tile_x": of(F.col("lon"))})
+    inside = F.col("lat").between(F.col("south"), F.col("north")) & F.col("lon").between(F.col("west"), F.col("east"))
+    return at.join(b, ["tile_y", "tile_x"]).where(inside).drop("tile_y", "tile_x", "north", "west", "south", "east")

@@ -59,14 +59,35 @@ def decode_documents(docs: DataFrame, xml_col: str = "xml") -> DataFrame:
     return _parsed(docs, xml_col).where(~_is_corrupt()).select(*keep, F.explode("_doc.TimeSeries").alias("series"))
 
 
+def _bad_starts(series: Column) -> Column:
+    """Periods of a document whose start is missing or no time."""
+    starts = F.flatten(F.transform(F.coalesce(series, F.array()), lambda s: F.transform(
+        F.coalesce(s["Period"], F.array()), lambda p: p["timeInterval"]["start"])))
+    return F.size(F.filter(starts, lambda t: gf.parse_xml_time(t).isNull()))
+
+
+def read_through(docs: DataFrame, xml_col: str = "xml") -> DataFrame:
+    """Documents read once, for all that is asked of them: the other columns, triage ``status``, ``reason`` (why the document
+    or a part of it is left out, else null), ``n`` (documents or periods left out), and the decoded ``TimeSeries``
+    (null for documents that are left out)."""
+    keep = [F.col(c) for c in docs.columns if c != xml_col]
+    parsed = _parsed(triage(docs, xml_col, keep_document=True), xml_col)
+    bad = _bad_starts(F.col("_doc.TimeSeries"))
+    reason = (F.when(F.col("status") != "ok", F.concat_ws(":", "status", "reason_code"))
+              .when(_is_corrupt(), "corrupt").when(bad > 0, "bad_start"))
+    whole = F.col("reason").isNull() | (F.col("reason") == "bad_start")
+    return (parsed.select(*keep, "status", reason.alias("reason"), bad.cast("long").alias("bad"), "_doc.TimeSeries")
+            .select(*keep, "status", "reason", F.when(F.col("reason") == "bad_start", F.col("bad"))
+                    .when(F.col("reason").isNotNull(), F.lit(1)).otherwise(0).cast("long").alias("n"),
+                    F.when(whole, F.col("TimeSeries")).alias("TimeSeries")))
+
+
 def rejects(docs: DataFrame, xml_col: str = "xml") -> DataFrame:
     """What decoding leaves out, with a reason and a count: documents that don't parse (``corrupt``), and
     series periods whose start is missing or no time (``bad_start``), one row per document and reason."""
     keep = [c for c in docs.columns if c != xml_col]
     parsed = _parsed(docs, xml_col)
-    starts = F.flatten(F.transform(F.coalesce("_doc.TimeSeries", F.array()), lambda s: F.transform(
-        F.coalesce(s["Period"], F.array()), lambda p: p["timeInterval"]["start"])))
-    bad = F.size(F.filter(starts, lambda t: gf.parse_xml_time(t).isNull()))
+    bad = _bad_starts(F.col("_doc.TimeSeries"))
     return parsed.select(
         *keep, F.when(_is_corrupt(), "corrupt").when(bad > 0, "bad_start").alias("reason"),
         F.when(_is_corrupt(), F.lit(1)).otherwise(bad).cast("long").alias("n")).where(F.col("reason").isNotNull())
@@ -94,6 +115,46 @@ def read_series_files(spark: SparkSession, root: str) -> DataFrame:
     return raw.select(F.struct("MktPSRType", "Period").alias("series"), F.col("_metadata.file_path").alias("path"))
 
 
+def scan_series_files(spark: SparkSession, root: str) -> DataFrame:
+    """The row-tag scan with nothing lost silently: (series, corrupt, path), where an element that doesn't parse has a null
+    series and its text in ``corrupt``.  Elements that a file's end cuts off can't be rows; ``file_rejects`` counts them."""
+    raw = (spark.read.format("xml").option("rowTag", "TimeSeries").option("ignoreNamespace", "true")
+           .option("recursiveFileLookup", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+           .schema(f"{SERIES_DDL}, {CORRUPT} string").load(root))
+    whole = F.col(CORRUPT).isNull()
+    return raw.select(F.when(whole, F.struct("MktPSRType", "Period")).alias("series"), F.col(CORRUPT).alias("corrupt"),
+                      F.col("_metadata.file_path").alias("path"))
+
+
+def file_tags(spark: SparkSession, root: str) -> DataFrame:
+    """(path, started, closed): TimeSeries elements that begin in each file, and whether its document ends.  The files are read as
+    text records between ``<`` signs, so that large files are split among tasks and no document is held whole."""
+    text = spark.read.option("lineSep", "<").option("recursiveFileLookup", "true").text(root)
+    prefix = r"([A-Za-z_][\w.-]*:)?"
+    return text.groupBy(F.col("_metadata.file_path").alias("path")).agg(
+        F.count_if(F.col("value").rlike(rf"^{prefix}TimeSeries[\s>/]")).alias("started"),
+        (F.count_if(F.col("value").rlike(rf"^/{prefix}{GENERATION_ROOT}\s*>")) > 0).alias("closed"))
+
+
+def file_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """(path, reason, n) of a tree of generation files: what the row-tag scan doesn't bring, counted from its rows and from
+    the elements that begin in each file.
+
+    ``cut``: the document has no end; n elements aren't there as a whole (0 where it ends between two).  ``corrupt``: elements that
+    don't parse, and those that the scan gives up with them.  ``bad_start``: periods whose start is missing or no time."""
+    scanned = scan_series_files(spark, root)
+    bad = _bad_starts(F.array("series"))
+    rows = scanned.groupBy("path").agg(F.count(F.lit(1)).alias("read"), F.count("corrupt").alias("corrupt"),
+                                       F.coalesce(F.sum(F.when(F.col("series").isNotNull(), bad)), F.lit(0)).alias("bad"))
+    files = file_tags(spark, root).join(rows, "path", "left").na.fill(0, ["read", "corrupt", "bad"])
+    lost = F.col("started") - (F.col("read") - F.col("corrupt"))
+    reasons = F.array(
+        F.struct(F.lit("cut").alias("reason"), lost.alias("n"), (~F.col("closed")).alias("is")),
+        F.struct(F.lit("corrupt").alias("reason"), lost.alias("n"), (F.col("closed") & (lost > 0)).alias("is")),
+        F.struct(F.lit("bad_start").alias("reason"), F.col("bad").alias("n"), (F.col("bad") > 0).alias("is")))
+    return files.select("path", F.inline(reasons)).where("is").drop("is")
+
+
 def flatten_series(series: DataFrame, kind: str = "generation", country: Column | str = "country") -> DataFrame:
     """TimeSeries rows -> silver generation rows (``timestamp`` as TIMESTAMP).
 
@@ -130,7 +191,7 @@ def to_silver_generation(rows: DataFrame) -> DataFrame:
 
 # --- triage (A13) ------------------------------------------------------------------------------
 
-def triage(docs: DataFrame, xml_col: str = "xml") -> DataFrame:
+def triage(docs: DataFrame, xml_col: str = "xml", keep_document: bool = False) -> DataFrame:
     """Classify each fetched document: ``ok`` (generation document), ``ack`` (acknowledgement
     with a reason) or ``other``, with the reason code and text when present."""
     x = F.col(xml_col)
@@ -139,7 +200,7 @@ def triage(docs: DataFrame, xml_col: str = "xml") -> DataFrame:
     code = F.xpath_string(x, F.lit("//*[local-name()='Reason']/*[local-name()='code']/text()"))
     text = F.xpath_string(x, F.lit("//*[local-name()='Reason']/*[local-name()='text']/text()"))
     status = F.when(is_gen & ~is_ack, "ok").when(is_ack, "ack").otherwise("other")
-    keep = [c for c in docs.columns if c != xml_col]
+    keep = [c for c in docs.columns if keep_document or c != xml_col]
     return docs.select(*keep, status.alias("status"),
                        F.when(is_ack, F.nullif(code, F.lit(""))).alias("reason_code"),
                        F.when(is_ack, F.nullif(text, F.lit(""))).alias("reason_text"))

@@ -7,6 +7,8 @@ as the batch increment.  Batches that are repeated after a failure replace the s
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,5 +44,42 @@ def run_available_now(spark: SparkSession, landing: str, silver: str, checkpoint
     q.awaitTermination()
 
 
+def batch_run(checkpoint: str, batch_id: int) -> str:
+    """A batch's run: the same whenever it is repeated, another for any other stream."""
+    return f"b{hashlib.sha256(checkpoint.encode()).hexdigest()[:12]}-{batch_id}"
+
+
+def publish_batch(batch: DataFrame, batch_id: int, silver: str, warehouse: str, checkpoint: str, **options) -> bool:
+    """One batch into silver, and the models of the slices that it brought published as one version.
+
+    The manifest is the ledger of batches: a batch whose run it names is published, and nothing is done.  A batch
+    that failed before that replaces the same silver slices and writes the same run's folders again.  Returns whether it published."""
+    from gridmix.plans import increments
+    from gridmix.sinks.versions import Store
+
+    spark, run = batch.sparkSession, batch_run(checkpoint, batch_id)
+    if run in Store(spark, warehouse).runs():
+        return False
+    rows = session.materialize(latest_drop(batch), "batch")
+    sinks.write_silver_generation(rows, silver)
+    slices = session.materialize(sinks.with_date_partition(rows).select(
+        F.col("date").alias("date_key"), F.col("country").alias("country_code")).distinct(), "touched")
+    bounds = slices.agg(F.min("date_key"), F.max("date_key")).first()
+    if bounds[1] is None:
+        return False
+    increments.publish_marts(spark, silver, warehouse, bounds[0], bounds[1], slices=slices, run=run, **options)
+    return True
+
+
+def publish_available_now(spark: SparkSession, landing: str, silver: str, warehouse: str, checkpoint: str, **options) -> None:
+    """All landed files not yet seen, into silver and on to the published marts, then stop.  ``options`` are those of
+    ``increments.publish_marts`` (gate, held-back slices, weather)."""
+    session.configure(spark)
+    q = (landing_stream(spark, landing).writeStream.option("checkpointLocation", checkpoint)
+         .foreachBatch(lambda batch, n: publish_batch(batch, n, silver, warehouse, checkpoint, **options) and None)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def read_silver(spark: SparkSession, silver: str) -> DataFrame:
     return sinks.read_silver_generation(spark, silver)

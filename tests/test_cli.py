@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from gridmix.__main__ import main
+from gridmix.plans.increments import published
 from gridmix.sources import load_gen_raw
 
 
@@ -15,7 +16,7 @@ def test_cli_backfill_daily_query(spark, tmp_dir):
     assert main(["backfill", *args, "--start", "2025-02-26", "--end", "2025-02-27"]) == 0
     assert main(["daily", *args, "--date", "2025-02-28"]) == 0
     assert main(["daily", *args, "--date", "2025-02-28"]) == 0  # idempotent re-run
-    kpi = spark.read.parquet(os.path.join(wh, "fct_renewable_kpi"))
+    kpi = published(spark, wh, "fct_renewable_kpi")
     days = sorted(r[0].isoformat() for r in kpi.select("date_key").distinct().collect())
     assert days == ["2025-02-26", "2025-02-27", "2025-02-28"]
     assert kpi.groupBy("date_key", "country_code").count().where(F.col("count") > 1).count() == 0

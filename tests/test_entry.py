@@ -35,3 +35,23 @@ def test_query_matches_oracle(spark, con, name):
     o_cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(o_cols)
     assert rows_of(df.columns, s_rows) == rows_of(o_cols, res.fetchall())
+
+
+def test_entry_without_the_text_operators(tmp_path):
+    """In a copy that lacks their folders, with and without the pipeline's file, the entry names the other queries."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    copy = tmp_path / "copy"
+    copy.mkdir()
+    shutil.copytree(f"{root}/gridmix", copy / "gridmix", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    ask = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), 'pipeline' in e.queries())"
+    for files in (["__spark_entry__.py"], ["__spark_entry__.py", "corpus_pipeline.py"]):
+        for f in files:
+            shutil.copy(f"{root}/{f}", copy)
+        out = subprocess.run([sys.executable, "-c", ask], cwd=copy, env={**os.environ, "PYTHONPATH": ""}, capture_output=True, text=True)
+        assert out.returncode == 0, out.stderr
+        assert out.stdout.split() == [str(len(QUERIES)), str(len(ORACLE)), "False"]
