@@ -2,9 +2,10 @@
 
 A page is cut into text blocks at the tags that break lines.  A block is described by its words, the share of them inside
 links, the same of its two neighbours, and whether it lies inside an article or inside a part that is named as
-something else (menu, footer, advert, comments ...).  Inside an article only whole class names and roles name such a part: ids and
-headings there speak of its matter.  A form that holds an article, or all of the page, is not such a part.  A decision tree says which blocks are main text.  It is trained
-on the small labelled table below, every time, in a few milliseconds.
+something else (menu, footer, advert, comments ...).  Where a page has no element for its article, words and link
+densities decide.  Inside an article only class names and roles that are or begin with such a word name such a part, or any name of
+adverts, notices and comments: other ids, and headings, speak of its matter.  A form that holds an article, or all of the page, is not such a part.  A decision tree says which blocks are main text.  It is trained
+on the small labelled table below and on the same pages without their elements for the article, every time, in a few milliseconds.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined by a line feed
 in page order.  Nothing else is dropped or cut.
@@ -50,6 +51,9 @@ HINTS = ("ad ads advert advertisement adverts alert banner breadcrumb breadcrumb
          "contentinfo cookie cookies copyright dialog disqus footer gdpr login menu modal nav navbar navigation newsletter "
          "notice notices popup promo related replies reply respond search share sharing sidebar signup social sponsor "
          "sponsored subscribe toolbar widget").split()
+#: Those of them that never speak of an article's own matter: inside an article they tell in any class name and in ids too.
+NEVER_MATTER = frozenset("ad ads advert advertisement adverts comment comments consent cookie cookies disqus gdpr newsletter popup promo "
+                         "signup sponsor sponsored subscribe".split())
 #: Words that add nothing to such a word in the same class name ("comments-area").
 PLAIN = ("area article articles bar block box button buttons container content entry form inner link links list page post posts "
          "section site story wrapper").split()
@@ -143,6 +147,8 @@ class _Open:
     names: list[str] = field(default_factory=list)
     article: list[bool] = field(default_factory=list)
     other: list[bool] = field(default_factory=list)
+    linked: list[bool] = field(default_factory=list)
+    headed: list[bool] = field(default_factory=list)
     forms: list[tuple[int, ...]] = field(default_factory=list)
     n_forms: int = 0
     page_forms: set[int] = field(default_factory=set)
@@ -164,8 +170,10 @@ class _Open:
                     continue
                 if not (inside or body or name in ARTICLE):
                     elsewhere |= not words.isdisjoint(HINTS) or not words.isdisjoint(PAGE_HINTS)
-                elif a != "id" and not (inside and name in HEADINGS):
-                    elsewhere |= not words.isdisjoint(HINTS) and words.issubset(HINTS_AND_PLAIN)
+                elif not (inside and name in HEADINGS):
+                    first = _PARTS.search(one)
+                    elsewhere |= (not words.isdisjoint(NEVER_MATTER) or a != "id" and not words.isdisjoint(HINTS) and (
+                        words.issubset(HINTS_AND_PLAIN) or inside and first[0] in HINTS))
         if name == "form":
             self.n_forms += 1
             forms += (self.n_forms,)
@@ -176,10 +184,12 @@ class _Open:
         self.names.append(name)
         self.article.append(inside or name in ARTICLE or body)
         self.other.append(astray or says)
+        self.linked.append(name == "a" or bool(self.linked and self.linked[-1]))
+        self.headed.append(name in HEADINGS or bool(self.headed and self.headed[-1]))
         self.forms.append(forms)
 
     def close(self, at: int) -> None:
-        del self.names[at:], self.article[at:], self.other[at:], self.forms[at:]
+        del self.names[at:], self.article[at:], self.other[at:], self.linked[at:], self.headed[at:], self.forms[at:]
 
     def last(self, name: str, within: tuple | list = ()) -> int:
         """Position of the innermost open element of that name, -1 if there is none inside these scopes."""
@@ -199,7 +209,7 @@ class _Open:
         if text:
             self.done.append(Block(text, text.count(" ") + 1, sum(len(t.split()) for t, linked in parts if linked),
                                    bool(self.article and self.article[-1]), bool(self.other and self.other[-1]),
-                                   any(n in HEADINGS for n in self.names[-3:]), self.forms[-1] if self.forms else ()))
+                                   bool(self.headed and self.headed[-1]), self.forms[-1] if self.forms else ()))
 
     def end(self) -> list[Block]:
         """The blocks; those in a form that doesn't hold the page belong to something else."""
@@ -217,7 +227,7 @@ def blocks(html: str) -> list[Block]:
     while True:
         m = _TOKEN.search(html, at)
         if (m.start() if m else len(html)) > at:
-            page.parts.append((html[at:m.start() if m else len(html)], "a" in page.names[-4:]))
+            page.parts.append((html[at:m.start() if m else len(html)], bool(page.linked and page.linked[-1])))
         if m is None:
             break
         at, name = m.end(), (m["name"] or "").lower()
@@ -306,6 +316,8 @@ def train(x: np.ndarray, y: np.ndarray, depth: int = 8) -> Tree:
                 train(x[~below], y[~below], depth - 1))
 
 
+#: Words of main text that a page needs to tell something without an element for its article.
+PLAIN_WORDS = 20
 _LONG = "A paragraph tells of the matter at some length, in whole sentences, and goes on for a while. " * 2
 _MID = "This sentence stands for the usual text of a page."
 _LINKS = "<ul><li><a href='/a'>Start</a></li><li><a href='/b'>News of the day</a></li><li><a href='/c'>About</a></li></ul>"
@@ -350,8 +362,16 @@ LABELLED = (
 )
 
 
+def plain(pages=LABELLED) -> tuple:
+    """The pages with their ``article`` and ``main`` elements made ``div``; those whose article is a few words only would then
+    tell nothing, and are left out."""
+    told = [page for page in pages if sum(len(re.sub(r"<[^>]*>", " ", m).split()) for m, label in page if label) >= PLAIN_WORDS]
+    names = {0: "article|main", 1: "article|main|header"}  # an article's own header would be the page's
+    return tuple(tuple((re.sub(rf"(</?)(?:{names[label]})\b", r"\1div", m), label) for m, label in page) for page in told)
+
+
 def labelled(pages=LABELLED) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of the table's blocks.  A part of the markup has a run of blocks with its label."""
+    """Features and labels of the pages' blocks.  A part of the markup has a run of blocks with its label."""
     xs, ys = [], []
     for page in pages:
         cuts, so_far = [0], ""
@@ -365,7 +385,7 @@ def labelled(pages=LABELLED) -> tuple[np.ndarray, np.ndarray]:
 
 @lru_cache(maxsize=1)
 def tree() -> Tree:
-    return train(*labelled())
+    return train(*labelled(LABELLED + plain()))
 
 
 def main_text(html: str | None, model: Tree) -> str:
