@@ -19,7 +19,8 @@ from gridmix import dims, session, sinks
 from gridmix import functions as gf
 from gridmix import operators as ops
 from gridmix.operators import quality as dq
-from gridmix.plans.catalog import query
+from gridmix.plans import reports
+from gridmix.plans.catalog import ORACLE, query
 from gridmix.sinks.versions import SLICE, Store, matching, new_run
 from gridmix.sources import cube, load_gen_raw, load_weather_raw, weather
 from gridmix.sources import xml as bx
@@ -329,6 +330,13 @@ def published(spark: SparkSession, warehouse: str, table: str, start=None, end=N
     return Store(spark, warehouse).read(table, within=_narrow(start, end, countries))
 
 
+def latest_day(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
+    """The rows of a published table's newest day.  The manifest knows which that is: no other day is read."""
+    store = Store(spark, warehouse)
+    last = store.current(table).agg(F.max("date_key")).first()[0]
+    return store.read(table, within=lambda df: df.where(F.col("date_key").eqNullSafe(F.lit(last).cast("date"))))
+
+
 def publish_marts(spark: SparkSession, silver_path: str, warehouse: str, start=None, end=None, gate: bool = True,
                   gate_checks=declared_checks, weather_path: str | None = None, countries="ALL", on_failure: str = "stop",
                   digests: DataFrame | None = None, slices: DataFrame | None = None, run: str | None = None) -> Models:
@@ -543,6 +551,15 @@ def q_publish_one_country(spark, sf_dir):
     return published(spark, at.warehouse, "fct_renewable_kpi")
 
 
+@query("overview_published", ORACLE["overview_kpis"])
+def q_overview_published(spark, sf_dir):
+    """The overview of the newest day from the published mart, of which only that day's rows are read."""
+    at = Layout(session.work_dir(spark, "warehouse"))
+    ingest(load_gen_raw(spark, sf_dir), at.silver_generation)
+    publish_marts(spark, at.silver_generation, at.warehouse, gate_checks=key_integrity_checks)
+    return reports.overview_kpis(latest_day(spark, at.warehouse, "fct_renewable_kpi"))
+
+
 def _quarantine_sql() -> str:
     """Failures of the declared tests by slice, from their definitions; slices without one are published."""
     from gridmix.plans import quality_checks as qc

@@ -78,6 +78,18 @@ def q_append_missing(spark, sf_dir):
     return spark.read.parquet(path).groupBy("country", "domain").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query("partitioned_write", o.with_ctes(*o.IDG_CHAIN, select="select * from idg where country_code = 'FR' and energy_source like 'Wind%'"))
+def q_partitioned_write(spark, sf_dir):
+    """Daily generation written in folders by country and source, overwritten by the same, and read for one country's wind: the
+    folders of others aren't opened."""
+    path = session.work_dir(spark, "partitioned")
+    df = session.materialize(m.daily(spark, sf_dir), "daily")
+    for _ in range(2):
+        sinks.write_partitioned(df, path, ["country_code", "energy_source"])
+    wind = (F.col("country_code") == "FR") & F.col("energy_source").startswith("Wind")
+    return spark.read.schema(df.schema).parquet(path).where(wind)
+
+
 @query("saved_table", o.with_ctes(*o.KPI_CHAIN, select="""select country_code, max(renewable_pct) as best_pct,
   arg_max(date_key, {'pct': renewable_pct, 'early': -epoch(date_key)}) as best_day from kpi
   where renewable_pct is not null group by country_code"""))

@@ -166,3 +166,14 @@ def test_work_grid_edges(spark):
     got = [tuple(r) for r in work_grid.requests(whole).collect()]
     assert got == [("GR", "wind", "monthly", dt.date(2025, 2, 1), dt.date(2025, 2, 28), 15)]
 
+
+
+def test_the_overview_reads_one_day(spark, tmp_dir):
+    silver, wh = os.path.join(tmp_dir, "s"), os.path.join(tmp_dir, "w")
+    inc.ingest(raw_rows(spark), silver)
+    inc.publish_marts(spark, silver, wh, "2025-03-01", "2025-03-01", gate_checks=inc.key_integrity_checks)
+    inc.publish_marts(spark, silver, wh, "2025-03-02", "2025-03-02", gate_checks=inc.key_integrity_checks)
+    latest = inc.latest_day(spark, wh, "fct_renewable_kpi")
+    assert slices(latest) == [("2025-03-02", "FR"), ("2025-03-02", "GR")]
+    runs = {f.split("run=")[1].split("/")[0] for f in latest.inputFiles() if "run=" in f}
+    assert len(runs) == 1  # the other day's run isn't opened
