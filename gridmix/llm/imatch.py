@@ -17,6 +17,8 @@ Every text is compared with the next one by descending id and with itself, its l
 one's beginning.  Rows are dealt out by ranges of ids and sorted there.  The first row of each range also goes to the
 range before it, so every row finds its next one in its own task; texts are moved once.
 
+Ranges are of ids, so rows that share an id lie in one range, however many they are.
+
 Defined results: a null text is empty; equal ids are ordered by text, nulls last of all; a single row is its
 own next one; a text with too few terms in the lexicon has a fingerprint over all its terms only; where no subset keeps a
 term of either text, they are alike if their terms are the same; an empty table gives an empty result; further columns are
@@ -27,11 +29,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridmix.llm import common
 
@@ -109,8 +113,9 @@ class Fingerprinter:
     """Fingerprints of texts over a lexicon, its terms in order."""
 
     def __init__(self, words: list[bytes], levels: tuple[int, ...] = LEVELS):
+        self.size = len(words)
         self.number = {w: i for i, w in enumerate(words)}
-        self.others: dict[bytes, int] = {}  # rows of terms outside the lexicon, after the lexicon's
+        self.place = dict(self.number)  # rows of all terms at hand: the lexicon's, then remembered others
         self.hashes = np.zeros(len(words) + REMEMBERED, np.uint64)
         self.keeps = np.zeros((len(self.hashes), len(levels)), bool)
         self.seeds = np.array([_seed(j) for j in range(len(levels))], np.uint64)
@@ -125,35 +130,41 @@ class Fingerprinter:
 
     def _rows(self, some: list[bytes]) -> np.ndarray:
         """Rows of terms, TOGETHER at most; those of neither the lexicon nor memory are put there."""
-        number, others = self.number, self.others
-        new = [t for t in some if t not in number and t not in others]
-        if len(others) + len(new) > REMEMBERED:
-            others.clear()
-            new = [t for t in some if t not in number]
-        if new:
-            at = len(number) + len(others)
+        rows = list(map(self.place.get, some))
+        if None in rows:
+            if len(self.place) + rows.count(None) > len(self.hashes):
+                self.place = dict(self.number)
+                rows = list(map(self.place.get, some))
+            new, at = [t for t, r in zip(some, rows) if r is None], len(self.place)
             self._put(at, new)
-            others.update(zip(new, range(at, at + len(new))))
-        return np.array([number[t] if t in number else others[t] for t in some], np.int64)
+            self.place.update(zip(new, range(at, at + len(new))))
+            rows = list(map(self.place.get, some))
+        return np.array(rows, np.int64)
 
     def __call__(self, text: str) -> list[str]:
         """Hashes of the lexicon's subsets, of the same subsets over all terms, and one hash of all terms.
 
         NOTHING where a subset keeps no term, and for all of the lexicon's where that holds too few of the terms.
         """
-        of = terms(text)
-        number = self.number
-        kept = np.array(sorted(number[t] for t in of if t in number), np.int64)  # in the terms' order
-        hashes, keeps = self.hashes[kept], self.keeps[kept]
-        out = [NOTHING] * keeps.shape[1]
-        if len(kept) * FEW >= len(of):
-            for j in np.flatnonzero(keeps.any(axis=0)):
-                out[j] = f"{_hash(hashes[keeps[:, j]].tobytes()) & 0xFFFFFFFF:08x}"
-        return out + self._whole(list(of))
-
-    def _whole(self, of: list[bytes]) -> list[str]:
-        """Hashes of what the subsets keep of all terms, and of all: sums of the terms' hashes, so without an order."""
-        sums, every = np.zeros((2, self.keeps.shape[1])), np.uint64(0)
+        return self.of(self.sums(terms(text)))
+
+    def of(self, told: "Sums") -> list[str]:
+        """The fingerprint of the terms that were summed."""
+        kept = np.sort(told.lexicon)  # in the terms' order
+        out = [NOTHING] * len(self.seeds)
+        if len(kept) * FEW >= told.n:
+            subset, at = np.nonzero(self.keeps[kept].T)  # subset by subset, each in the terms' order
+            data, ends = self.hashes[kept[at]].tobytes(), np.cumsum(8 * np.bincount(subset, minlength=len(out))).tolist()
+            for j, (start, end) in enumerate(zip([0, *ends], ends)):
+                if start < end:
+                    out[j] = f"{_hash(data[start:end]) & 0xFFFFFFFF:08x}"
+        whole = (told.sums[0] % (1 << 32)).astype(">u4").tobytes().hex()
+        return (out + [whole[8 * j:8 * j + 8] if n else NOTHING for j, n in enumerate(told.sums[1].tolist())]
+                + [f"{int(told.every):016x}"])
+
+    def sums(self, of: set[bytes]) -> "Sums":
+        of = list(of)
+        sums, every, lexicon = np.zeros((2, len(self.seeds))), np.uint64(0), []
         for at in range(0, len(of), TOGETHER):
             rows = self._rows(of[at:at + TOGETHER])
             hashes = self.hashes[rows]
@@ -161,8 +172,43 @@ class Fingerprinter:
             sums += np.stack([hashes & np.uint64(0xFFFFFFFF), np.ones(len(rows), np.uint64)]).astype(float) @ self.keeps[rows]
             sums[0] %= 1 << 32
             every = np.add(every, hashes.sum(dtype=np.uint64), dtype=np.uint64)
-        told = sums[0].astype(">u4").tobytes().hex()
-        return [told[8 * j:8 * j + 8] if n else NOTHING for j, n in enumerate(sums[1].tolist())] + [f"{int(every):016x}"]
+            lexicon.append(rows[rows < self.size])
+        return Sums(len(of), sums, every, np.concatenate(lexicon) if lexicon else np.zeros(0, np.int64))
+
+    def prepare(self, text: str) -> "Prepared":
+        """The fingerprint of a text, with what its edited text shares: terms that end before the last third begins."""
+        of, head = terms(text), text[:len(text) - len(text) // 3].encode("utf-8", "surrogatepass").lower()
+        words = head.split()
+        stay = set(words if head[-1:].isspace() else words[:-1])
+        shared = self.sums(stay)
+        return Prepared(text, stay, shared, self.of(shared + self.sums(of - stay)))
+
+    def edited(self, own: "Prepared", following: str) -> tuple[str, list[str]]:
+        """The edited text and its fingerprint."""
+        third = len(own.text) // 3
+        text = own.text[:len(own.text) - third] + following[:third]
+        return text, self.of(own.shared + self.sums(terms(text) - own.stay))
+
+
+class Sums(NamedTuple):
+    """Of a set of terms: their number, per subset the sum of its terms' hashes and their number, the sum of all hashes, and the rows of
+    those in the lexicon.  None depends on an order, and those of disjoint sets add up."""
+
+    n: int
+    sums: np.ndarray
+    every: np.uint64
+    lexicon: np.ndarray
+
+    def __add__(self, other: "Sums") -> "Sums":
+        return Sums(self.n + other.n, self.sums + other.sums, np.add(self.every, other.every, dtype=np.uint64),
+                    np.concatenate([self.lexicon, other.lexicon]))
+
+
+class Prepared(NamedTuple):
+    text: str
+    stay: set[bytes]
+    shared: Sums
+    fingerprint: list[str]
 
 
 def likeness(a: list[str], b: list[str]) -> float:
@@ -191,51 +237,56 @@ def _compare(batches: Iterator[pa.RecordBatch], words: "F.Broadcast", kind: pa.D
     for batch in batches:
         fingerprinter = fingerprinter or Fingerprinter(words.value)
         out = []
-        for id, text, span, last in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "span", "halo"))):
-            now = (id, text, span, last, fingerprinter(text))
-            if held is not None and held[2] == span:
-                out.append(_row(held, now, fingerprinter))
+        for id, text, span in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "span"))):
+            now = (id, span, fingerprinter.prepare(text))
+            if held is not None and held[1] == span:
+                out.append(_row(held[0], held[2], now[2], fingerprinter))
             held = now
         yield pa.RecordBatch.from_pylist(out, schema)
 
 
-def _row(own, following, fingerprinter) -> dict:
-    id, text, _, _, print_ = own
-    third = len(text) // 3
-    edited = text[:len(text) - third] + following[1][:third]
-    other = fingerprinter(edited)
-    return {"id": id, "n_chars": len(text),
+def _row(id, own: Prepared, following: Prepared, fingerprinter: Fingerprinter) -> dict:
+    edited, other = fingerprinter.edited(own, following.text)
+    return {"id": id, "n_chars": len(own.text),
             "edited_sha256": hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
-            "fingerprint": ",".join(print_), "edited_fingerprint": ",".join(other),
-            "near_edited": likeness(print_, other), "near_next": likeness(print_, following[4])}
+            "fingerprint": ",".join(own.fingerprint), "edited_fingerprint": ",".join(other),
+            "near_edited": likeness(own.fingerprint, other), "near_next": likeness(own.fingerprint, following.fingerprint)}
 
 
 def with_next(docs: DataFrame, id: str = "doc_id") -> DataFrame:
-    """Rows (span, halo, id, text) in which every row that is no halo is followed by its next one."""
+    """Rows (span, halo, id, text) in which every row that is no halo is followed by its next one.
+
+    The plan's size doesn't depend on the number of ranges: their cuts, and each range's first row, are small tables."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     n = common.partitions(spark)
     # ranges of ids from quantiles: bounded by the number of partitions
     cuts = rows.agg(F.percentile_approx("id", [i / n for i in range(1, n)], 10_000)).first()[0] if n > 1 else None
-    cuts = sorted(set(cuts or []), reverse=True)
-    span = F.lit(0)
-    for c in cuts:  # descending ids: a range begins below each cut
-        span = span + F.coalesce(F.col("id") < F.lit(c), F.lit(True)).cast("int")
-    rows = rows.withColumn("span", span)
-    firsts = rows.groupBy("span").agg(F.max("id").alias("id"), F.min(F.col("id").isNull()).alias("none"))
-    spans = sorted((r.span, r.id) for r in firsts.collect())  # a row per range
+    cuts = np.array(sorted(set(cuts or [])))
+
+    @F.arrow_udf("int")
+    def span_of(ids: pa.Array) -> pa.Array:
+        """Descending ids: a range begins below each cut; null ids are last."""
+        known = ids.is_valid().to_numpy(zero_copy_only=False)
+        spans = np.full(len(ids), len(cuts), np.int32)
+        spans[known] = len(cuts) - np.searchsorted(cuts, ids.drop_null().to_numpy(zero_copy_only=False), "right")
+        return pa.array(spans)
+
+    rows = rows.withColumn("span", span_of("id")) if len(cuts) else rows.withColumn("span", F.lit(0))
+    firsts = rows.groupBy("span").agg(F.max("id").alias("id")).collect()  # a row per range
+    spans = sorted((r.span, r.id) for r in firsts)
     if not spans:
         return rows.select("span", F.lit(False).alias("halo"), "id", "text")
-    before = {s: spans[i - 1][0] for i, (s, _) in enumerate(spans)}
-    # first rows: the largest id of the range, by text where rows share it
-    first = F.lit(False)
-    for s, i in spans:
-        first = first | ((F.col("span") == s) & F.col("id").eqNullSafe(F.lit(i)))
-    heads = (rows.filter(first).groupBy("span").agg(F.min(F.struct("text", "id")).alias("row"))
-             .select(F.element_at(F.create_map(*[F.lit(x) for s, p in before.items() for x in (s, p)]), F.col("span"))
-                     .alias("span"), F.lit(True).alias("halo"), F.col("row.id").alias("id"), F.col("row.text").alias("text")))
+    # first rows: the largest id of the range, by text where rows share it; they also go to the range before
+    places = [(s, i, spans[k - 1][0]) for k, (s, i) in enumerate(spans)]
+    places = F.broadcast(spark.createDataFrame(places, T.StructType([
+        T.StructField("span", T.IntegerType()), T.StructField("first", rows.schema["id"].dataType),
+        T.StructField("before", T.IntegerType())])))
+    heads = (rows.join(places, "span").filter(F.col("id").eqNullSafe(F.col("first"))).groupBy("before", "id")
+             .agg(F.min("text").alias("text")).select(F.col("before").alias("span"), F.lit(True).alias("halo"), "id", "text"))
     every = rows.select("span", F.lit(False).alias("halo"), "id", "text").unionByName(heads)
-    return every.repartition(n, "span").sortWithinPartitions("span", "halo", F.desc_nulls_last("id"), "text")
+    return (every.repartitionById(len(cuts) + 1, F.col("span"))
+            .sortWithinPartitions("span", "halo", F.desc_nulls_last("id"), "text"))
 
 
 def compare(docs: DataFrame, id: str = "doc_id") -> DataFrame:

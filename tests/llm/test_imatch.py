@@ -1,5 +1,6 @@
 import hashlib
 import statistics
+import time
 
 import pytest
 
@@ -96,3 +97,20 @@ def test_long_texts_in_parts(monkeypatch):
     monkeypatch.setattr(im, "TOGETHER", 7)
     monkeypatch.setattr(im, "REMEMBERED", 20)
     assert im.Fingerprinter([b"w1"])(text) == whole and im.likeness(f("w3 w3"), f("w4")) == 0 and im.likeness(f(""), f(" ")) == 1
+
+
+def test_planning_does_not_grow_with_ranges(spark):
+    """The plan is the same size for few and for many ranges."""
+    frame = spark.range(5000).selectExpr("id as doc_id", "concat('w', id % 977, ' and w', id % 13) as text")
+    before, sizes = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (8, 211):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            start = time.perf_counter()
+            rows = im.with_next(frame)
+            sizes.append(len(rows._jdf.queryExecution().optimizedPlan().toString()))
+            assert time.perf_counter() - start < 60
+            assert rows.filter("not halo").count() == 5000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sizes[1] < 1.2 * sizes[0]
