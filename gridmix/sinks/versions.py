@@ -84,8 +84,14 @@ class Store:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(f"{self.root}/_manifest")
 
+    def versions(self) -> list[int]:
+        """Versions that were begun; one that names nothing, or was never finished, counts too."""
+        names = [f.rpartition("/")[2] for f in session.children(self.spark, f"{self.root}/_manifest")]
+        return [int(n.partition("=")[2]) for n in names if n.startswith("version=")]
+
     def version(self) -> int:
-        return self.manifest().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+        """The last version, 0 before the first."""
+        return max(self.versions(), default=0)
 
     def has(self, table: str) -> bool:
         """Whether a run ever wrote the table."""
@@ -129,8 +135,7 @@ class Store:
         versions can't be read any more.  Not to be run beside a publish.  Returns the number of folders removed."""
         state = session.materialize(self.current(), "manifest")
         keep = {(r.table, r.run) for r in state.select("table", "run").distinct().collect()}  # a row per table and run
-        before = [int(f.rpartition("=")[2]) for f in session.children(self.spark, f"{self.root}/_manifest")
-                  if f.rpartition("/")[2].startswith("version=")]
+        before = self.versions()
         self.commit(state)
         for v in before:
             session.delete(self.spark, f"{self.root}/_manifest/version={v}")

@@ -168,6 +168,15 @@ def test_work_grid_edges(spark):
 
 
 
+def test_a_version_that_names_nothing(spark, tmp_dir):
+    store = Store(spark, os.path.join(tmp_dir, "w"))
+    none = spark.createDataFrame([], "table string, date_key date, country_code string, run string, rows long")
+    assert [store.commit(none), store.commit(none), store.version()] == [1, 2, 2]
+    one = store.write("t", "r1", spark.createDataFrame([(None, "GR", 1)], "date_key date, country_code string, v int"))
+    rows = store.slices("t", one).withColumn("run", F.lit("r1"))
+    assert store.commit(rows) == 3 and [tuple(r) for r in store.read("t").collect()] == [(None, "GR", 1)]
+
+
 def test_the_overview_reads_one_day(spark, tmp_dir):
     silver, wh = os.path.join(tmp_dir, "s"), os.path.join(tmp_dir, "w")
     inc.ingest(raw_rows(spark), silver)
