@@ -12,8 +12,8 @@ Counting and looking up are one exchange.  Documents are dealt out by hash; each
 once, with its count, to the part that owns its hash (parts are ranges of hashes; keys travel sorted, as
 differences).  A part adds up what all groups sent and answers each group in the order in which it asked.  A
 frequent word or a text with many copies therefore costs one key per group, and no table of the vocabulary exists in any
-one place.  Words travel as 64-bit hashes; bigrams, which are many and cost most, as 56-bit ones (of 10 billion
-different bigrams, one in 7 million would share a hash).  Groups and parts are as many as shuffle partitions, so both stay small as the input grows.
+one place.  Words and bigrams travel as 64-bit hashes.  A group holds ``SPLIT_BYTES`` of text and a part answers for
+``PART_BYTES`` of it, about, so both stay small as the input grows; there are as many as shuffle partitions at least.
 
 Defined results: a null text is empty, one end token; a null id counts as training; rows that repeat are
 scored and counted each; without training tokens only the uniform part is left; an empty table gives an empty
@@ -43,8 +43,8 @@ PRIOR = 0.1
 SEED = 6
 #: The end of a text as a token; words hold no space.
 END = b" end"
-#: Bits of the hashes of words and of bigrams.
-BITS = (64, 56)
+#: Bytes of text in a group, and bytes of all groups' text that a part answers for, about.
+SPLIT_BYTES, PART_BYTES = 32 << 20, 128 << 20
 
 _REQUEST = "part int, split int, n int, sizes binary, keys binary, counts binary"
 _REPLY = "split int, part int, counts binary, tokens long, words long"
@@ -102,7 +102,7 @@ class Tokens:
         before[0] = end  # a text begins where one ended
         self.word_keys, number = np.unique(hashes, return_inverse=True)
         self.words = number[token]
-        pairs = _mix(hashes[before], hashes[token]) >> np.uint64(64 - BITS[1])
+        pairs = _mix(hashes[before], hashes[token])
         del before, token
         self.pair_keys, self.pairs = np.unique(pairs, return_inverse=True)
 
@@ -110,18 +110,18 @@ class Tokens:
         return np.bincount(at, weights=np.repeat(weight, self.lengths), minlength=n).astype(np.int64)
 
 
-def _bounds(keys: np.ndarray, bits: int, parts: int) -> np.ndarray:
+def _bounds(keys: np.ndarray, parts: int) -> np.ndarray:
     """Where each part's range of hashes begins among sorted keys, and the end."""
-    edges = np.array([(p << bits) // parts for p in range(1, parts)], np.uint64)
+    edges = np.array([(p << 64) // parts for p in range(1, parts)], np.uint64)
     return np.concatenate([[0], np.searchsorted(keys, edges, "left"), [len(keys)]]).astype(np.int64)
 
 
 def _pack(values: np.ndarray) -> bytes:
-    """Counts, low bytes first and together, then the rarer higher ones, compressed."""
+    """Numbers in as few bytes as hold them all, low bytes first and together, then the higher ones, compressed."""
     import zstandard
 
-    width = 4 if values.max(initial=0) < 2 ** 32 else 8
-    planes = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T[:width]
     return zstandard.compress(np.ascontiguousarray(planes).tobytes(), 3)
 
 
@@ -129,29 +129,23 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
     import zstandard
 
     raw = np.frombuffer(zstandard.decompress(data), np.uint8)
-    if not n:
-        return np.empty(0, np.int64)
-    width = len(raw) // n
-    return np.ascontiguousarray(raw.reshape(width, n).T).view(f"<u{width}").reshape(-1).astype(np.int64)
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        out[:, :len(raw) // n] = raw.reshape(-1, n).T
+    return out.view(np.int64).reshape(-1)
 
 
 def _keys(sorted_keys: np.ndarray) -> bytes:
-    """Sorted distinct hashes as differences of as few bytes as hold them all."""
-    gaps = np.diff(sorted_keys, prepend=np.uint64(0))
-    first, gaps = (gaps[:1], gaps[1:]) if len(gaps) else (gaps, gaps)
-    width = max(1, (int(gaps.max(initial=0)).bit_length() + 7) // 8)
-    return first.tobytes() + bytes([width]) + gaps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    """Sorted distinct hashes: how many, the first one, then the packed differences."""
+    return np.uint64(len(sorted_keys)).tobytes() + sorted_keys[:1].tobytes() + _pack(np.diff(sorted_keys))
 
 
 def _hashes(data: bytes) -> np.ndarray:
-    if len(data) < 9:
+    n = int(np.frombuffer(data, np.uint64, 1)[0])
+    if not n:
         return np.empty(0, np.uint64)
-    width = data[8]
-    few = np.frombuffer(data, np.uint8, offset=9).reshape(-1, width)
-    gaps = np.zeros((len(few) + 1, 8), np.uint8)
-    gaps[0] = np.frombuffer(data, np.uint8, 8)
-    gaps[1:, :width] = few
-    return np.cumsum(gaps.view(np.uint64).reshape(-1), dtype=np.uint64)
+    gaps = _unpack(data[16:], n - 1).view(np.uint64)
+    return np.cumsum(np.concatenate([np.frombuffer(data, np.uint64, 1, 8), gaps]), dtype=np.uint64)
 
 
 def _ask(table: pa.Table, parts: int) -> pa.Table:
@@ -160,8 +154,8 @@ def _ask(table: pa.Table, parts: int) -> pa.Table:
     held, deleted = (np.array(table.column(c).to_pylist(), bool) for c in ("held_out", "deleted"))
     split = table.column("split")[0].as_py()
     rows, sides = [], []
-    for keys, at, bits in zip((t.word_keys, t.pair_keys), (t.words, t.pairs), BITS):
-        sides.append((keys, _bounds(keys, bits, parts), t.counts(at, len(keys), ~held), t.counts(at, len(keys), deleted)))
+    for keys, at in ((t.word_keys, t.words), (t.pair_keys, t.pairs)):
+        sides.append((keys, _bounds(keys, parts), t.counts(at, len(keys), ~held), t.counts(at, len(keys), deleted)))
     for p in range(parts):
         cut = [(k[b[p]:b[p + 1]], c[b[p]:b[p + 1]], d[b[p]:b[p + 1]]) for k, b, c, d in sides]
         keys = [_keys(k) for k, _, _ in cut]
@@ -209,7 +203,7 @@ def _profile(docs: pa.Table, replies: pa.Table, parts: int, schema: pa.Schema) -
     if not docs.num_rows:
         return schema.empty_table()
     t = Tokens(docs.column("text").to_pylist())
-    bounds = [_bounds(k, bits, parts) for k, bits in zip((t.word_keys, t.pair_keys), BITS)]
+    bounds = [_bounds(k, parts) for k in (t.word_keys, t.pair_keys)]
     got = {r["part"]: r for r in replies.to_pylist()}
     found = [np.empty((2, len(k)), np.int64) for k in (t.word_keys, t.pair_keys)]
     for p in range(parts):
@@ -238,15 +232,16 @@ def _profile(docs: pa.Table, replies: pa.Table, parts: int, schema: pa.Schema) -
 def profiles(docs: DataFrame, id: str = "doc_id") -> DataFrame:
     """One row per document: base score and packed counts, all that the model's score needs."""
     spark = docs.sparkSession
-    n = common.partitions(spark)
-    rows = flagged(docs, n, id)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    splits, parts = (max(common.partitions(spark), -(-size // share)) for share in (SPLIT_BYTES, PART_BYTES))
+    rows = flagged(docs, splits, id)
     schema = pa.schema([("id", _arrow_type(rows, "id")), ("held_out", pa.bool_()), ("deleted", pa.bool_()),
                         ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()),
                         ("train_words", pa.int64()), ("base_score", pa.float64()), ("counts", pa.binary())])
-    asked = rows.groupBy("split").applyInArrow(lambda t: _ask(t, n), _REQUEST)
+    asked = rows.groupBy("split").applyInArrow(lambda t: _ask(t, parts), _REQUEST)
     answered = asked.groupBy("part").applyInArrow(_answer, _REPLY)
     out = rows.groupBy("split").cogroup(answered.groupBy("split")).applyInArrow(
-        lambda left, right: _profile(left, right, n, schema),
+        lambda left, right: _profile(left, right, parts, schema),
         _PROFILE.format(id=rows.schema["id"].dataType.simpleString()))
     return common.materialize(out, "profiles")
 
