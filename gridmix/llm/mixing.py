@@ -26,9 +26,6 @@ WEIGHTS = (1, 2, 3)
 MOST = 3
 TEMPER = 0.25
 SEED = 20
-#: Rounds in which documents at their limit hand on to others of their source.  Where rounds end early, the
-#: order sample still fills the source up to its target.
-ROUNDS = 8
 
 
 def word_count(text: Column) -> Column:
@@ -72,25 +69,27 @@ def targets(rows: DataFrame, weights: tuple = WEIGHTS) -> DataFrame:
 
 
 def expected(rows: DataFrame, sources: DataFrame, affinity: Column) -> DataFrame:
-    """Adds the source's figures and ``copies``, the expected copies of a document of any size."""
+    """Adds the source's figures and ``copies``, the expected copies of a document of any size.
+
+    Documents at their limit hand on to others of their source, in rounds.  Rates never fall, so documents only ever reach
+    their limit, and the rounds end when none does.
+    """
     rows = rows.join(sources, ["nosource", "src"]).withColumn("affinity", affinity)
-    rate = None
-    for _ in range(ROUNDS):
+    rate, done = None, False
+    while not done:
         known = rows if rate is None else rows.join(rate, ["nosource", "src"])
         at_limit = F.lit(False) if rate is None else F.col("rate") * F.col("affinity") >= MOST
         room = F.first("target") - F.coalesce(F.sum(F.when(at_limit, F.col("size") * float(MOST))), F.lit(0.0))
         open_ = F.sum(F.when(~at_limit, F.col("affinity") * F.col("size")))
+        share = F.coalesce(F.greatest(room, F.lit(0.0)) / F.nullif(open_, F.lit(0.0)), F.lit(float("inf")))
         after = known.groupBy("nosource", "src").agg(
-            F.coalesce(F.greatest(room, F.lit(0.0)) / F.nullif(open_, F.lit(0.0)),
-                       F.lit(float("inf"))).alias("rate"),
+            (share if rate is None else F.greatest(share, F.first("rate"))).alias("rate"),
             F.count(F.when(at_limit, 1)).alias("full"))
         after = common.materialize(after, "rates")
         done = rate is not None and after.join(
             rate.select("nosource", "src", F.col("full").alias("before")), ["nosource", "src"]
         ).filter("full <> before").limit(1).count() == 0
         rate = after
-        if done:
-            break
     return rows.join(rate.select("nosource", "src", "rate"), ["nosource", "src"]).withColumn(
         "copies", F.least(F.lit(float(MOST)), F.col("rate") * F.col("affinity")))
 

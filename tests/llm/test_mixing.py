@@ -1,6 +1,7 @@
 import re
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from llm_data import DOCS, EDGES, SF
@@ -88,3 +89,13 @@ def test_documents_are_repeated(spark, docs):
     assert out.columns == frame.columns
     want = sum((r.taken // r.size if r.size else 1) for r in mixing.digest(mixing.mix(frame)).collect())
     assert out.count() > 0 and abs(out.count() - want) <= 3
+
+
+def test_rounds_go_on_until_no_document_reaches_its_limit(spark, docs):
+    """Affinities that fall by 100 let one document reach its limit a round.  19 do, at 30 words each; the next one takes
+    99 of 100 parts of the 30 words that are left."""
+    rows = docs([(i, " ".join(["w"] * 10)) for i in range(60)])
+    sized = mixing.sizes(rows)
+    out = mixing.expected(sized, mixing.targets(sized), F.pow(F.lit(100.0), -F.col("id"))).collect()
+    assert sum(r.copies * r["size"] for r in out) == pytest.approx(600)
+    assert sorted(r.id for r in out if r.copies == 3) == list(range(19))
