@@ -89,12 +89,17 @@ def prefix_sums(df: DataFrame, group: list[str], order: list, value: str, out: s
             .drop("part_", "inside_", "offset_"))
 
 
+def dealt_join(rows: DataFrame, per_key: DataFrame, key: str, by: str, how: str = "inner") -> DataFrame:
+    """Join with a table of one row per key, a key's rows dealt over SALTS tasks by another column's hash."""
+    salt = F.pmod(F.xxhash64(F.col(f"`{by}`")), F.lit(SALTS)).cast("int")
+    dealt = per_key.withColumn("llm_salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = rows.withColumn("llm_salt_", salt).join(dealt.hint("merge"), [key, "llm_salt_"], how)  # grows with the data
+    return joined.drop("llm_salt_")
+
+
 def _to_least(pairs: DataFrame) -> DataFrame:
-    """(u, v, m): each pair with the least neighbour of u, u's rows dealt over SALTS tasks."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m"))
-    least = least.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return pairs.withColumn("salt_", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(
-        least.hint("merge"), ["u", "salt_"])  # grows with the data: never broadcast
+    """(u, v, m): each pair with the least neighbour of u."""
+    return dealt_join(pairs, pairs.groupBy("u").agg(F.min("v").alias("m")), "u", "v")
 
 
 def connected_components(links: DataFrame) -> DataFrame:

@@ -231,10 +231,12 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int =
     prints = common.materialize(fingerprints(docs, "doc_id", words), "fingerprints")
     nodes = common.materialize(prints.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
     roots = common.connected_components(links(nodes, max_bits, cell_limit))
-    rooted = (nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-              .select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    component = common.materialize(rooted.join(least, "root").select("fp", "component"), "components")
+    rooted = common.materialize(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left"), "rooted")
+    alone, linked = rooted.filter("root is null"), rooted.filter("root is not null")
+    least = linked.groupBy("root").agg(F.min("least").alias("component"))
+    component = alone.selectExpr("fp", "least as component").unionByName(
+        common.dealt_join(linked, least, "root", "fp").select("fp", "component"))  # a component may hold most of the links
+    component = common.materialize(component, "components")
     spark.conf.set(common.ARROW_ROWS, str(common.TEXT_BATCH_ROWS))
     return prints.join(component, "fp")
 

@@ -110,3 +110,11 @@ def test_components_of_a_hub(spark):
     links = spark.createDataFrame([(1000, i) for i in range(1001, 1200)] + [(5, 1100), (2000, 2001), (3, 3)], "a long, b long")
     out = {r.node: r.root for r in common.connected_components(links).collect()}
     assert out == {**{i: 5 for i in [5, *range(1000, 1200)]}, 2000: 2000, 2001: 2000}
+
+
+def test_dealt_join_is_a_join_whatever_the_salt(spark):
+    rows = spark.createDataFrame([(k, i) for k, n in (("a", 50), ("b", 1), (None, 2)) for i in range(n)] + [("c", None)], "k string, i int")
+    per_key = spark.createDataFrame([("a", 1), ("c", 2), ("d", 3)], "k string, v int")
+    for how in ("inner", "left"):
+        got = common.dealt_join(rows, per_key, "k", "i", how).select("k", "i", "v").collect()
+        assert sorted(got, key=str) == sorted(rows.join(per_key, "k", how).select("k", "i", "v").collect(), key=str)
