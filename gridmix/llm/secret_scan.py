@@ -194,8 +194,8 @@ def redact(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> Dat
     found = common.materialize(findings(docs.sparkSession, ledger, rules), "findings")
     blob = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
     found = found.select(F.col("blob").alias("llm_blob_"), F.col("found").alias("llm_found_"))
-    # findings grow with the documents: never broadcast, the same plan at every size
-    joined = docs.withColumn("llm_blob_", blob).join(found.hint("merge"), "llm_blob_", "left")
+    # findings grow with the documents: never broadcast; a text with very many copies is dealt out by their ids
+    joined = common.dealt_join(docs.withColumn("llm_blob_", blob), found, "llm_blob_", "doc_id", "left")
     hit = F.col("llm_found_").isNotNull()
     masked = joined.withColumn("text", F.when(hit, _masked(F.col("text"), F.col("llm_found_"))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
