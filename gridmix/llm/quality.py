@@ -38,6 +38,8 @@ RIDGE = 1.0
 SEED = 10
 #: Raw scores are binned for the calibration: this many bins to a unit, so what is collected is bounded.
 BINS = 200
+#: A document's statistics, as a column beside its own ones.
+MEASURED = "llm_statistics_"
 
 STATISTICS = (
     "log_chars", "log_words", "word_length", "long_words", "distinct_words", "top_word", "top_pair", "repeats",
@@ -127,8 +129,8 @@ def fourier(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
     return np.hstack([np.ones((len(x), 1)), z / 8, np.sqrt(2 / DIMENSIONS) * np.cos(z @ directions + phases)])
 
 
-def _matrix(batch: pa.RecordBatch) -> np.ndarray:
-    return np.array(batch.column("x").to_pylist(), float).reshape(batch.num_rows, len(STATISTICS))
+def _matrix(batch: pa.RecordBatch, column: str = "x") -> np.ndarray:
+    return np.array(batch.column(column).to_pylist(), float).reshape(batch.num_rows, len(STATISTICS))
 
 
 def _equations(batches: Iterator[pa.RecordBatch], mean: np.ndarray, scale: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -226,14 +228,24 @@ def digest(scored: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents whose score reaches the threshold.  Texts stay in their place; only labelled statistics move."""
-    model = fit(common.materialize(statistics_of(docs), "statistics"), labels)
+    """The documents whose score reaches the threshold.
+
+    Documents are written once beside their statistics, so each text is measured once and no text is shuffled; only labelled
+    statistics move.
+    """
     schema = T.StructType([*docs.schema.fields])
 
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = pa.array([statistics(t) for t in batch.column("text").to_pylist()], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, x], names=[*batch.schema.names, MEASURED])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([statistics(t) for t in batch.column("text").to_pylist()], float).reshape(batch.num_rows, -1)
-            good = model.score(x) >= THRESHOLD if batch.num_rows else np.empty(0, bool)
-            yield batch.filter(pa.array(good))
+            good = model.score(_matrix(batch, MEASURED)) >= THRESHOLD if batch.num_rows else np.empty(0, bool)
+            yield batch.drop_columns([MEASURED]).filter(pa.array(good))
 
-    return docs.mapInArrow(run, schema)
+    measured = docs.mapInArrow(measure, T.StructType([*schema, T.StructField(MEASURED, T.ArrayType(T.DoubleType()))]))
+    measured = common.materialize(measured, "measured")
+    model = fit(measured.select(F.col("doc_id").alias("id"), F.col(MEASURED).alias("x")), labels)
+    return measured.mapInArrow(run, schema)
