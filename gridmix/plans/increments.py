@@ -33,10 +33,14 @@ def _day(ts_ns: str = "timestamp") -> Column:
 
 def within(df: DataFrame, day: Column, start=None, end=None, countries: list[str] | str = "ALL",
            country: str = "country") -> DataFrame:
-    """Rows of [start, end] (dates, inclusive) and of the countries.  On a partition column this prunes files."""
-    for bound, keep in ((start, lambda b: day >= b), (end, lambda b: day <= b)):
+    """Rows of [start, end] (dates, inclusive) and of the countries.  On a partition column this prunes files, in silver tables
+    those of other months."""
+    for bound, keep in ((start, lambda d, b: d >= b), (end, lambda d, b: d <= b)):
         if bound is not None:
-            df = df.where(keep(bound if isinstance(bound, Column) else F.lit(bound).cast("date")))
+            bound = bound if isinstance(bound, Column) else F.lit(bound).cast("date")
+            df = df.where(keep(day, bound))
+            if sinks.MONTH in df.columns:
+                df = df.where(keep(F.col(sinks.MONTH), F.trunc(bound, "month")))
     return df if countries == "ALL" else df.where(F.col(country).isin(list(countries)))
 
 
@@ -396,13 +400,18 @@ def backfill(spark: SparkSession, raw: DataFrame, silver_path: str, start, end,
 
 # --- named queries --------------------------------------------------------------------------
 
+def _first_and_last(raw: DataFrame) -> list[Column]:
+    """The first and the last day of raw rows, found once: a scalar subquery would read them again in each plan that has it."""
+    return [F.lit(day).cast("date") for day in raw.select(F.min(_day()), F.max(_day())).first()]
+
+
 @query("silver_roundtrip", o.with_ctes(o.GEN_BASE, o.GEN_RAW, select="""select *,
   cast(make_timestamp("timestamp" // 1000) as date) as "date" from gen_raw"""))
 def q_silver_roundtrip(spark, sf_dir):
     """Raw rows written to the partitioned silver table and read back."""
     path = session.work_dir(spark, "silver")
     sinks.write_silver_generation(load_gen_raw(spark, sf_dir), path)
-    return sinks.read_silver_generation(spark, path)
+    return sinks.read_silver_generation(spark, path).drop(sinks.MONTH)
 
 
 @query("incremental_day", o.with_ctes(*o.KPI_CHAIN, select="""select * from kpi
@@ -411,7 +420,7 @@ def q_incremental_day(spark, sf_dir):
     """Backfill every day but the last, then the last day's increment twice (a re-run changes nothing): the
     increment's KPI is that day's alone."""
     raw = load_gen_raw(spark, sf_dir)
-    last = raw.select(F.max(_day())).scalar()
+    _, last = _first_and_last(raw)
     path = session.work_dir(spark, "increment")
     ingest(raw.where(_day() < last), path)
     daily_increment(spark, raw, path, last)
@@ -434,7 +443,7 @@ def q_stream_increment(spark, sf_dir):
     raw = load_gen_raw(spark, sf_dir)
     base = session.work_dir(spark, "stream")
     landing, silver, ckpt = f"{base}/landing", f"{base}/silver", f"{base}/_checkpoint"
-    first, last = raw.select(F.min(_day())).scalar(), raw.select(F.max(_day())).scalar()
+    first, last = raw.select(F.min(_day())).scalar(), raw.select(F.max(_day())).first()[0]
     raw.where(_day() < F.date_add(first, 3)).write.parquet(f"{landing}/drop=1")
     streaming.run_available_now(spark, landing, silver, ckpt)
     raw.where(_day() >= F.date_add(first, 3)).write.parquet(f"{landing}/drop=2")
@@ -485,7 +494,7 @@ def _range(first: Column) -> tuple[Column, Column]:
 def q_backfill_range(spark, sf_dir):
     """Backfill of a date range for all countries in one job, models built from silver."""
     raw = load_gen_raw(spark, sf_dir)
-    start, end = _range(raw.select(F.min(_day())).scalar())
+    start, end = _range(_first_and_last(raw)[0])
     return backfill(spark, raw, session.work_dir(spark, "backfill"), start, end).kpi
 
 
@@ -494,7 +503,7 @@ def q_published_marts(spark, sf_dir):
     """Silver and marts published by a backfill of all days but the last, then the last
     day's increment twice; the published carbon mart equals one built from all raw rows."""
     raw = load_gen_raw(spark, sf_dir)
-    last = raw.select(F.max(_day())).scalar()
+    _, last = _first_and_last(raw)
     at = Layout(session.work_dir(spark, "warehouse"))
     ingest(raw.where(_day() < last), at.silver_generation)
     publish_marts(spark, at.silver_generation, at.warehouse, gate_checks=key_integrity_checks)

@@ -1,6 +1,7 @@
-"""Writers.  Silver tables are partitioned by country, date (and domain) and written with dynamic partition
-overwrite: a re-run replaces the partitions that it has rows for, and a retried job converges to the same
-table.  Partitions for which the new input has no rows at all are left as they are."""
+"""Writers.  Silver tables are partitioned by country and month and written with dynamic partition overwrite.  A re-run
+replaces the slices (country, date and domain) that it has rows for: it writes their months again, with the rows of the months' other
+slices as they were.  A retried job converges to the same table.  Slices for which the new input has no rows at all are left as
+they are.  Folders and files thus grow with countries and months, not with days."""
 
 from __future__ import annotations
 
@@ -21,8 +22,13 @@ SILVER_PARTITIONS = ["country", "date", "domain"]
 WEATHER_PARTITIONS = ["country", "date"]
 
 
+#: Partitions of the silver tables; the month is its first day.  A day's rows of a country are too few for files of their own.
+MONTH = "date_month"
+_FOLDERS = ["country", MONTH]
+
+
 def with_date_partition(silver: DataFrame) -> DataFrame:
-    """Add the ``date`` partition column (UTC day of the epoch-ns timestamp)."""
+    """Add the slice's ``date`` (UTC day of the epoch-ns timestamp)."""
     return silver.withColumn("date", F.to_date(gf.epoch_ns_to_ts("timestamp")))
 
 
@@ -30,34 +36,55 @@ def with_date_partition(silver: DataFrame) -> DataFrame:
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def _write_slices(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
-    """Replace exactly the partitions that ``df`` holds.
+def _write_slices(df: DataFrame, path: str, slices: Sequence[str], schema: T.StructType) -> None:
+    """Replace exactly the slices that ``df`` holds.
+
+    Where there is a table already, the new rows are written once and then meet the other slices of their months.  ``REBALANCE``
+    gathers a partition's rows into few files and splits partitions that are large, so files are
+    neither one per task and partition nor one task's work for a dominant country-month."""
+    from gridmix.sinks.versions import matching
 
-    ``REBALANCE`` gathers a partition's rows into few files and splits partitions that are large, so files are
-    neither one per task and partition nor one task's work for a dominant country-day."""
-    (df.hint("rebalance", *partitions).write.mode("overwrite").option("compression", "snappy")
+    spark = df.sparkSession
+    df = df.withColumn(MONTH, F.trunc("date", "month"))
+    if session.exists(spark, path):
+        df = session.materialize(df, "slices")
+        months = df.agg(F.min(MONTH).alias("low"), F.max(MONTH).alias("high")).first()
+        there = _read_slices(spark, path, slices, schema)
+        # folders of other months aren't read; rows without a time have a folder of their own
+        there = there.where(F.col(MONTH).between(F.lit(months.low), F.lit(months.high)) | F.col(MONTH).isNull())
+        there = matching(there, df.select(*_FOLDERS).distinct(), _FOLDERS)
+        others = matching(there, df.select(*slices).distinct(), slices, "left_anti")
+        df = df.unionByName(others, allowMissingColumns=True)
+    (df.hint("rebalance", *_FOLDERS).write.mode("overwrite").option("compression", "snappy")
        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partitions).parquet(path))
+       .partitionBy(*_FOLDERS).parquet(path))
+
+
+def _read_slices(spark: SparkSession, path: str, slices: Sequence[str], schema: T.StructType) -> DataFrame:
+    more = [T.StructField("date", T.DateType()), T.StructField(MONTH, T.DateType())]
+    rows = spark.read.schema(T.StructType([*schema.fields, *more])).parquet(path)
+    if rows.columns[-1] != MONTH:  # Spark puts partition columns last
+        raise ValueError(f"{path} has folders by day, as earlier versions wrote them: ingest its rows into a new folder")
+    return rows.select(*[c for c in schema.names if c not in slices], *slices, MONTH)
 
 
 def write_silver_generation(silver: DataFrame, path: str) -> None:
-    """Silver generation, Snappy Parquet, partitioned by (country, date, domain), dynamic overwrite."""
-    _write_slices(with_date_partition(silver), path, SILVER_PARTITIONS)
+    """Silver generation, Snappy Parquet; replaces the slices (country, date, domain) that it has rows for."""
+    _write_slices(with_date_partition(silver), path, SILVER_PARTITIONS, SILVER_GENERATION_SCHEMA)
 
 
 def read_silver_generation(spark: SparkSession, path: str) -> DataFrame:
-    schema = T.StructType(SILVER_GENERATION_SCHEMA.fields + [T.StructField("date", T.DateType())])
-    return spark.read.schema(schema).parquet(path)
+    """Silver rows with their ``date``, and the month's partition column, by which ``plans.increments.within`` prunes."""
+    return _read_slices(spark, path, SILVER_PARTITIONS, SILVER_GENERATION_SCHEMA)
 
 
 def write_silver_weather(silver: DataFrame, path: str) -> None:
-    """Silver weather, Snappy Parquet, partitioned by (country, date), dynamic overwrite."""
-    _write_slices(with_date_partition(silver), path, WEATHER_PARTITIONS)
+    """Silver weather, Snappy Parquet; replaces the slices (country, date) that it has rows for."""
+    _write_slices(with_date_partition(silver), path, WEATHER_PARTITIONS, SILVER_WEATHER_SCHEMA)
 
 
 def read_silver_weather(spark: SparkSession, path: str) -> DataFrame:
-    schema = T.StructType(SILVER_WEATHER_SCHEMA.fields + [T.StructField("date", T.DateType())])
-    return spark.read.schema(schema).parquet(path)
+    return _read_slices(spark, path, WEATHER_PARTITIONS, SILVER_WEATHER_SCHEMA)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str = "overwrite") -> None:

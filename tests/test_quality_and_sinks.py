@@ -131,3 +131,26 @@ def test_checkpoint_folder_is_required_off_local(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Connect())
+
+
+def test_silver_folders_grow_with_months(spark, tmp_dir):
+    """A folder a country and month, not a day; a re-run of one day's slice keeps the month's others, and rows without a time."""
+    rows = spark.range(60 * 4).selectExpr(
+        "1740787200000000000 + (id div 4) * 86400000000000 as timestamp", "if(id % 2 = 0, 'GR', 'FR') as country", "'Solar' as energy_source",
+        "'B16' as psr_type", "1.0D as actual_MW", "2.0D as forecast_MW", "if(id % 4 < 2, 'generation', 'forecast') as domain")
+    undated = rows.limit(1).selectExpr("cast(null as bigint) as timestamp", "* except (timestamp)")
+    path = os.path.join(tmp_dir, "s")
+    pipeline.ingest(rows.union(undated), path)
+    assert sorted(os.listdir(os.path.join(path, "country=FR"))) == ["date_month=2025-03-01", "date_month=2025-04-01"]
+    again = rows.where("country = 'GR' and domain = 'generation'").selectExpr("* except (actual_MW)", "5.0D as actual_MW").select(rows.columns)
+    pipeline.ingest(again, path, "2025-03-02", "2025-03-02")
+    back = sinks.read_silver_generation(spark, path)
+    assert back.count() == 241 and back.where("date is null").count() == 1
+    assert [tuple(map(str, r)) for r in back.where("actual_MW = 5").select("country", "date", "domain").collect()] == [("GR", "2025-03-02", "generation")]
+
+
+def test_silver_with_folders_by_day_is_refused(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "s")
+    sinks.with_date_partition(_raw(spark)).write.partitionBy("country", "date", "domain").parquet(path)
+    with pytest.raises(ValueError, match="folders by day"):
+        sinks.read_silver_generation(spark, path)
