@@ -274,7 +274,7 @@ def q_grid_to_country_tiles(spark, sf_dir):
   {o.psr_name_sql('psr_type')} as energy_source, psr_type, actual_MW, cast(null as double) as forecast_MW,
   'generation' as domain from gen_base where domain = 'generation'"""))
 def q_xml_file_scan(spark, sf_dir):
-    """Generation documents landed as files (country / date folders) and read back with the
+    """Generation documents landed as files (country / month folders) and read back with the
     XML file source, then flattened."""
     from gridmix import session
 

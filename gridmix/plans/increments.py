@@ -9,6 +9,7 @@ publishes the others; ``stop`` publishes nothing then."""
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -81,7 +82,7 @@ def bronze_digests(spark: SparkSession, at: Layout, start=None, end=None, countr
     slice's documents are few (a document holds up to 100,000 points), its cubes one per variable and hour."""
     parts = []
     if session.exists(spark, at.documents):
-        docs = within(bx.read_documents(spark, at.documents), F.col("date"), start, end, countries)
+        docs = within(bx.read_documents(spark, at.documents, start, end), F.col("date"), start, end, countries)
         parts.append(docs.select(F.col("date").alias("date_key"), F.col("country").alias("country_code"), "domain",
                                  F.sha2("xml", 256).alias("one")))
     if session.exists(spark, at.cubes):
@@ -93,16 +94,24 @@ def bronze_digests(spark: SparkSession, at: Layout, start=None, end=None, countr
     return each.groupBy(*SLICE, "domain").agg(F.sha2(F.concat_ws(",", F.sort_array(F.collect_list("one"))), 256).alias("digest"))
 
 
-def changed_slices(spark: SparkSession, at: Layout, store: Store, start=None, end=None, countries="ALL") -> DataFrame:
+def changed_slices(spark: SparkSession, at: Layout, store: Store, start=None, end=None, countries="ALL",
+                   now: DataFrame | None = None) -> DataFrame:
     """The slices and domains of the range whose content isn't what the last published run read (its ledger,
-    ``bronze_digests``): new ones, and those with another digest."""
-    now = bronze_digests(spark, at, start, end, countries)
+    ``bronze_digests``): new ones, and those with another digest.  ``now`` are digests that were taken already."""
+    now = bronze_digests(spark, at, start, end, countries) if now is None else now
     if not store.has("bronze_digests"):
         return now
     seen = store.read("bronze_digests", within=_narrow(start, end, countries))
     return matching(now, seen, [*SLICE, "domain", "digest"], "left_anti")
 
 
+def _span(changed: DataFrame, start, end) -> tuple:
+    """The days from the first changed slice to the last, or the range where slices without a day are among them."""
+    days = changed.agg(F.min("date_key").alias("first"), F.max("date_key").alias("last"),
+                       (F.count(F.lit(1)) > F.count("date_key")).alias("undated")).first()
+    return (start, end) if days["undated"] or days["first"] is None else (days["first"], days["last"])
+
+
 def _as_slices(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({"date": "date_key", "country": "country_code"})
 
@@ -113,9 +122,10 @@ def bronze_to_silver(spark: SparkSession, at: Layout, start=None, end=None, coun
     decoded once; what is left out is published as ``rejects`` of its slice, which replace the slice's earlier ones, also
     with none.  Returns the rejects of the range."""
     store, run, narrow = Store(spark, at.warehouse), new_run(), _narrow(start, end, countries)
-    docs = narrow(_as_slices(bx.read_documents(spark, at.documents)))
+    first, last = (start, end) if changed is None else _span(changed, start, end)
+    docs = narrow(_as_slices(bx.read_documents(spark, at.documents, first, last)))
     if changed is not None:
-        docs = matching(docs, changed, [*SLICE, "domain"])
+        docs = matching(within(docs, F.col("date_key"), first, last), changed, [*SLICE, "domain"])
     read = session.materialize(bx.read_through(docs), "decoded")
     left_out = read.where("n > 0").select(*REJECTS)
     if changed is not None and store.has("rejects"):  # a slice's rejects are of all its domains: those not read now stay
@@ -373,11 +383,12 @@ def run_range(spark: SparkSession, at: Layout, start=None, end=None, countries="
     digests = changed = slices = None
     if only_changed:
         store = Store(spark, at.warehouse)
-        changed = session.materialize(changed_slices(spark, at, store, start, end, countries), "changed")
+        now = session.materialize(bronze_digests(spark, at, start, end, countries), "now")
+        changed = session.materialize(changed_slices(spark, at, store, start, end, countries, now), "changed")
         if changed.isEmpty():
             return None
         slices = changed.select(*SLICE).distinct()
-        digests = session.materialize(matching(bronze_digests(spark, at, start, end, countries), slices), "digests")
+        digests = session.materialize(matching(now, slices), "digests")
     bronze_to_silver(spark, at, start, end, countries, changed)
     weather_to_silver(spark, at, start, end, countries, changed)
     return publish_marts(spark, at.silver_generation, at.warehouse, start, end, gate_checks=gate_checks,
@@ -631,7 +642,7 @@ def q_pipeline_day(spark, sf_dir):
     """One day end to end: documents and cubes -> silver -> gate -> published generation x weather."""
     at = Layout(session.work_dir(spark, "pipeline"))
     land_bronze(spark, sf_dir, at)
-    last = bx.read_documents(spark, at.documents).select(F.max("date")).scalar()
+    _, last = bx.document_days(spark, at.documents)
     run_range(spark, at, last, last, gate_checks=key_integrity_checks)
     out = published(spark, at.warehouse, "int_generation_weather")
     return out.withColumn("avg_wind_speed", F.round("avg_wind_speed", 6))
@@ -643,7 +654,8 @@ def q_pipeline_backfill(spark, sf_dir):
     """A range of days end to end in one job per step, for all countries; a re-run changes nothing."""
     at = Layout(session.work_dir(spark, "pipeline"))
     land_bronze(spark, sf_dir, at)
-    start, end = _range(bx.read_documents(spark, at.documents).select(F.min("date")).scalar())
+    first, _ = bx.document_days(spark, at.documents)
+    start, end = (first + dt.timedelta(n) for n in (BACKFILL_FROM, BACKFILL_FROM + BACKFILL_DAYS))
     for _ in range(2):
         run_range(spark, at, start, end, gate_checks=key_integrity_checks)
     out = published(spark, at.warehouse, "int_generation_weather")
@@ -679,8 +691,8 @@ def q_changed_slices(spark, sf_dir):
     run("again")
     if store.version() != version:
         raise RuntimeError("a run without changes wrote a version")
-    docs = bx.read_documents(spark, at.documents).where("domain = 'generation' and country = 'GR'")
-    last = docs.select(F.max("date")).first()[0]
+    _, last = bx.document_days(spark, at.documents, "GR", "generation")
+    docs = bx.read_documents(spark, at.documents, last, last).where("domain = 'generation' and country = 'GR'")
     fixed = docs.where(F.col("date") == F.lit(last)).select(
         F.replace("xml", F.lit("<quantity>"), F.lit("<quantity>1")).alias("value"), "country", "date", "domain")
     fixed = session.materialize(fixed, "fixed")

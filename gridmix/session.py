@@ -27,6 +27,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # rewrite a (country, date) partition on re-run instead of the whole table
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # a task lists many folders: by default each folder of a tree is a task, with a result of its own
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
 }
 
 
@@ -84,6 +86,22 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [str(f.getPath().toString()) for f in fs.listStatus(at)] if fs.exists(at) else []
 
 
+def matches(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob."""
+    fs, at = _hadoop_path(spark, pattern)
+    return [str(f.getPath().toString()) for f in fs.globStatus(at) or []]
+
+
+def first_and_last(spark: SparkSession, pattern: str) -> list[str]:
+    """The first and the last path by name that match a glob, the same one if there is one, none if there is none.
+    Hadoop sorts matches by name."""
+    fs, at = _hadoop_path(spark, pattern)
+    found = fs.globStatus(at)
+    if not found:
+        return []
+    return [str(found[i].getPath().toString()) for i in (0, len(found) - 1)]
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file in one piece."""
     fs, at = _hadoop_path(spark, path)

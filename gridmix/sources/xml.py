@@ -17,10 +17,14 @@ hour.  A period without start and a point without (castable) position or quantit
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmix import functions as gf
+from gridmix import session
 
 # Fixed values — document root elements, namespace and the "no data" acknowledgement reason.
 GENERATION_ROOT = "GL_MarketDocument"
@@ -93,14 +97,44 @@ def rejects(docs: DataFrame, xml_col: str = "xml") -> DataFrame:
         F.when(_is_corrupt(), F.lit(1)).otherwise(bad).cast("long").alias("n")).where(F.col("reason").isNotNull())
 
 
-def read_documents(spark: SparkSession, root: str) -> DataFrame:
+#: Days of a range whose folders are named one by one; folders of longer ranges are found by listing all.
+NAMED_DAYS = 100
+
+
+def read_documents(spark: SparkSession, root: str, start=None, end=None) -> DataFrame:
     """Whole documents of a bronze tree ``root/country=../date=../domain=..``: (xml, country, date, domain, path).
-    Filters on the folder columns prune the files that are read."""
+    Filters on the folder columns prune the files that are read.  Of a range of few days (dates or their text, inclusive) other days'
+    folders aren't listed either."""
     schema = "value string, country string, date date, domain string"
-    raw = spark.read.option("wholetext", "true").schema(schema).text(root)
+    paths = _folders(spark, root, start, end)
+    if paths:
+        raw = spark.read.option("wholetext", "true").option("basePath", root).schema(schema).text(paths)
+    else:
+        raw = spark.read.option("wholetext", "true").schema(schema).text(root)
+        if paths is not None:
+            raw = raw.limit(0)
     return raw.select(F.col("value").alias("xml"), "country", "date", "domain", F.col("_metadata.file_path").alias("path"))
 
 
+def _folders(spark: SparkSession, root: str, start, end) -> list[str] | None:
+    """Folders of the days in a range, None where it is open, no dates or long."""
+    if start is None or end is None or isinstance(start, Column) or isinstance(end, Column):
+        return None
+    first, last = (dt.date.fromisoformat(str(d)[:10]) for d in (start, end))
+    n = (last - first).days + 1
+    if n > NAMED_DAYS:
+        return None
+    days = ",".join((first + dt.timedelta(i)).isoformat() for i in range(n))
+    return session.matches(spark, f"{root}/country=*/date={{{days}}}") if n > 0 else []
+
+
+def document_days(spark: SparkSession, root: str, country: str = "*", domain: str | None = None) -> tuple:
+    """The first and the last day that a tree has documents for, (None, None) where there is none, from the folders' names."""
+    days = [re.search(r"date=([0-9-]+)", path).group(1) for folder in session.matches(spark, f"{root}/country={country}")
+            for path in session.first_and_last(spark, f"{folder}/date=[0-9]*" + (f"/domain={domain}" if domain else ""))]
+    return tuple(dt.date.fromisoformat(d) for d in (min(days), max(days))) if days else (None, None)
+
+
 def land_documents(docs: DataFrame, root: str, domain: str) -> None:
     """Write documents (country, date, xml) as files of the tree that ``read_documents`` reads, one document a file."""
     (docs.select("country", "date", F.lit(domain).alias("domain"), F.col("xml").alias("value"))
@@ -278,16 +312,19 @@ def union_generation(*frames: DataFrame) -> DataFrame:
 
 
 def write_documents(docs: DataFrame, root: str) -> None:
-    """Land documents as XML files under ``root/country=../date=..`` with Spark's XML writer
-    (root element GL_MarketDocument, one TimeSeries element per series)."""
-    series = decode_documents(docs).select("series.MktPSRType", "series.Period", "country", "date")
-    (series.write.mode("overwrite").format("xml").option("rootTag", GENERATION_ROOT)
-     .option("rowTag", "TimeSeries").partitionBy("country", "date").save(root))
+    """Land documents as XML files under ``root/country=../month=..`` with Spark's XML writer
+    (root element GL_MarketDocument, one TimeSeries element per series).  A month's documents share files: a file for each day
+    of a country would be a few dozen points long."""
+    series = decode_documents(docs).select("series.MktPSRType", "series.Period", "country",
+                                           F.trunc("date", "month").alias("month"))
+    (series.hint("rebalance", "country", "month").write.mode("overwrite").format("xml").option("rootTag", GENERATION_ROOT)
+     .option("rowTag", "TimeSeries").partitionBy("country", "month").save(root))
 
 
 def read_document_tree(spark: SparkSession, root: str) -> DataFrame:
-    """Scan a landed document tree with the XML source (row tag TimeSeries); the country and
-    date come from the partition folders."""
+    """Scan a landed document tree with the XML source (row tag TimeSeries); the country comes from the partition folders, the
+    date from the series' first period."""
     raw = (spark.read.format("xml").option("rowTag", "TimeSeries").option("ignoreNamespace", "true")
-           .schema(SERIES_DDL + ", country string, date date").load(root))
-    return raw.select(F.struct("MktPSRType", "Period").alias("series"), "country", "date")
+           .schema(SERIES_DDL + ", country string, month date").load(root))
+    start = F.try_element_at("Period", F.lit(1))["timeInterval"]["start"]
+    return raw.select(F.struct("MktPSRType", "Period").alias("series"), "country", F.to_date(gf.parse_xml_time(start)).alias("date"))

@@ -140,3 +140,32 @@ def test_averages_don_t_overflow(spark):
     df = spark.range(3_000_000).selectExpr("3.6e6D + (id % 2) as x")
     assert df.agg(gf.exact_avg("x", 6, 6).alias("m")).first()[0] == 3_600_000.5
     assert spark.createDataFrame([(-1.005,), (-1.015,)], "x double").agg(gf.exact_avg("x", 3, 2).alias("m")).first()[0] == -1.01
+
+
+def test_document_files_grow_with_months(spark, tmp_dir):
+    """A folder a country and month; every series comes back with its country and day."""
+    rows = spark.range(40 * 2).selectExpr(
+        "1740787200000000000 + (id div 2) * 86400000000000 as timestamp", "if(id % 2 = 0, 'GR', 'FR') as country", "'Solar' as energy_source",
+        "'B16' as psr_type", "cast(id as double) as actual_MW", "cast(null as double) as forecast_MW", "'generation' as domain")
+    root = os.path.join(tmp_dir, "tree")
+    bx.write_documents(bx.generation_documents(rows), root)
+    assert sorted(os.listdir(os.path.join(root, "country=FR"))) == ["month=2025-03-01", "month=2025-04-01"]
+    assert len(bx.read_document_tree(spark, root).inputFiles()) == 4
+    assert {(r.country, str(r.date)) for r in bx.read_document_tree(spark, root).collect()} == {
+        (r.country, str(r.day)) for r in rows.selectExpr("country", "date(timestamp_micros(timestamp div 1000)) as day").collect()}
+
+
+def test_days_of_documents_come_from_folders(spark, tmp_dir):
+    """First and last day without reading a document; a short range's other days aren't listed."""
+    docs = spark.createDataFrame([("GR", "2025-03-01", "<a/>"), ("GR", "2025-03-09", "<b/>"), ("FR", "2025-03-12", "<c/>"), ("FR", None, "<d/>")],
+                                 "country string, date string, xml string").selectExpr("country", "date(date) as date", "xml")
+    root = os.path.join(tmp_dir, "docs")
+    assert bx.document_days(spark, root) == (None, None)
+    bx.land_documents(docs, root, "generation")
+    assert [str(d) for d in bx.document_days(spark, root)] == ["2025-03-01", "2025-03-12"]
+    assert [str(d) for d in bx.document_days(spark, root, "GR", "generation")] == ["2025-03-01", "2025-03-09"]
+    assert bx.read_documents(spark, root).count() == 4
+    some = bx.read_documents(spark, root, "2025-03-01", "2025-03-09")
+    assert sorted(r.xml.strip() for r in some.collect()) == ["<a/>", "<b/>"] and len(some.inputFiles()) == 2
+    assert bx.read_documents(spark, root, "2025-04-01", "2025-04-02").count() == 0
+    assert {str(r.date) for r in some.collect()} == {"2025-03-01", "2025-03-09"}
