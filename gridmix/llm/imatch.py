@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -58,8 +59,12 @@ LEXICON_BYTES = 64 << 20
 NOTHING = "-"
 
 
+def _lower(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass").lower()
+
+
 def terms(text: str) -> set[bytes]:
-    return set(text.encode("utf-8", "surrogatepass").lower().split())
+    return set(_lower(text).split())
 
 
 def _hash(data: bytes, seed: int = SEED) -> int:
@@ -124,22 +129,30 @@ class Fingerprinter:
             self._put(at, words[at:at + TOGETHER])
 
     def _put(self, at: int, words: list[bytes]) -> None:
-        hashes = np.array([_hash(w) for w in words], np.uint64)
+        from xxhash import xxh64_intdigest
+
+        hashes = np.array([xxh64_intdigest(w, SEED) for w in words], np.uint64)
         self.hashes[at:at + len(words)] = hashes
         self.keeps[at:at + len(words)] = _mixed(hashes[:, None], self.seeds) & self.masks == 0
 
     def _rows(self, some: list[bytes]) -> np.ndarray:
         """Rows of terms, TOGETHER at most; those of neither the lexicon nor memory are put there."""
-        rows = list(map(self.place.get, some))
-        if None in rows:
-            if len(self.place) + rows.count(None) > len(self.hashes):
+        rows = self._places(some)
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            if len(self.place) + len(new) > len(self.hashes):
                 self.place = dict(self.number)
-                rows = list(map(self.place.get, some))
-            new, at = [t for t, r in zip(some, rows) if r is None], len(self.place)
-            self._put(at, new)
-            self.place.update(zip(new, range(at, at + len(new))))
-            rows = list(map(self.place.get, some))
-        return np.array(rows, np.int64)
+                rows = self._places(some)
+                new = np.flatnonzero(rows < 0)
+            words, at = [some[i] for i in new.tolist()], len(self.place)
+            self._put(at, words)
+            self.place.update(zip(words, range(at, at + len(words))))
+            rows[new] = np.arange(at, at + len(words))
+        return rows
+
+    def _places(self, some: list[bytes]) -> np.ndarray:
+        """Rows of terms, -1 for those not at hand."""
+        return np.fromiter(map(self.place.get, some, repeat(-1)), np.int64, len(some))
 
     def __call__(self, text: str) -> list[str]:
         """Hashes of the lexicon's subsets, of the same subsets over all terms, and one hash of all terms.
@@ -150,14 +163,18 @@ class Fingerprinter:
 
     def of(self, told: "Sums") -> list[str]:
         """The fingerprint of the terms that were summed."""
+        from xxhash import xxh64_hexdigest
+
         kept = np.sort(told.lexicon)  # in the terms' order
         out = [NOTHING] * len(self.seeds)
         if len(kept) * FEW >= told.n:
-            subset, at = np.nonzero(self.keeps[kept].T)  # subset by subset, each in the terms' order
-            data, ends = self.hashes[kept[at]].tobytes(), np.cumsum(8 * np.bincount(subset, minlength=len(out))).tolist()
-            for j, (start, end) in enumerate(zip([0, *ends], ends)):
-                if start < end:
-                    out[j] = f"{_hash(data[start:end]) & 0xFFFFFFFF:08x}"
+            keeps = np.ascontiguousarray(self.keeps[kept].T)
+            data = np.broadcast_to(self.hashes[kept], keeps.shape)[keeps].tobytes()  # subset by subset, each in the terms' order
+            start = 0
+            for j, n in enumerate(np.count_nonzero(keeps, axis=1).tolist()):
+                if n:
+                    out[j] = xxh64_hexdigest(data[start:start + 8 * n], SEED)[8:]
+                    start += 8 * n
         whole = (told.sums[0] % (1 << 32)).astype(">u4").tobytes().hex()
         return (out + [whole[8 * j:8 * j + 8] if n else NOTHING for j, n in enumerate(told.sums[1].tolist())]
                 + [f"{int(told.every):016x}"])
@@ -169,7 +186,9 @@ class Fingerprinter:
             rows = self._rows(of[at:at + TOGETHER])
             hashes = self.hashes[rows]
             # lower halves: their sums stay below 2 ** 53, so they are exact
-            sums += np.stack([hashes & np.uint64(0xFFFFFFFF), np.ones(len(rows), np.uint64)]).astype(float) @ self.keeps[rows]
+            both = np.ones((2, len(rows)))
+            both[0] = hashes & np.uint64(0xFFFFFFFF)
+            sums += both @ self.keeps[rows]
             sums[0] %= 1 << 32
             every = np.add(every, hashes.sum(dtype=np.uint64), dtype=np.uint64)
             lexicon.append(rows[rows < self.size])
@@ -177,17 +196,23 @@ class Fingerprinter:
 
     def prepare(self, text: str) -> "Prepared":
         """The fingerprint of a text, with what its edited text shares: terms that end before the last third begins."""
-        of, head = terms(text), text[:len(text) - len(text) // 3].encode("utf-8", "surrogatepass").lower()
+        cut = len(text) - len(text) // 3
+        head = _lower(text[:cut])
         words = head.split()
-        stay = set(words if head[-1:].isspace() else words[:-1])
+        begun = b"" if not words or head[-1:].isspace() else words.pop()
+        stay = set(words)
         shared = self.sums(stay)
-        return Prepared(text, stay, shared, self.of(shared + self.sums(of - stay)))
+        own = Prepared(text, stay, begun, shared, [])
+        return own._replace(fingerprint=self._ending(own, text[cut:]))
+
+    def _ending(self, own: "Prepared", tail: str) -> list[str]:
+        """The fingerprint of a text's beginning with another last third: only that is split again."""
+        return self.of(own.shared + self.sums(set((own.begun + _lower(tail)).split()) - own.stay))
 
     def edited(self, own: "Prepared", following: str) -> tuple[str, list[str]]:
         """The edited text and its fingerprint."""
         third = len(own.text) // 3
-        text = own.text[:len(own.text) - third] + following[:third]
-        return text, self.of(own.shared + self.sums(terms(text) - own.stay))
+        return own.text[:len(own.text) - third] + following[:third], self._ending(own, following[:third])
 
 
 class Sums(NamedTuple):
@@ -207,6 +232,8 @@ class Sums(NamedTuple):
 class Prepared(NamedTuple):
     text: str
     stay: set[bytes]
+    #: The word that the beginning ends in the middle of, if any.
+    begun: bytes
     shared: Sums
     fingerprint: list[str]
 

@@ -114,3 +114,18 @@ def test_planning_does_not_grow_with_ranges(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert sizes[1] < 1.2 * sizes[0]
+
+
+def test_only_the_last_third_is_split_again(monkeypatch):
+    """A text is split once and what the edit brings in once; words that the cut falls into are made whole."""
+    f, seen, lower = im.Fingerprinter([b"ab", b"cd", b"e"]), [], im._lower
+    texts = ["", " ", "ab", "abcdef", "ab cd e", "ab cd efé AB", "a b c d e f g h i", "\ud800ab cd \U0001f600x", "ab cd   ", " \n\tab cd\x1f e"]
+    want = {t: f(t) for a in texts for b in texts for t in (a, a[:len(a) - len(a) // 3] + b[:len(a) // 3])}
+    monkeypatch.setattr(im, "_lower", lambda t: seen.append(len(t)) or lower(t))
+    for a in texts:
+        for b in texts:
+            seen.clear()
+            own = f.prepare(a)
+            text, edited = f.edited(own, b)
+            assert own.fingerprint == want[a] and edited == want[text] and text == a[:len(a) - len(a) // 3] + b[:len(a) // 3]
+            assert sum(seen) <= len(a) + len(a) // 3
