@@ -526,14 +526,15 @@ def q_published_marts(spark, sf_dir):
 
 def land_bronze(spark: SparkSession, sf_dir: str, at: Layout) -> None:
     """The bronze tree that the tables imply: documents of both domains, an acknowledgement for each
-    country-day divisible by 3, and weather cubes."""
+    country-day divisible by 3, and weather cubes.  Documents are packed: a document is
+    a few dozen points long, and a tree with a file for each would be all file creation."""
     raw = load_gen_raw(spark, sf_dir)
     docs = bx.generation_documents(raw)
-    bx.land_documents(docs, at.documents, "generation")
-    bx.land_documents(bx.forecast_documents(raw), at.documents, "forecast")
     days = docs.select("country", "date").distinct().where(F.dayofmonth("date") % 3 == 0)
-    bx.land_documents(days.withColumn("xml", bx.acknowledgement_document(F.lit("999"), F.lit("No data"))),
-                      at.documents, "forecast")
+    acks = days.withColumn("xml", bx.acknowledgement_document(F.lit("999"), F.lit("No data")))
+    of_domain = [df.withColumn("domain", F.lit(domain)) for df, domain in
+                 ((docs, "generation"), (bx.forecast_documents(raw), "forecast"), (acks, "forecast"))]
+    bx.pack_documents(reduce(DataFrame.unionByName, of_domain), at.documents)
     cubes = cube.build_cubes(load_weather_raw(spark, sf_dir))
     cubes.withColumn("date", F.to_date(F.element_at("time", 1))).write.partitionBy("date").parquet(at.cubes)
 

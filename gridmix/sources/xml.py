@@ -99,12 +99,45 @@ def rejects(docs: DataFrame, xml_col: str = "xml") -> DataFrame:
 
 #: Days of a range whose folders are named one by one; folders of longer ranges are found by listing all.
 NAMED_DAYS = 100
+#: Folder of a tree for documents that share files.  Scans of the tree itself pass over names that begin with an underscore.
+PACKED = "_packed"
+PACKED_DDL = "country string, date date, domain string, xml string, month date"
+PACKED_GROUP_BYTES = 32 << 20
+DOCUMENT_SLICE = ["country", "date", "domain"]
 
 
 def read_documents(spark: SparkSession, root: str, start=None, end=None) -> DataFrame:
-    """Whole documents of a bronze tree ``root/country=../date=../domain=..``: (xml, country, date, domain, path).
-    Filters on the folder columns prune the files that are read.  Of a range of few days (dates or their text, inclusive) other days'
-    folders aren't listed either."""
+    """Whole documents of a bronze tree: (xml, country, date, domain, path).  They are files of their own in
+    ``root/country=../date=../domain=..``, or packed (``pack_documents``).  Where a slice (country, date, domain) has
+    files of its own, they replace its packed documents: a corrected document is put there as it is fetched."""
+    packed = _read_packed(spark, root, start, end)
+    if packed is None:
+        return _read_files(spark, root, start, end)
+    if not session.matches(spark, f"{root}/country=*"):
+        return packed
+    from gridmix.sinks.versions import matching
+
+    own = _read_files(spark, root, start, end)
+    return own.unionByName(matching(packed, own.select(*DOCUMENT_SLICE).distinct(), DOCUMENT_SLICE, "left_anti"))
+
+
+def _read_packed(spark: SparkSession, root: str, start, end) -> DataFrame | None:
+    """Packed documents of a range, None where a tree has none packed.  Other months' folders aren't read, of a month's files only
+    row groups and pages that have the range's days.  A path is the file's with the document's row in it."""
+    if not session.exists(spark, f"{root}/{PACKED}"):
+        return None
+    rows = spark.read.schema(PACKED_DDL).parquet(f"{root}/{PACKED}")
+    for bound, keep in ((start, Column.__ge__), (end, Column.__le__)):
+        if bound is not None:
+            day = bound if isinstance(bound, Column) else F.lit(str(bound)[:10]).cast("date")
+            rows = rows.where(keep(F.col("date"), day) & keep(F.col("month"), F.trunc(day, "month")))
+    path = F.concat_ws("#", "_metadata.file_path", F.col("_metadata.row_index").cast("string"))
+    return rows.select("xml", *DOCUMENT_SLICE, path.alias("path"))
+
+
+def _read_files(spark: SparkSession, root: str, start, end) -> DataFrame:
+    """Documents that are files of their own.  Filters on the folder columns prune the files that are read.  Of a range of few days
+    (dates or their text, inclusive) other days' folders aren't listed either."""
     schema = "value string, country string, date date, domain string"
     paths = _folders(spark, root, start, end)
     if paths:
@@ -129,10 +162,17 @@ def _folders(spark: SparkSession, root: str, start, end) -> list[str] | None:
 
 
 def document_days(spark: SparkSession, root: str, country: str = "*", domain: str | None = None) -> tuple:
-    """The first and the last day that a tree has documents for, (None, None) where there is none, from the folders' names."""
+    """The first and the last day that a tree has documents for, (None, None) where there is none: from the folders' names, and
+    from the days of packed documents, of which nothing else is read."""
     days = [re.search(r"date=([0-9-]+)", path).group(1) for folder in session.matches(spark, f"{root}/country={country}")
             for path in session.first_and_last(spark, f"{folder}/date=[0-9]*" + (f"/domain={domain}" if domain else ""))]
-    return tuple(dt.date.fromisoformat(d) for d in (min(days), max(days))) if days else (None, None)
+    days = [dt.date.fromisoformat(d) for d in days]
+    packed = _read_packed(spark, root, None, None)
+    if packed is not None:
+        packed = packed if country == "*" else packed.where(F.col("country") == country)
+        packed = packed if domain is None else packed.where(F.col("domain") == domain)
+        days += [d for d in packed.agg(F.min("date"), F.max("date")).first() if d is not None]
+    return (min(days), max(days)) if days else (None, None)
 
 
 def land_documents(docs: DataFrame, root: str, domain: str) -> None:
@@ -141,6 +181,18 @@ def land_documents(docs: DataFrame, root: str, domain: str) -> None:
      .write.mode("append").option("maxRecordsPerFile", 1).partitionBy("country", "date", "domain").text(root))
 
 
+def pack_documents(docs: DataFrame, root: str) -> None:
+    """Add documents (country, date, domain, xml) to the packed ones of the tree that ``read_documents`` reads: Parquet files in a
+    folder for each month, in order of the days, so files grow with months and bytes, not with documents.
+
+    A row group ends by its bytes, looked at after every document: neither a writer nor a reader, which takes up to 4096
+    rows of a group at once, holds many large documents."""
+    (docs.select(*DOCUMENT_SLICE, "xml", F.trunc("date", "month").alias("month")).hint("rebalance", "month")
+     .sortWithinPartitions("month", "date", "country", "domain").write.mode("append")
+     .option("parquet.block.size", PACKED_GROUP_BYTES).option("parquet.page.size.row.check.min", 1)
+     .partitionBy("month").parquet(f"{root}/{PACKED}"))
+
+
 def read_series_files(spark: SparkSession, root: str) -> DataFrame:
     """Scan a bronze tree of XML files (row tag TimeSeries, any depth) with an explicit schema;
     the file path is kept for path-derived columns."""

@@ -169,3 +169,56 @@ def test_days_of_documents_come_from_folders(spark, tmp_dir):
     assert sorted(r.xml.strip() for r in some.collect()) == ["<a/>", "<b/>"] and len(some.inputFiles()) == 2
     assert bx.read_documents(spark, root, "2025-04-01", "2025-04-02").count() == 0
     assert {str(r.date) for r in some.collect()} == {"2025-03-01", "2025-03-09"}
+
+
+PACKED_DOCS = ("select explode(array('GR', 'FR', null)) as country, if(id = 40, null, date_add(date'2025-03-01', cast(id as int))) as date, 'generation' as domain, "
+               "concat('<a>', id, '</a>') as xml from range(41)")
+
+
+def _documents(df):
+    return sorted((str(r.country), str(r.date), r.domain, r.xml.strip()) for r in df.collect())
+
+
+def test_packed_documents_grow_with_months(spark, tmp_dir):
+    """A folder a month, not a file a document; the rows are those of a tree with a file each, of a range too."""
+    docs = spark.sql(PACKED_DOCS)
+    packed, own = os.path.join(tmp_dir, "packed"), os.path.join(tmp_dir, "own")
+    bx.pack_documents(docs, packed)
+    bx.land_documents(docs.where("date < '2025-03-04' or date is null"), own, "generation")
+    got = bx.read_documents(spark, packed)
+    assert len(got.inputFiles()) == 3 and _documents(got) == _documents(docs)
+    assert _documents(got.where("date < '2025-03-04' or date is null")) == _documents(bx.read_documents(spark, own))
+    assert len({r.path for r in got.collect()}) == 41 * 3
+    some = docs.where("date between '2025-03-30' and '2025-04-02'")
+    for start, end in (("2025-03-30", "2025-04-02"), (F.lit("2025-03-30").cast("date"), F.lit("2025-04-02").cast("date"))):
+        assert _documents(bx.read_documents(spark, packed, start, end)) == _documents(some)
+    assert [str(d) for d in bx.document_days(spark, packed)] == ["2025-03-01", "2025-04-09"]
+    assert bx.document_days(spark, packed, "GR", "forecast") == (None, None)
+
+
+def test_own_files_replace_packed_documents(spark, tmp_dir):
+    docs = spark.sql(PACKED_DOCS)
+    bx.pack_documents(docs, tmp_dir)
+    new = docs.where("country = 'GR' and (date = '2025-03-05' or date is null)").withColumn("xml", F.lit("<b/>"))
+    bx.land_documents(new.unionByName(new.selectExpr("country", "date_add(date, 365) as date", "domain", "xml").where("date is not null")),
+                      tmp_dir, "generation")
+    got = _documents(bx.read_documents(spark, tmp_dir))
+    assert len(got) == 41 * 3 + 1 and [r[:2] for r in got if r[3] == "<b/>"] == [("GR", "2025-03-05"), ("GR", "2026-03-05"), ("GR", "None")]
+    assert [r[3] for r in _documents(bx.read_documents(spark, tmp_dir, "2025-03-05", "2025-03-05"))] == ["<a>4</a>", "<b/>", "<a>4</a>"]
+    assert [str(d) for d in bx.document_days(spark, tmp_dir)] == ["2025-03-01", "2026-03-05"]
+
+
+def test_large_documents_share_no_row_group(spark, tmp_dir, monkeypatch):
+    """A group of rows is bounded by bytes, also where its first hundred rows are far more than that."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(bx, "PACKED_GROUP_BYTES", 1 << 20)
+    docs = spark.range(20).selectExpr("'GR' as country", "date'2025-03-01' as date", "'generation' as domain",
+                                      "array_join(transform(sequence(1, 60000), i -> hash(id, i)), ' ') as xml").coalesce(1)
+    bx.pack_documents(docs, tmp_dir)
+    groups = [m.row_group(i) for f in glob.glob(f"{tmp_dir}/_packed/*/*.parquet") for m in [pq.ParquetFile(f).metadata]
+              for i in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 20 and max(g.num_rows for g in groups) <= 4
+    assert bx.read_documents(spark, tmp_dir).selectExpr("sum(length(xml))").first()[0] == docs.selectExpr("sum(length(xml))").first()[0]

@@ -186,3 +186,15 @@ def test_the_overview_reads_one_day(spark, tmp_dir):
     assert slices(latest) == [("2025-03-02", "FR"), ("2025-03-02", "GR")]
     runs = {f.split("run=")[1].split("/")[0] for f in latest.inputFiles() if "run=" in f}
     assert len(runs) == 1  # the other day's run isn't opened
+
+
+def test_packed_rejects_follow_a_corrected_file(spark, tmp_dir):
+    at = inc.Layout(tmp_dir)
+    docs = bx.generation_documents(raw_rows(spark).where("country is not null").coalesce(1)).withColumn("domain", F.lit("generation"))
+    bx.pack_documents(docs.withColumn("xml", F.expr("if(date = date'2025-03-01', substring(xml, 1, 200), xml)")), at.documents)
+    assert sorted((r.country, r.reason) for r in inc.bronze_to_silver(spark, at).collect()) == [("FR", "corrupt"), ("GR", "corrupt")]
+    bx.land_documents(docs.where("country = 'FR' and date = date'2025-03-01'"), at.documents, "generation")
+    assert inc.bronze_to_silver(spark, at, "2025-03-01", "2025-03-01", ["FR"]).count() == 0
+    assert [r.country for r in inc.rejected(spark, at).collect()] == ["GR"]
+    rows = inc.sinks.read_silver_generation(spark, at.silver_generation).groupBy("country", "date").count().collect()
+    assert {(r.country, str(r.date)): r["count"] for r in rows} == {("FR", "2025-03-01"): 20, ("FR", "2025-03-02"): 20, ("GR", "2025-03-02"): 20}
