@@ -526,7 +526,7 @@ def q_published_marts(spark, sf_dir):
 
 def land_bronze(spark: SparkSession, sf_dir: str, at: Layout) -> None:
     """The bronze tree that the tables imply: documents of both domains, an acknowledgement for each
-    country-day divisible by 3, and weather cubes.  Documents are packed: a document is
+    country-day divisible by 3, and weather cubes.  Documents are packed and cubes have a folder a month: a document is
     a few dozen points long, and a tree with a file for each would be all file creation."""
     raw = load_gen_raw(spark, sf_dir)
     docs = bx.generation_documents(raw)
@@ -535,8 +535,9 @@ def land_bronze(spark: SparkSession, sf_dir: str, at: Layout) -> None:
     of_domain = [df.withColumn("domain", F.lit(domain)) for df, domain in
                  ((docs, "generation"), (bx.forecast_documents(raw), "forecast"), (acks, "forecast"))]
     bx.pack_documents(reduce(DataFrame.unionByName, of_domain), at.documents)
-    cubes = cube.build_cubes(load_weather_raw(spark, sf_dir))
-    cubes.withColumn("date", F.to_date(F.element_at("time", 1))).write.partitionBy("date").parquet(at.cubes)
+    cubes = cube.build_cubes(load_weather_raw(spark, sf_dir)).withColumn("date", F.to_date(F.element_at("time", 1)))
+    (cubes.withColumn(sinks.MONTH, F.trunc("date", "month")).hint("rebalance", sinks.MONTH).write.partitionBy(sinks.MONTH)
+     .parquet(at.cubes))
 
 
 # Documents of actual generation carry no forecast.  Their times are quarter-hours or, for forecasts, hours, which

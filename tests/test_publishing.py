@@ -188,6 +188,27 @@ def test_the_overview_reads_one_day(spark, tmp_dir):
     assert len(runs) == 1  # the other day's run isn't opened
 
 
+def test_landed_files_grow_with_months(spark, tmp_dir):
+    """Documents and cubes of six weeks: a folder a month, with all documents in them."""
+    sf = os.path.join(tmp_dir, "sf")
+    (spark.range(6 * 400).selectExpr("id div 400 * 10000 + id % 400 as event_id", "timestamp_ntz'2024-01-01' as ts", "id % 27 as user_id",
+                                     "'view' as event_type", "cast(id as double) as value", "'{}' as props")
+     .coalesce(1).write.parquet(f"{sf}/events.parquet"))
+    (spark.range(40 * 24 * 4).where("id % 96 < 4").selectExpr("id as vec_id", "transform(sequence(1, 64), i -> cast(i as float)) as embedding", "0 as label")
+     .coalesce(1).write.parquet(f"{sf}/embeddings.parquet"))
+    at = inc.Layout(os.path.join(tmp_dir, "at"))
+    inc.land_bronze(spark, sf, at)
+    files = {folder: [f for d, _, names in os.walk(folder) for f in names if f.startswith("part-")] for folder in (at.documents, at.cubes)}
+    assert len(files[at.documents]) == len(files[at.cubes]) == 3  # 2025-02-26 to 2025-04-08
+    raw = inc.load_gen_raw(spark, sf)
+    docs = bx.generation_documents(raw)
+    got = sorted((str(r.date), r.country, r.xml) for r in bx.read_documents(spark, at.documents).where("domain = 'generation'").collect())
+    assert got == sorted((str(r.date), r.country, r.xml) for r in docs.collect()) and len(got) > 300
+    acks = bx.read_documents(spark, at.documents).where("xml like '<Ack%'")
+    assert acks.count() == docs.where("day(date) % 3 = 0").select("country", "date").distinct().count() > 0
+    assert spark.read.parquet(at.cubes).select("date").distinct().count() == 40
+
+
 def test_packed_rejects_follow_a_corrected_file(spark, tmp_dir):
     at = inc.Layout(tmp_dir)
     docs = bx.generation_documents(raw_rows(spark).where("country is not null").coalesce(1)).withColumn("domain", F.lit("generation"))
